@@ -18,12 +18,12 @@ from ..functions.numeric import out_of_range
 from ..spec import TableSpec, present, require_frame
 
 
-def _profile(df: DataFrame, counts: Mapping[str, Column], value: str) -> DataFrame:
-    """One row per counted column: `column_name, n_rows, <value>`."""
-    if not counts:
+def _profile(df: DataFrame, tests: Mapping[str, Column], value: str) -> DataFrame:
+    """One row per tested column: `column_name, n_rows, <value>`, the rows for which the test holds."""
+    if not tests:
         return df.sparkSession.createDataFrame([], f"column_name string, n_rows bigint, {value} bigint")
-    totals = df.agg(F.count("*").alias("n_rows"), *[c.alias(name) for name, c in counts.items()])
-    return totals.unpivot("n_rows", list(counts), "column_name", value).select("column_name", "n_rows", value)
+    totals = df.agg(F.count("*").alias("n_rows"), *[F.count_if(test).alias(name) for name, test in tests.items()])
+    return totals.unpivot("n_rows", list(tests), "column_name", value)
 
 
 def _measured(report: DataFrame, value: str) -> dict[str, int]:
@@ -66,13 +66,13 @@ def validate_schema(df: DataFrame, spec: TableSpec) -> None:
 # --- NULL ratio --------------------------------------------------------------
 
 
-def null_counts(df: DataFrame, spec: TableSpec) -> dict[str, Column]:
-    return {c: F.count_if(F.col(c).isNull()) for c in df.columns if c not in spec.null_exempt}
+def null_tests(df: DataFrame, spec: TableSpec) -> dict[str, Column]:
+    return {c: F.col(c).isNull() for c in df.columns if c not in spec.null_exempt}
 
 
 def null_profile(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Report `(column_name, n_rows, null_count, null_ratio)` over all but the exempt columns."""
-    report = _profile(df, null_counts(df, spec), "null_count")
+    report = _profile(df, null_tests(df, spec), "null_count")
     ratio = F.when(F.col("n_rows") > 0, F.col("null_count") / F.col("n_rows"))
     return report.withColumn("null_ratio", ratio)
 
@@ -99,13 +99,13 @@ def validate_null_ratio(df: DataFrame, spec: TableSpec) -> None:
 # --- numeric ranges ----------------------------------------------------------
 
 
-def range_counts(df: DataFrame, spec: TableSpec) -> dict[str, Column]:
-    return {c: F.count_if(out_of_range(F.col(c), *spec.ranges[c])) for c in present(df, spec.ranges)}
+def range_tests(df: DataFrame, spec: TableSpec) -> dict[str, Column]:
+    return {c: out_of_range(F.col(c), *spec.ranges[c]) for c in present(df, spec.ranges)}
 
 
 def range_profile(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Report `(column_name, n_rows, invalid_count)` over the measurements."""
-    return _profile(df, range_counts(df, spec), "invalid_count")
+    return _profile(df, range_tests(df, spec), "invalid_count")
 
 
 def check_ranges(counts: Mapping[str, int], spec: TableSpec) -> None:
@@ -140,7 +140,7 @@ def validate_unique_primary_key(df: DataFrame, spec: TableSpec) -> None:
 def future_dates(df: DataFrame, spec: TableSpec, as_of: datetime) -> DataFrame:
     """Report `(column_name, n_rows, future_count)` of timestamps after `as_of`."""
     columns = present(df, spec.calendar.values())
-    return _profile(df, {c: F.count_if(F.col(c) > F.lit(as_of)) for c in columns}, "future_count")
+    return _profile(df, {c: F.col(c) > F.lit(as_of) for c in columns}, "future_count")
 
 
 def validate_future_dates(df: DataFrame, spec: TableSpec, as_of: datetime) -> None:
@@ -153,9 +153,7 @@ def validate_future_dates(df: DataFrame, spec: TableSpec, as_of: datetime) -> No
 
 def flag_domain(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Report `(column_name, n_rows, invalid_count)` of flags other than 0, 1 and NULL."""
-    return _profile(
-        df, {c: F.count_if(~F.col(c).isin(0, 1)) for c in present(df, spec.flags)}, "invalid_count"
-    )
+    return _profile(df, {c: ~F.col(c).isin(0, 1) for c in present(df, spec.flags)}, "invalid_count")
 
 
 def validate_binary_values(df: DataFrame, spec: TableSpec) -> None:
@@ -168,11 +166,7 @@ def validate_binary_values(df: DataFrame, spec: TableSpec) -> None:
 
 def text_length(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     """Report `(column_name, n_rows, too_long_count)` of texts longer than their limit, in characters."""
-    return _profile(
-        df,
-        {c: F.count_if(F.char_length(F.col(c)) > limits[c]) for c in present(df, limits)},
-        "too_long_count",
-    )
+    return _profile(df, {c: F.char_length(F.col(c)) > limits[c] for c in present(df, limits)}, "too_long_count")
 
 
 def validate_string_length(df: DataFrame, limits: Mapping[str, int]) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import (
@@ -21,16 +21,25 @@ from ..operators.features import enrich
 from ..operators.quality import (
     check_null_ratio,
     check_ranges,
-    null_counts,
-    range_counts,
+    null_tests,
+    range_tests,
     validate_required_columns,
     validate_schema,
 )
 from ..operators.standardize import standardize_column_names, standardize_data_types, standardize_text_values
 from ..session import sized_shuffles, staging_path
-from ..sources.lake import delete_path, latest_snapshot, read_bronze_parquet, write_parquet, write_silver_parquet
+from ..sources.lake import (
+    check_target,
+    delete_path,
+    latest_snapshot,
+    read_bronze_parquet,
+    write_parquet,
+    write_silver_parquet,
+)
 from ..spec import INSPECTION, TableSpec
 
+_NULL, _RANGE = "_null_", "_range_"
+
 
 @dataclass(frozen=True)
 class SilverResult:
@@ -42,17 +51,35 @@ class SilverResult:
     """NULLs per gated column, before the casts."""
 
 
-def silver_rows(bronze: DataFrame, spec: TableSpec = INSPECTION) -> DataFrame:
-    """The Silver rows of a Bronze frame, as one lazy plan without gates."""
+def _checked_names(bronze: DataFrame, spec: TableSpec) -> DataFrame:
     rows = standardize_column_names(bronze)
     validate_required_columns(rows, spec)
-    return _standardize(clean_missing_values(clean(rows, spec), spec), spec)
+    return rows
 
 
 def _standardize(filled: DataFrame, spec: TableSpec) -> DataFrame:
     typed = standardize_data_types(standardize_text_values(filled, spec), spec)
     validate_schema(typed, spec)
-    return enrich(typed, spec)
+    return typed
+
+
+def silver_rows(bronze: DataFrame, spec: TableSpec = INSPECTION) -> DataFrame:
+    """The Silver rows of a Bronze frame, as one lazy plan without gates on values."""
+    rows = _checked_names(bronze, spec)
+    return enrich(_standardize(clean_missing_values(clean(rows, spec), spec), spec), spec)
+
+
+def _marks(tests: Mapping[str, Column], prefix: str) -> dict[str, Column]:
+    """True or NULL per test; standard names never start with `_`, so these cannot clash."""
+    return {f"{prefix}{c}": F.when(test, F.lit(True)) for c, test in tests.items()}
+
+
+def _counted(staged: DataFrame, spec: TableSpec) -> dict[str, int]:
+    """Every figure the gates and the row account need, in one pass over the marks."""
+    kept = F.col(LOSS).isNull()
+    marks = [c for c in staged.columns if c.startswith((_NULL, _RANGE))]
+    figures = loss_counts(spec) | {m: F.count_if(kept & F.col(m)) for m in marks}
+    return staged.agg(*[figure.alias(name) for name, figure in figures.items()]).first().asDict()
 
 
 def build_silver(
@@ -65,52 +92,39 @@ def build_silver(
 ) -> SilverResult:
     """Transform a Bronze frame, pass the gates, publish at `silver_path`.
 
-    The rows are deduplicated, which moves them over the network once, and
-    staged as a Parquet table in the shared folder while every figure the
-    gates and the row account need is observed on the way. Only if the gates
-    pass is the staged table copied to `silver_path`, so a failing run leaves
-    the target untouched, and neither the scan nor the shuffle runs twice.
+    1. Deduplicate (the one shuffle of whole rows), standardise, and stage the
+       rows as Parquet in the folder the cluster shares. Each row carries its
+       copies, its reason to go, and marks for NULLs before the casts and for
+       values out of range.
+    2. Count the marks: a scan of columns that are nearly all NULL.
+    3. If the gates pass, derive the features and write them to `silver_path`.
 
-    The figures stay exact when executors are lost: they are taken after the
-    last shuffle, where Spark counts each finished task once.
+    A failing run leaves the target untouched, and no step repeats another's
+    scan or shuffle.
     """
     spark = bronze.sparkSession
-    rows = standardize_column_names(bronze)
-    validate_required_columns(rows, spec)
+    mode = check_target(silver_path, mode)
+    filled = fill_defaults(label_losses(_checked_names(bronze, spec), spec), spec)
+    nulls = {c: test for c, test in null_tests(filled, spec).items() if c not in (LOSS, COPIES)}
+    typed = _standardize(filled.withColumns(_marks(nulls, _NULL)), spec)
+    marked = typed.withColumns(_marks(range_tests(typed, spec), _RANGE))
 
-    filled = fill_defaults(label_losses(rows, spec), spec)
-    before_casts = {
-        c: F.count_if(F.col(LOSS).isNull() & F.col(c).isNull())
-        for c in null_counts(rows, spec)
-    }
-    losses = loss_counts(spec)
-    account, ranges = Observation(), Observation()
-    kept = (
-        filled.observe(
-            account,
-            *[c.alias(f"loss {name}") for name, c in losses.items()],
-            *[c.alias(f"null {name}") for name, c in before_casts.items()],
-        )
-        .filter(F.col(LOSS).isNull())
-        .drop(LOSS, COPIES)
-    )
-    silver = _standardize(kept, spec)
-    invalid = range_counts(silver, spec)
-    silver = silver.observe(ranges, F.count(F.lit(1)), *[c.alias(name) for name, c in invalid.items()])
-
-    staged = staging_path(spark, f"silver-{spec.name}")
+    path = staging_path(spark, f"silver-{spec.name}")
     try:
-        write_parquet(silver, staged)
-        seen = account.get
-        counts = {name: seen[f"loss {name}"] for name in losses}
-        nulls = {name: seen[f"null {name}"] for name in before_casts}
-        check_null_ratio(counts["kept"], nulls, spec)
-        check_ranges({name: ranges.get[name] for name in invalid}, spec)
-        publishable = spark.read.schema(silver.schema).parquet(staged)
-        write_silver_parquet(publishable, silver_path, mode, partition_by)
+        write_parquet(marked, path)
+        staged = spark.read.schema(marked.schema).parquet(path)
+        counts = _counted(staged, spec)
+        null_counts = {c: counts[_NULL + c] for c in nulls}
+        check_null_ratio(counts["kept"], null_counts, spec)
+        check_ranges({c: counts[_RANGE + c] for c in range_tests(typed, spec)}, spec)
+
+        kept = staged.filter(F.col(LOSS).isNull())
+        rows = kept.select([c for c in kept.columns if not c.startswith("_")])
+        write_silver_parquet(enrich(rows, spec), silver_path, mode, partition_by)
     finally:
-        delete_path(spark, staged)
-    return SilverResult(silver_path, counts["kept"], counts, nulls)
+        delete_path(spark, path)
+    losses = {name: counts[name] for name in loss_counts(spec)}
+    return SilverResult(silver_path, losses["kept"], losses, null_counts)
 
 
 def transform(

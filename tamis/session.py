@@ -22,36 +22,37 @@ _SHUFFLE_WIDTH = "spark.sql.shuffle.partitions"
 _INITIAL_WIDTH = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-def get_spark_session(
-    app_name: str,
+def session_settings(
     *,
     s3_endpoint: str | None = None,
     s3_access_key: str | None = None,
     s3_secret_key: str | None = None,
-    hive: bool = False,
     options: Mapping[str, str] | None = None,
-) -> SparkSession:
-    """Create or fetch the session: UTC, adaptive, dynamic partition overwrite.
+) -> dict[str, str]:
+    """Spark settings: UTC, adaptive, dynamic partition overwrite, an S3A store if given.
 
-    `s3_endpoint` points S3A at a path-style object store (without keys, S3A's
-    own credential chain applies); `hive` turns on the Hive catalog; `options`
-    are any further Spark settings and win over the defaults.
+    Without keys, S3A's own credential chain applies. `options` win.
     """
     settings = dict(_DEFAULTS)
     if s3_endpoint:
         settings |= {
+            "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
             "spark.hadoop.fs.s3a.endpoint": s3_endpoint,
             "spark.hadoop.fs.s3a.path.style.access": "true",
-            "spark.hadoop.fs.s3a.connection.ssl.enabled": str(s3_endpoint.startswith("https")).lower(),
-            "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
+            "spark.hadoop.fs.s3a.connection.ssl.enabled": str(s3_endpoint.startswith("https:")).lower(),
         }
     if s3_access_key and s3_secret_key:
         settings |= {
             "spark.hadoop.fs.s3a.access.key": s3_access_key,
             "spark.hadoop.fs.s3a.secret.key": s3_secret_key,
         }
+    return settings | dict(options or {})
+
+
+def get_spark_session(app_name: str, *, hive: bool = False, **settings) -> SparkSession:
+    """Create or fetch the session with `session_settings`; `hive` turns on the Hive catalog."""
     builder = SparkSession.builder.appName(app_name)
-    for key, value in (settings | dict(options or {})).items():
+    for key, value in session_settings(**settings).items():
         builder = builder.config(key, value)
     if hive:
         builder = builder.enableHiveSupport()

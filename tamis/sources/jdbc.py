@@ -13,18 +13,29 @@ from ..errors import SourceDBQueryError
 from ..spec import present
 
 
-def table_reference(url: str, table_name: str) -> str:
-    """`table_name` as the database expects it; only a plain identifier is accepted."""
-    if not table_name.isidentifier():
-        raise ValueError(f"Invalid table name: '{table_name}'.")
-    return f"`{table_name}`" if url.startswith(("jdbc:mysql:", "jdbc:mariadb:")) else table_name
+def quoted(url: str, identifier: str, what: str = "table") -> str:
+    """`identifier` as the database at `url` takes it; anything but a plain identifier is refused."""
+    if not identifier.isidentifier():
+        raise ValueError(f"Invalid {what} name: '{identifier}'.")
+    return f"`{identifier}`" if url.startswith(("jdbc:mysql:", "jdbc:mariadb:")) else identifier
 
 
-def bounds_query(reference: str, column: str) -> str:
+def bounds_query(url: str, table_name: str, column: str) -> str:
     """Range of the partition column, answered by the database from its index."""
-    if not column.isidentifier():
-        raise ValueError(f"Invalid column name: '{column}'.")
-    return f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {reference}"
+    column = quoted(url, column, "column")
+    return f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {quoted(url, table_name)}"
+
+
+def range_options(column: str, low, high, num_partitions: int) -> dict[str, str]:
+    """Reader options that split [low, high] of `column` over parallel queries; none for an empty table."""
+    if low is None:
+        return {}
+    return {
+        "partitionColumn": column,
+        "lowerBound": str(low),
+        "upperBound": str(high),
+        "numPartitions": str(num_partitions),
+    }
 
 
 def read_table(
@@ -34,7 +45,7 @@ def read_table(
     *,
     partition_column: str | None = "id",
     num_partitions: int = 16,
-    predicates: Sequence[str] | None = None,
+    predicates: Sequence[str] = (),
     fetch_size: int = 10_000,
     date_columns: Sequence[str] = ("date",),
     properties: Mapping[str, str] | None = None,
@@ -50,25 +61,19 @@ def read_table(
     MySQL streams rows only with `useCursorFetch=true` in the URL; without it
     the driver buffers each range whole whatever `fetch_size` says.
     """
-    reference = table_reference(url, table_name)
-    options = {"url": url, "fetchsize": str(fetch_size), **(properties or {})}
+    table = quoted(url, table_name)
+    options = {"fetchsize": str(fetch_size), **(properties or {})}
+    reader = spark.read.options(url=url, **options)
     try:
         if predicates:
-            df = spark.read.jdbc(url, reference, predicates=list(predicates), properties=options)
+            df = spark.read.jdbc(url, table, predicates=list(predicates), properties=options)
+        elif partition_column:
+            bounds = bounds_query(url, table_name, partition_column)
+            low, high = spark.read.options(url=url, query=bounds, **options).format("jdbc").load().first()
+            split = range_options(partition_column, low, high, num_partitions)
+            df = reader.options(dbtable=table, **split).format("jdbc").load()
         else:
-            reader = spark.read.format("jdbc").options(**options)
-            bounds = None
-            if partition_column and num_partitions > 1:
-                bounds = reader.option("query", bounds_query(reference, partition_column)).load().first()
-            reader = spark.read.format("jdbc").options(**options).option("dbtable", reference)
-            if bounds is not None and bounds[0] is not None:
-                reader = reader.options(
-                    partitionColumn=partition_column,
-                    lowerBound=str(bounds[0]),
-                    upperBound=str(bounds[1]),
-                    numPartitions=str(num_partitions),
-                )
-            df = reader.load()
+            df = reader.options(dbtable=table).format("jdbc").load()
     except (PySparkException, Py4JJavaError) as e:
         raise SourceDBQueryError(f"Cannot read table '{table_name}'.", str(e)) from e
     return parse_dates(df, date_columns)

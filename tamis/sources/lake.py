@@ -122,6 +122,15 @@ def read_bronze_parquet(spark: SparkSession, bronze_path: str) -> DataFrame:
         raise DataLakeReadError("Cannot read the Bronze data.", str(e)) from e
 
 
+def check_target(path: str, mode: str) -> str:
+    """The write mode in lower case, once path and mode are acceptable."""
+    if not path or not path.strip():
+        raise ValueError("The Silver path is empty.")
+    if mode.lower() not in WRITE_MODES:
+        raise ValueError(f"Invalid write mode '{mode}'; one of {list(WRITE_MODES)}.")
+    return mode.lower()
+
+
 def write_silver_parquet(
     df: DataFrame, silver_path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
 ) -> None:
@@ -131,12 +140,7 @@ def write_silver_parquet(
     small partitions into few files and splits one that holds most of the rows
     over many tasks.
     """
-    if not silver_path or not silver_path.strip():
-        raise ValueError("The Silver path is empty.")
-    mode = mode.lower()
-    if mode not in WRITE_MODES:
-        raise ValueError(f"Invalid write mode '{mode}'; one of {list(WRITE_MODES)}.")
-    write_parquet(df, silver_path, mode, partition_by)
+    write_parquet(df, silver_path, check_target(silver_path, mode), partition_by)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
