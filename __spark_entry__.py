@@ -176,7 +176,7 @@ def latest_partition(spark, sf_dir):
     )
     newest = latest_snapshot(spark, lake, "events")
     rows = read_bronze_parquet(spark, newest.under(lake))
-    return rows.withColumn("snapshot_date", F.lit(newest.date))
+    return rows.withColumn("snapshot_path", F.lit(newest.path))
 
 
 def latest_partition_ymd(spark, sf_dir):
@@ -383,7 +383,7 @@ FROM (
   UNION ALL SELECT date - INTERVAL 31 DAY, temperature_max FROM ({_SILVER}) s
 ) both_runs GROUP BY ALL""",
         "bronze_roundtrip": _RAW,
-        "latest_partition": "SELECT *, CAST(ts AS DATE) AS snapshot_date FROM events "
+        "latest_partition": "SELECT *, 'events/ingest_date=' || CAST(CAST(ts AS DATE) AS VARCHAR) AS snapshot_path FROM events "
         "WHERE CAST(ts AS DATE) = (SELECT CAST(max(ts) AS DATE) FROM events)",
         "latest_partition_ymd": "SELECT *, CAST(3 AS BIGINT) AS n_snapshots, 'orders/2026/07/29' AS snapshot_path "
         "FROM orders WHERE o_orderstatus = 'P'",

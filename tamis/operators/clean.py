@@ -7,6 +7,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.numeric import is_missing
 from ..functions.text import blank_to_null
@@ -46,9 +47,10 @@ def clean_missing_values(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def fill_defaults(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """NULL flags become 0, NULL texts their default; columns of another type are left alone."""
+    """NULL in numeric flags becomes 0, in text columns the default; other types are left alone."""
+    types = {f.name: f.dataType for f in df.schema}
     flags = present(df, spec.flags)
-    texts = {c: spec.text_defaults[c] for c in present(df, spec.text_defaults)}
+    texts = {c: d for c, d in spec.text_defaults.items() if isinstance(types.get(c), T.StringType)}
     if flags:
         df = df.fillna(0, subset=flags)
     return df.fillna(texts) if texts else df
