@@ -21,13 +21,13 @@ import fixtures  # noqa: E402
 from tamis.functions.text import repair_encoding  # noqa: E402
 from tamis.operators import clean, features, quality, standardize  # noqa: E402
 from tamis.plans.bronze import ingest  # noqa: E402
-from tamis.plans.silver import build_silver, silver_rows, transform  # noqa: E402
+from tamis.plans.silver import silver_rows, transform  # noqa: E402
 from tamis.session import staging_path  # noqa: E402
 from tamis.sources.lake import (  # noqa: E402
     DATE_COLUMN,
     latest_snapshot,
-    list_snapshots,
     read_bronze_parquet,
+    snapshot_days,
     write_parquet,
     write_silver_parquet,
 )
@@ -153,7 +153,7 @@ def silver_by_month(spark, sf_dir):
     months = ("inspection_year", "inspection_month")
     bronze = fixtures.inspection(spark, sf_dir)
     for part in (bronze, _month_earlier(bronze), bronze):
-        build_silver(part, path, partition_by=months)
+        write_silver_parquet(silver_rows(part), path, partition_by=months)
     rows = spark.read.parquet(path)
     return rows.groupBy(*months).agg(F.count("*").alias("n_rows"), F.sum("temperature_max").alias("temperatures"))
 
@@ -192,7 +192,7 @@ def latest_partition_ymd(spark, sf_dir):
     ):
         write_parquet(orders.filter(F.col("o_orderstatus") == status), f"{lake}/{path}")
     newest = latest_snapshot(spark, lake, "orders", "ymd")
-    n_snapshots = list_snapshots(spark, lake, "orders", "ymd").count()
+    n_snapshots = len(snapshot_days(spark, lake, "orders", "ymd"))
     rows = read_bronze_parquet(spark, newest.under(lake))
     return rows.withColumns({"snapshot_path": F.lit(newest.path), "n_snapshots": F.lit(n_snapshots).cast("bigint")})
 

@@ -27,7 +27,7 @@ from ..operators.quality import (
     validate_schema,
 )
 from ..operators.standardize import standardize_column_names, standardize_data_types, standardize_text_values
-from ..session import sized_shuffles, staging_path
+from ..session import sized_for, staging_path
 from ..sources.lake import (
     check_target,
     delete_path,
@@ -140,7 +140,7 @@ def transform(
     """Build Silver from the latest Bronze snapshot, at the same path under `silver_root`."""
     snapshot = latest_snapshot(spark, bronze_root, spec.name, layout)
     bronze = read_bronze_parquet(spark, snapshot.under(bronze_root))
-    with sized_shuffles(spark, snapshot.n_bytes):
+    with sized_for(spark, snapshot.n_bytes):
         return build_silver(
             bronze, snapshot.under(silver_root), spec, mode=mode, partition_by=partition_by
         )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
@@ -18,6 +19,7 @@ _DEFAULTS = {
 }
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
+_SPLIT = "spark.sql.files.maxPartitionBytes"
 _SHUFFLE_WIDTH = "spark.sql.shuffle.partitions"
 _INITIAL_WIDTH = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
@@ -59,6 +61,11 @@ def get_spark_session(app_name: str, *, hive: bool = False, **settings) -> Spark
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tamis-")
+
+
 def staging_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the folder the cluster shares (`spark.checkpoint.dir`).
 
@@ -69,32 +76,36 @@ def staging_path(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise DataLakeConfigurationError(f"Set {_CHECKPOINT_DIR} to a folder all executors share.")
-        root = tempfile.mkdtemp(prefix="tamis-")
-        spark.conf.set(_CHECKPOINT_DIR, root)
+        root = _local_folder()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def scan_split(input_bytes: int, minimum: int) -> int:
+    """Bytes of Parquet per scan task: as configured, or more, so that 100 000 tasks cover the input."""
+    return max(minimum, -(-input_bytes // 100_000))
+
+
 def shuffle_width(input_bytes: int, minimum: int) -> int:
     """Reduce partitions for a full-row shuffle of `input_bytes` of Parquet.
 
     Decoded rows take about three times their Parquet size; a partition should
-    hold 512 MiB of them. 32768 bounds the number of shuffle blocks: beyond it,
-    partitions grow and spill instead, which costs less than more blocks.
+    hold 512 MiB of them. Scan tasks times partitions is the number of shuffle
+    blocks, so from 32768 on partitions grow, and spill, instead.
     """
     wanted = -(-3 * input_bytes // (512 << 20))
     return max(minimum, min(wanted, 32768))
 
 
 @contextmanager
-def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
-    """Within the block, plan shuffles for `input_bytes`; AQE merges what proves small."""
-    before = spark.conf.get(_INITIAL_WIDTH, None)
-    width = shuffle_width(input_bytes, int(before or spark.conf.get(_SHUFFLE_WIDTH)))
-    spark.conf.set(_INITIAL_WIDTH, str(width))
+def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Within the block, plan scans and shuffles for `input_bytes`; AQE merges what proves small."""
+    before = {key: spark.conf.get(key, None) for key in (_SPLIT, _INITIAL_WIDTH)}
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_SPLIT))
+    width = int(before[_INITIAL_WIDTH] or spark.conf.get(_SHUFFLE_WIDTH))
+    spark.conf.set(_SPLIT, scan_split(input_bytes, split))
+    spark.conf.set(_INITIAL_WIDTH, shuffle_width(input_bytes, width))
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_INITIAL_WIDTH)
-        else:
-            spark.conf.set(_INITIAL_WIDTH, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

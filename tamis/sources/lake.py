@@ -20,10 +20,10 @@ from ..errors import DataLakeReadError, DataLakeWriteError, NoPartitionFoundErro
 
 DATE_COLUMN = "ingest_date"
 
-# A snapshot's file, relative to the layer's root: 1 = snapshot, 2-4 = year, month, day.
+# Per layout, the directories below a table and the year, month and day in their names.
 _LAYOUTS = {
-    "ingest_date": r"^([^/]+/ingest_date=0*([1-9][0-9]{0,3})-([0-9]+)-([0-9]+))/.+",
-    "ymd": r"^([^/]+/0*([1-9][0-9]{0,3})/([0-9]+)/([0-9]+))/.+",
+    "ingest_date": (f"{DATE_COLUMN}=*", rf"{DATE_COLUMN}=(\d+)-(\d+)-(\d+)"),
+    "ymd": ("*/*/*", r"(\d+)/(\d+)/(\d+)"),
 }
 
 WRITE_MODES = ("append", "error", "ignore", "overwrite")
@@ -41,7 +41,7 @@ class Snapshot:
         return f"{root.rstrip('/')}/{self.path}"
 
 
-def _layout(layout: str) -> str:
+def _layout(layout: str) -> tuple[str, str]:
     if layout not in _LAYOUTS:
         raise ValueError(f"Unknown layout '{layout}'; one of {sorted(_LAYOUTS)}.")
     return _LAYOUTS[layout]
@@ -54,47 +54,42 @@ def snapshot_path(table: str, day: date | None = None, layout: str = "ingest_dat
     return f"{table}/{day:%Y/%m/%d}" if layout == "ymd" else f"{table}/{DATE_COLUMN}={day:%Y-%m-%d}"
 
 
-def list_snapshots(spark: SparkSession, root: str, table: str, layout: str = "ingest_date") -> DataFrame:
-    """Report `(snapshot_date, snapshot_path, n_files, n_bytes)`.
+def snapshot_days(spark: SparkSession, root: str, table: str, layout: str = "ingest_date") -> list[tuple[date, str]]:
+    """`(date, path)` of the dated directories, latest first.
 
-    Files whose path holds no valid calendar date are ignored. Only file
-    names and lengths are read: no file is opened, and the listing itself is
-    spread over tasks by Spark.
+    Directories whose name holds no valid calendar date are ignored. Only
+    directories are listed, one per day, never the files of every snapshot.
     """
-    pattern = _layout(layout)
-    base = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root.rstrip("/"))
-    below_root = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?)?" + re.escape(base) + "/"
-    try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .load(f"{root.rstrip('/')}/{table}")
-            .select(F.regexp_replace("path", below_root, "").alias("key"), "length")
-        )
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise DataLakeReadError(f"Cannot list '{root}/{table}'.", str(e)) from e
-        raise NoPartitionFoundError(f"No snapshot of '{table}' under '{root}'.") from e
-    part = [F.regexp_extract("key", pattern, group) for group in range(1, 5)]
-    return (
-        files.select(
-            F.try_to_date(F.concat_ws("-", *part[1:]), "y-M-d").alias("snapshot_date"),
-            part[0].alias("snapshot_path"),
-            "length",
-        )
-        .filter(F.col("snapshot_date").isNotNull())
-        .groupBy("snapshot_date", "snapshot_path")
-        .agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"))
-    )
+    directories, pattern = _layout(layout)
+    if "/" in table:
+        return []
+    glob = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{table}/{directories}")
+    found = glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob)
+    days = []
+    for status in found or ():
+        name = "/".join(status.getPath().toString().split("/")[-directories.count("/") - 1 :])
+        parts = re.fullmatch(pattern, name, re.ASCII)
+        try:
+            if parts and status.isDirectory():
+                days.append((date(*map(int, parts.groups())), f"{table}/{name}"))
+        except ValueError:
+            continue
+    return sorted(days, reverse=True)
+
+
+def snapshot_size(spark: SparkSession, root: str, path: str) -> tuple[int, int]:
+    """Files and bytes of one snapshot, from names and lengths only; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root.rstrip('/')}/{path}")
+    return tuple(files.agg(F.count("path"), F.coalesce(F.sum("length"), F.lit(0))).first())
 
 
 def latest_snapshot(spark: SparkSession, root: str, table: str, layout: str = "ingest_date") -> Snapshot:
-    """The snapshot with the latest date; `NoPartitionFoundError` if there is none."""
-    newest = F.struct("snapshot_date", "snapshot_path", "n_files", "n_bytes")
-    found = list_snapshots(spark, root, table, layout).agg(F.max(newest).alias("newest")).first()["newest"]
-    if found is None:
-        raise NoPartitionFoundError(f"No snapshot of '{table}' under '{root}'.")
-    return Snapshot(*found)
+    """The latest snapshot that holds a file; `NoPartitionFoundError` if there is none."""
+    for day, path in snapshot_days(spark, root, table, layout):
+        n_files, n_bytes = snapshot_size(spark, root, path)
+        if n_files:
+            return Snapshot(day, path, n_files, n_bytes)
+    raise NoPartitionFoundError(f"No snapshot of '{table}' under '{root}'.")
 
 
 def write_bronze(

@@ -47,7 +47,7 @@ def test_latest_snapshot_ignores_what_is_no_date(spark, tmp_path):
     found = lake.latest_snapshot(spark, str(tmp_path), "inspection", "ymd")
     assert (found.date, found.path, found.n_files) == (DAY, "inspection/2026/07/29", 1)
     assert found.n_bytes > 0
-    assert lake.list_snapshots(spark, str(tmp_path), "inspection", "ymd").count() == 3
+    assert len(lake.snapshot_days(spark, str(tmp_path), "inspection", "ymd")) == 3
 
 
 def test_latest_snapshot_compares_dates_not_names(spark, tmp_path):
@@ -61,6 +61,13 @@ def test_latest_snapshot_counts_nested_files(spark, tmp_path):
     assert lake.latest_snapshot(spark, f"file://{tmp_path}/", "t", "ymd").path == "t/2026/01/01"
 
 
+def test_latest_snapshot_needs_a_file(spark, tmp_path):
+    write(spark, tmp_path / "t/ingest_date=2026-07-28")
+    (tmp_path / "t/ingest_date=2026-07-29").mkdir()
+    (tmp_path / "t/ingest_date=2026-07-30").write_text("no directory")
+    assert lake.latest_snapshot(spark, str(tmp_path), "t").date == date(2026, 7, 28)
+
+
 def test_root_with_pattern_characters(spark, tmp_path):
     root = tmp_path / "a+b (1)" / "t"
     write(spark, root / "t/2026/01/01")
@@ -89,7 +96,7 @@ def test_bronze_replaces_the_day_and_keeps_others(spark, tmp_path, layout):
     result = ingest(inspection(spark, {"id": 4}), root, "inspection", day=DAY, layout=layout)
     assert (result.n_rows, result.written) == (1, True)
     assert [r["id"] for r in lake.read_bronze_parquet(spark, f"{root}/{result.path}").collect()] == [4]
-    assert lake.list_snapshots(spark, root, "inspection", layout).count() == 2
+    assert len(lake.snapshot_days(spark, root, "inspection", layout)) == 2
 
 
 def test_empty_bronze_writes_nothing(spark, tmp_path):

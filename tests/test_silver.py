@@ -16,8 +16,7 @@ from tamis.errors import (
     NoPartitionFoundError,
 )
 from tamis.operators import clean
-from tamis.session import session_settings, shuffle_width, sized_shuffles, staging_path
-from tamis.sources.lake import list_snapshots
+from tamis.session import scan_split, session_settings, shuffle_width, sized_for, staging_path
 from tests.conftest import SF_DIR
 from tests.test_operators import inspection
 
@@ -123,6 +122,15 @@ def test_null_gate_sees_values_before_the_casts(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "silver")).first()["t_av"] is None
 
 
+def test_partitioned_silver_replaces_only_its_months(spark, bronze, tmp_path):
+    path, months = str(tmp_path / "silver"), ("inspection_year", "inspection_month")
+    earlier = bronze.withColumn("date", F.expr("date - INTERVAL 31 DAYS"))
+    for part in (bronze, earlier, bronze):
+        build_silver(part, path, partition_by=months)
+    both = silver_rows(bronze).union(silver_rows(earlier))
+    assert same_rows(spark.read.parquet(path).select(both.columns), both)
+
+
 def test_wrong_mode_is_refused_before_any_work(spark, bronze, tmp_path):
     with pytest.raises(ValueError, match="upsert"):
         build_silver(bronze, str(tmp_path / "silver"), mode="upsert")
@@ -195,10 +203,16 @@ def test_profiles_read_the_table_once(bronze):
     assert text.count("Scan parquet") == 1 and "zone" not in text
 
 
-def test_listing_opens_no_file(spark, bronze, tmp_path):
-    ingest(bronze, str(tmp_path), "inspection")
-    text = plan(list_snapshots(spark, str(tmp_path), "inspection"))
-    assert "ReadSchema: struct<path:string,length:bigint>" in text
+def test_counting_reads_only_the_marks(spark, bronze, monkeypatch, tmp_path):
+    from tamis.plans import silver
+
+    seen = []
+    counted = silver._counted
+    monkeypatch.setattr(silver, "_counted", lambda staged, spec: seen.append(staged) or counted(staged, spec))
+    silver.build_silver(bronze, str(tmp_path / "silver"))
+    figures = [f.alias(n) for n, f in clean.loss_counts(INSPECTION).items()]
+    (schema,) = re.findall("ReadSchema: struct<(.*)>", plan(seen[0].agg(*figures, F.count("_null_id"))))
+    assert schema == "_copies:bigint,_loss:string,_null_id:boolean"
 
 
 def test_silver_run_takes_few_jobs(spark, bronze, tmp_path):
@@ -229,11 +243,20 @@ def test_shuffle_width_grows_with_the_input():
     assert shuffle_width(100 << 40, 200) == 32768
 
 
-def test_sized_shuffles_restores_the_setting(spark):
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    with sized_shuffles(spark, 1 << 40):
-        assert spark.conf.get(key) == "6144"
-    assert spark.conf.get(key, None) is None
+def test_scan_split_grows_with_the_input():
+    assert scan_split(1 << 40, 128 << 20) == 128 << 20
+    assert scan_split(100 << 40, 128 << 20) > 1 << 30
+
+
+def test_sizes_hold_within_the_block(spark):
+    width = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    split = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(split)
+    with sized_for(spark, 100 << 40):
+        assert spark.conf.get(width) == "32768"
+        assert int(spark.conf.get(split).rstrip("b")) > 1 << 30
+    assert spark.conf.get(width, None) is None
+    assert spark.conf.get(split) == before
 
 
 def test_staging_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
@@ -251,3 +274,5 @@ def test_staging_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
     with pytest.raises(DataLakeConfigurationError):
         staging_path(Session, "x")
     assert staging_path(spark, "x") != staging_path(spark, "x")
+    Context.master = "local[2]"
+    assert os.path.isdir(os.path.dirname(staging_path(Session, "x")))
