@@ -97,14 +97,21 @@ def write_bronze(
 ) -> int:
     """Write one day's snapshot, replacing that day only; return the rows written.
 
-    An empty frame writes nothing and leaves an earlier snapshot of the day in place.
+    An empty frame, found by asking for one row, writes nothing and leaves an
+    earlier snapshot of the day in place. In the `ingest_date` layout so does a
+    write that fails: the day is swapped when the job commits.
     """
-    target = f"{root.rstrip('/')}/{snapshot_path(table, day, layout)}"
+    _layout(layout)
+    day = day or datetime.now(UTC).date()
     if df.isEmpty():
         return 0
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("n_rows"))
-    write_parquet(counted, target)
+    if layout == "ingest_date":
+        dated = counted.withColumn(DATE_COLUMN, F.lit(day))
+        write_parquet(dated, f"{root.rstrip('/')}/{table}", partition_by=[DATE_COLUMN])
+    else:
+        write_parquet(counted, f"{root.rstrip('/')}/{snapshot_path(table, day, layout)}")
     return seen.get["n_rows"]
 
 
@@ -135,17 +142,18 @@ def write_silver_parquet(
     small partitions into few files and splits one that holds most of the rows
     over many tasks.
     """
-    write_parquet(df, silver_path, check_target(silver_path, mode), partition_by)
+    mode = check_target(silver_path, mode)
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    write_parquet(df, silver_path, mode, partition_by)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
     try:
+        writer = df.write.mode(mode)
         if partition_by:
-            df = df.hint("rebalance", *partition_by)
-            writer = df.write.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-        else:
-            writer = df.write
-        writer.mode(mode).parquet(path)
+            writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+        writer.parquet(path)
     except (PySparkException, Py4JJavaError) as e:
         raise DataLakeWriteError(f"Cannot write '{path}'.", str(e)) from e
 

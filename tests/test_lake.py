@@ -99,6 +99,17 @@ def test_bronze_replaces_the_day_and_keeps_others(spark, tmp_path, layout):
     assert len(lake.snapshot_days(spark, root, "inspection", layout)) == 2
 
 
+def test_a_failing_write_leaves_the_day_in_place(spark, tmp_path):
+    root = str(tmp_path)
+    result = ingest(inspection(spark, {"id": 1}), root, "inspection", day=DAY)
+    fails_later = spark.range(1000).repartition(2).select(
+        F.when(F.col("id") < 900, F.col("id")).otherwise(F.raise_error(F.lit("lost"))).alias("id")
+    )
+    with pytest.raises(DataLakeWriteError):
+        ingest(fails_later, root, "inspection", day=DAY)
+    assert [r["id"] for r in lake.read_bronze_parquet(spark, f"{root}/{result.path}").collect()] == [1]
+
+
 def test_empty_bronze_writes_nothing(spark, tmp_path):
     root = str(tmp_path)
     ingest(inspection(spark, {"id": 1}), root, "inspection", day=DAY)
