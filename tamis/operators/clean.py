@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 from ..functions.numeric import is_missing
 from ..functions.text import blank_to_null
 from ..spec import TableSpec, present, require_frame
+from .dedup import COPIES, count_copies
 
-COPIES = "_copies"
 LOSS = "_loss"
 
 
@@ -56,22 +56,20 @@ def fill_defaults(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.fillna(texts) if texts else df
 
 
-def label_losses(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Distinct rows with trimmed texts, their number of copies and why they go.
+def label_losses(counted: DataFrame, spec: TableSpec) -> DataFrame:
+    """Trim the texts of distinct rows (see `count_copies`) and say why a row goes.
 
-    `_copies` counts the identical input rows; `_loss` is NULL for a row that
-    `clean` and `clean_missing_values` keep, else the first reason that applies.
-    The count is combined before the shuffle, so many copies of one row cost
-    one row per task.
+    `_loss` is NULL for a row that `clean` and `clean_missing_values` keep,
+    else the first reason that applies.
     """
-    require_frame(df, "label_losses")
-    types = {f.name: f.dataType for f in df.schema}
+    require_frame(counted, "label_losses")
+    types = {f.name: f.dataType for f in counted.schema}
     reasons = [(f"missing_{c}", F.col(c).isNull()) for c in spec.mandatory]
-    critical = [is_missing(F.col(c), types[c]) for c in present(df, spec.critical)]
+    critical = [is_missing(F.col(c), types[c]) for c in present(counted, spec.critical)]
     if critical:
         reasons.append(("missing_critical", reduce(or_, critical)))
-    rows = trim_texts(df.groupBy(*df.columns).agg(F.count("*").alias(COPIES)), spec)
-    return rows.withColumn(LOSS, F.coalesce(*[F.when(hit, F.lit(name)) for name, hit in reasons]))
+    reason = F.coalesce(*[F.when(hit, F.lit(name)) for name, hit in reasons])
+    return trim_texts(counted, spec).withColumn(LOSS, reason)
 
 
 def loss_counts(spec: TableSpec) -> dict[str, Column]:
@@ -88,5 +86,6 @@ def loss_counts(spec: TableSpec) -> dict[str, Column]:
 def row_loss(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Report `(reason, n_rows)`; each lost row counts once, under its first reason."""
     counts = loss_counts(spec)
-    totals = label_losses(df, spec).agg(*[c.alias(name) for name, c in counts.items()])
+    require_frame(df, "row_loss")
+    totals = label_losses(count_copies(df), spec).agg(*[c.alias(name) for name, c in counts.items()])
     return totals.unpivot([], list(counts), "reason", "n_rows")

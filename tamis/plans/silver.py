@@ -8,15 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.clean import (
-    COPIES,
-    LOSS,
-    clean,
-    clean_missing_values,
-    fill_defaults,
-    label_losses,
-    loss_counts,
-)
+from ..operators.clean import LOSS, clean, clean_missing_values, fill_defaults, label_losses, loss_counts
+from ..operators.dedup import BROADCAST_HASHES, COPIES, count_copies, count_copies_apart, repeated_hashes
 from ..operators.features import enrich
 from ..operators.quality import (
     check_null_ratio,
@@ -40,6 +33,9 @@ from ..spec import INSPECTION, TableSpec
 
 _NULL, _RANGE = "_null_", "_range_"
 
+HASH_FIRST_BYTES = 100 << 30
+"""Parquet size from which `transform` looks for duplicates by hash first."""
+
 
 @dataclass(frozen=True)
 class SilverResult:
@@ -82,6 +78,18 @@ def _counted(staged: DataFrame, spec: TableSpec) -> dict[str, int]:
     return staged.agg(*[figure.alias(name) for name, figure in figures.items()]).first().asDict()
 
 
+def _distinct(rows: DataFrame, hash_first: bool, folder: str) -> DataFrame:
+    """Distinct rows with their copies, in the cheaper of the two exact ways."""
+    if not hash_first:
+        return count_copies(rows)
+    write_parquet(repeated_hashes(rows), folder)
+    repeated = rows.sparkSession.read.parquet(folder)
+    n_repeated = repeated.count()
+    if n_repeated == 0:
+        return rows.withColumn(COPIES, F.lit(1).cast("bigint"))
+    return count_copies_apart(rows, repeated) if n_repeated <= BROADCAST_HASHES else count_copies(rows)
+
+
 def build_silver(
     bronze: DataFrame,
     silver_path: str,
@@ -89,40 +97,44 @@ def build_silver(
     *,
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
+    hash_first: bool = False,
 ) -> SilverResult:
     """Transform a Bronze frame, pass the gates, publish at `silver_path`.
 
-    1. Deduplicate (the one shuffle of whole rows), standardise, and stage the
-       rows as Parquet in the folder the cluster shares. Each row carries its
-       copies, its reason to go, and marks for NULLs before the casts and for
-       values out of range.
+    1. Deduplicate, standardise, and stage the rows as Parquet in the folder
+       the cluster shares. Each row carries its copies, its reason to go, and
+       marks for NULLs before the casts and for values out of range.
     2. Count the marks: a scan of columns that are nearly all NULL.
     3. If the gates pass, derive the features and write them to `silver_path`.
 
-    A failing run leaves the target untouched, and no step repeats another's
-    scan or shuffle.
+    A failing run leaves the target untouched, and later steps repeat neither
+    the scan nor the shuffle. By default step 1 shuffles whole rows once; with
+    `hash_first` it reads the input again to shuffle only row hashes, unless
+    these show more duplicates than can be handled apart.
     """
     spark = bronze.sparkSession
     mode = check_target(silver_path, mode)
-    filled = fill_defaults(label_losses(_checked_names(bronze, spec), spec), spec)
-    nulls = {c: test for c, test in null_tests(filled, spec).items() if c not in (LOSS, COPIES)}
-    typed = _standardize(filled.withColumns(_marks(nulls, _NULL)), spec)
-    marked = typed.withColumns(_marks(range_tests(typed, spec), _RANGE))
-
-    path = staging_path(spark, f"silver-{spec.name}")
+    rows = _checked_names(bronze, spec)
+    folder = staging_path(spark, f"silver-{spec.name}")
     try:
-        write_parquet(marked, path)
-        staged = spark.read.schema(marked.schema).parquet(path)
+        filled = fill_defaults(label_losses(_distinct(rows, hash_first, f"{folder}/repeated"), spec), spec)
+        nulls = {c: test for c, test in null_tests(filled, spec).items() if c not in (LOSS, COPIES)}
+        typed = _standardize(filled.withColumns(_marks(nulls, _NULL)), spec)
+        ranges = range_tests(typed, spec)
+        marked = typed.withColumns(_marks(ranges, _RANGE))
+        write_parquet(marked, f"{folder}/rows")
+
+        staged = spark.read.schema(marked.schema).parquet(f"{folder}/rows")
         counts = _counted(staged, spec)
         null_counts = {c: counts[_NULL + c] for c in nulls}
         check_null_ratio(counts["kept"], null_counts, spec)
-        check_ranges({c: counts[_RANGE + c] for c in range_tests(typed, spec)}, spec)
+        check_ranges({c: counts[_RANGE + c] for c in ranges}, spec)
 
         kept = staged.filter(F.col(LOSS).isNull())
-        rows = kept.select([c for c in kept.columns if not c.startswith("_")])
-        write_silver_parquet(enrich(rows, spec), silver_path, mode, partition_by)
+        silver = enrich(kept.select([c for c in kept.columns if not c.startswith("_")]), spec)
+        write_silver_parquet(silver, silver_path, mode, partition_by)
     finally:
-        delete_path(spark, path)
+        delete_path(spark, folder)
     losses = {name: counts[name] for name in loss_counts(spec)}
     return SilverResult(silver_path, losses["kept"], losses, null_counts)
 
@@ -142,5 +154,10 @@ def transform(
     bronze = read_bronze_parquet(spark, snapshot.under(bronze_root))
     with sized_for(spark, snapshot.n_bytes):
         return build_silver(
-            bronze, snapshot.under(silver_root), spec, mode=mode, partition_by=partition_by
+            bronze,
+            snapshot.under(silver_root),
+            spec,
+            mode=mode,
+            partition_by=partition_by,
+            hash_first=snapshot.n_bytes >= HASH_FIRST_BYTES,
         )

@@ -3,7 +3,7 @@ from datetime import UTC, date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tamis.errors import DataLakeReadError, DataLakeWriteError, NoPartitionFoundError
+from tamis.errors import DataLakeReadError, DataLakeWriteError, NoPartitionFoundError, SourceDBQueryError
 from tamis.plans.bronze import extract, ingest
 from tamis.sources import jdbc, lake
 from tests.test_operators import inspection
@@ -209,3 +209,10 @@ def test_extract_stores_what_the_table_holds(spark, tmp_path, monkeypatch):
     result = extract(spark, "jdbc:mysql://db/x", "inspection", str(tmp_path), day=DAY, num_partitions=4)
     assert asked == {"url": "jdbc:mysql://db/x", "name": "inspection", "num_partitions": 4}
     assert result.n_rows == lake.read_bronze_parquet(spark, f"{tmp_path}/{result.path}").count() == 2
+
+
+def test_a_database_that_cannot_be_read(spark):
+    with pytest.raises(SourceDBQueryError, match="inspection"):
+        jdbc.read_table(spark, "jdbc:nosuch:db", "inspection")
+    with pytest.raises(SourceDBQueryError):
+        jdbc.read_table(spark, "jdbc:nosuch:db", "inspection", predicates=["id < 5", "id >= 5 OR id IS NULL"])

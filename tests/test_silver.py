@@ -15,7 +15,7 @@ from tamis.errors import (
     MissingRequiredColumnError,
     NoPartitionFoundError,
 )
-from tamis.operators import clean
+from tamis.operators import clean, dedup
 from tamis.session import scan_split, session_settings, shuffle_width, sized_for, staging_path
 from tests.conftest import SF_DIR
 from tests.test_operators import inspection
@@ -171,19 +171,48 @@ def test_silver_plan_has_one_shuffle_and_no_python(bronze):
 
 
 def test_copies_are_combined_before_the_shuffle(bronze):
-    text = plan(clean.label_losses(bronze, INSPECTION))
+    text = plan(clean.label_losses(dedup.count_copies(bronze), INSPECTION))
     assert text.count("HashAggregate") == 2 and "SortAggregate" not in text
     assert text.count("partial_count(1)") == 1
 
 
-def test_a_row_making_up_a_third_of_the_table(spark, bronze, tmp_path):
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_looking_by_hash_first_gives_the_same(spark, bronze, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr("tamis.plans.silver.BROADCAST_HASHES", limit)
+    plain = build_silver(bronze, str(tmp_path / "plain"))
+    hashed = build_silver(bronze, str(tmp_path / "hashed"), hash_first=True)
+    assert hashed.losses == plain.losses and hashed.nulls == plain.nulls
+    assert same_rows(spark.read.parquet(hashed.path), spark.read.parquet(plain.path))
+    assert staged(spark) == []
+
+
+def test_without_duplicates_no_row_is_shuffled(spark, bronze, tmp_path):
+    from tamis.plans.silver import _distinct
+
+    bronze.dropDuplicates().write.parquet(str(tmp_path / "distinct"))
+    distinct = spark.read.parquet(str(tmp_path / "distinct"))
+    text = plan(_distinct(distinct, True, str(tmp_path / "hashes")))
+    assert "Exchange" not in text
+    result = build_silver(distinct, str(tmp_path / "silver"), hash_first=True)
+    assert result.losses["duplicates"] == 0
+    assert same_rows(spark.read.parquet(result.path), silver_rows(bronze))
+
+
+def test_only_repeated_rows_are_shuffled(bronze):
+    text = plan(dedup.count_copies_apart(bronze, dedup.repeated_hashes(bronze)))
+    assert text.count("LeftAnti") == text.count("LeftSemi") == 1
+    assert "SortMergeJoin" not in text and "Cartesian" not in text and "NestedLoop" not in text
+
+
+@pytest.mark.parametrize("hash_first", [False, True])
+def test_a_row_making_up_a_third_of_the_table(spark, bronze, tmp_path, hash_first):
     distinct = bronze.dropDuplicates().filter("id IS NOT NULL")
     n = distinct.count()
     copies = inspection(spark, {"id": -1}).withColumn("date", F.col("date").cast("timestamp_ntz"))
     for c in INSPECTION.flags:
         copies = copies.withColumn(c, F.col(c).cast("bigint"))
     hot = distinct.unionByName(copies.select(F.explode(F.sequence(F.lit(1), F.lit(n // 2))), "*").drop("col"))
-    result = build_silver(hot, str(tmp_path / "silver"))
+    result = build_silver(hot, str(tmp_path / "silver"), hash_first=hash_first)
     assert result.losses["duplicates"] == n // 2 - 1
     assert spark.read.parquet(str(tmp_path / "silver")).filter("id = -1").count() == 1
 
