@@ -16,6 +16,8 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # HotSpot never compiles a method beyond 8000 bytes; wider stages then run operator by operator.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"

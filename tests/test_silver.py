@@ -9,14 +9,12 @@ from pyspark.sql import functions as F
 import fixtures
 from tamis import INSPECTION, build_silver, ingest, silver_rows, transform
 from tamis.errors import (
-    DataLakeConfigurationError,
     HighNullRatioError,
     InvalidNumericRangeError,
     MissingRequiredColumnError,
     NoPartitionFoundError,
 )
 from tamis.operators import clean, dedup
-from tamis.session import scan_split, session_settings, shuffle_width, sized_for, staging_path
 from tests.conftest import SF_DIR
 from tests.test_operators import inspection
 
@@ -251,57 +249,3 @@ def test_silver_run_takes_few_jobs(spark, bronze, tmp_path):
     spark.sparkContext.setJobGroup("", "")
     # Stage (shuffle, write), count (partial, total), publish.
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) <= 5
-
-
-# --- session -----------------------------------------------------------------
-
-
-def test_session_settings():
-    settings = session_settings(s3_endpoint="http://store:9000", s3_access_key="k", s3_secret_key="s", options={"a": "b"})
-    assert settings["spark.sql.session.timeZone"] == "UTC"
-    assert settings["spark.hadoop.fs.s3a.path.style.access"] == "true"
-    assert settings["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
-    assert (settings["spark.hadoop.fs.s3a.access.key"], settings["a"]) == ("k", "b")
-    assert not any("s3a" in key for key in session_settings())
-
-
-def test_shuffle_width_grows_with_the_input():
-    assert shuffle_width(0, 8) == 8
-    assert shuffle_width(10 << 30, 200) == 200
-    assert shuffle_width(1 << 40, 200) == 6144
-    assert shuffle_width(100 << 40, 200) == 32768
-
-
-def test_scan_split_grows_with_the_input():
-    assert scan_split(1 << 40, 128 << 20) == 128 << 20
-    assert scan_split(100 << 40, 128 << 20) > 1 << 30
-
-
-def test_sizes_hold_within_the_block(spark):
-    width = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    split = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(split)
-    with sized_for(spark, 100 << 40):
-        assert spark.conf.get(width) == "32768"
-        assert int(spark.conf.get(split).rstrip("b")) > 1 << 30
-    assert spark.conf.get(width, None) is None
-    assert spark.conf.get(split) == before
-
-
-def test_staging_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
-    class Context:
-        master = "spark://host:7077"
-
-    class Conf:
-        @staticmethod
-        def get(key, default=None):
-            return default
-
-    class Session:
-        conf, sparkContext = Conf, Context
-
-    with pytest.raises(DataLakeConfigurationError):
-        staging_path(Session, "x")
-    assert staging_path(spark, "x") != staging_path(spark, "x")
-    Context.master = "local[2]"
-    assert os.path.isdir(os.path.dirname(staging_path(Session, "x")))
