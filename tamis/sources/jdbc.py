@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from py4j.java_gateway import is_instance_of
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import SourceDBQueryError
+from ..errors import SourceDBConnectionError, SourceDBQueryError
 from ..spec import present
 
 
@@ -75,10 +76,22 @@ def read_table(
         else:
             df = reader.options(dbtable=table).format("jdbc").load()
     except (PySparkException, Py4JJavaError) as e:
-        raise SourceDBQueryError(f"Cannot read table '{table_name}'.", str(e)) from e
+        unreachable = _sql_state(spark, e).startswith("08")
+        error = SourceDBConnectionError if unreachable else SourceDBQueryError
+        raise error(f"Cannot read table '{table_name}'.", str(e)) from e
     return parse_dates(df, date_columns)
 
 
+def _sql_state(spark: SparkSession, error: Exception) -> str:
+    """SQLSTATE of the database error behind `error`; class 08 is "connection exception"."""
+    cause = getattr(error, "java_exception", None)
+    while cause is not None:
+        if is_instance_of(spark.sparkContext._gateway, cause, "java.sql.SQLException"):
+            return cause.getSQLState() or ""
+        cause = cause.getCause()
+    return ""
+
+
 def parse_dates(df: DataFrame, columns: Sequence[str] = ("date",)) -> DataFrame:
     """Cast the given columns to timestamps; what is no date becomes NULL."""
     dates = {c: F.col(c).try_cast("timestamp") for c in present(df, columns)}

@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import DataLakeReadError, DataLakeWriteError, NoPartitionFoundError
+from ..errors import DataLakeBucketNotFoundError, DataLakeReadError, DataLakeWriteError, NoPartitionFoundError
 
 DATE_COLUMN = "ingest_date"
 
@@ -47,6 +47,12 @@ def _layout(layout: str) -> tuple[str, str]:
     return _LAYOUTS[layout]
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's path object and the file system it lies on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def snapshot_path(table: str, day: date | None = None, layout: str = "ingest_date") -> str:
     """Path of the snapshot of `day` (today in UTC by default), relative to the root."""
     _layout(layout)
@@ -63,10 +69,9 @@ def snapshot_days(spark: SparkSession, root: str, table: str, layout: str = "ing
     directories, pattern = _layout(layout)
     if "/" in table:
         return []
-    glob = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{table}/{directories}")
-    found = glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob)
+    glob, files = _file_system(spark, f"{root.rstrip('/')}/{table}/{directories}")
     days = []
-    for status in found or ():
+    for status in files.globStatus(glob) or ():
         name = "/".join(status.getPath().toString().split("/")[-directories.count("/") - 1 :])
         parts = re.fullmatch(pattern, name, re.ASCII)
         try:
@@ -85,6 +90,9 @@ def snapshot_size(spark: SparkSession, root: str, path: str) -> tuple[int, int]:
 
 def latest_snapshot(spark: SparkSession, root: str, table: str, layout: str = "ingest_date") -> Snapshot:
     """The latest snapshot that holds a file; `NoPartitionFoundError` if there is none."""
+    top, files = _file_system(spark, root)
+    if not files.exists(top):
+        raise DataLakeBucketNotFoundError(f"'{root}' does not exist.")
     for day, path in snapshot_days(spark, root, table, layout):
         n_files, n_bytes = snapshot_size(spark, root, path)
         if n_files:
@@ -160,5 +168,5 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
 
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a table this run has staged."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    target, files = _file_system(spark, path)
+    files.delete(target, True)

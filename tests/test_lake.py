@@ -3,7 +3,14 @@ from datetime import UTC, date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tamis.errors import DataLakeReadError, DataLakeWriteError, NoPartitionFoundError, SourceDBQueryError
+from tamis.errors import (
+    DataLakeBucketNotFoundError,
+    DataLakeReadError,
+    DataLakeWriteError,
+    NoPartitionFoundError,
+    SourceDBConnectionError,
+    SourceDBQueryError,
+)
 from tamis.plans.bronze import extract, ingest
 from tamis.sources import jdbc, lake
 from tests.test_operators import inspection
@@ -80,6 +87,11 @@ def test_table_name_with_a_slash_has_no_snapshot(spark, tmp_path):
         lake.latest_snapshot(spark, str(tmp_path), "a/b", "ymd")
 
 
+def test_no_root(spark, tmp_path):
+    with pytest.raises(DataLakeBucketNotFoundError):
+        lake.latest_snapshot(spark, str(tmp_path / "absent"), "inspection")
+
+
 def test_no_snapshot(spark, tmp_path):
     with pytest.raises(NoPartitionFoundError, match="absent"):
         lake.latest_snapshot(spark, str(tmp_path), "absent")
@@ -211,8 +223,12 @@ def test_extract_stores_what_the_table_holds(spark, tmp_path, monkeypatch):
     assert result.n_rows == lake.read_bronze_parquet(spark, f"{tmp_path}/{result.path}").count() == 2
 
 
-def test_a_database_that_cannot_be_read(spark):
+@pytest.mark.parametrize("options", [{}, {"partition_column": None}, {"predicates": ["id < 5", "id >= 5"]}])
+def test_a_database_that_cannot_be_reached(spark, options):
+    with pytest.raises(SourceDBConnectionError, match="inspection"):
+        jdbc.read_table(spark, "jdbc:nosuch:db", "inspection", **options)
+
+
+def test_other_failures_of_a_read(spark):
     with pytest.raises(SourceDBQueryError, match="inspection"):
-        jdbc.read_table(spark, "jdbc:nosuch:db", "inspection")
-    with pytest.raises(SourceDBQueryError):
-        jdbc.read_table(spark, "jdbc:nosuch:db", "inspection", predicates=["id < 5", "id >= 5 OR id IS NULL"])
+        jdbc.read_table(spark, "jdbc:nosuch:db", "inspection", properties={"driver": "no.such.Driver"})

@@ -184,6 +184,19 @@ def test_looking_by_hash_first_gives_the_same(spark, bronze, tmp_path, monkeypat
     assert staged(spark) == []
 
 
+def test_large_snapshots_are_looked_at_by_hash_first(spark, bronze, tmp_path, monkeypatch):
+    from tamis.plans import silver
+
+    seen, find = [], silver.repeated_hashes
+    monkeypatch.setattr(silver, "repeated_hashes", lambda rows: seen.append(rows) or find(rows))
+    ingest(bronze, f"{tmp_path}/bronze", "inspection")
+    transform(spark, f"{tmp_path}/bronze", f"{tmp_path}/silver")
+    assert not seen
+    monkeypatch.setattr(silver, "HASH_FIRST_BYTES", 1)
+    transform(spark, f"{tmp_path}/bronze", f"{tmp_path}/silver")
+    assert len(seen) == 1
+
+
 def test_without_duplicates_no_row_is_shuffled(spark, bronze, tmp_path):
     from tamis.plans.silver import _distinct
 

@@ -1,5 +1,5 @@
 import pytest
-from hypothesis import given
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -65,6 +65,12 @@ def test_repair_encoding_agrees_with_python_on_every_byte_pair(spark):
     assert apply(spark, texts, repair_encoding) == [repaired_in_python(t) for t in texts]
 
 
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts=st.lists(st.text(max_size=8) | st.text(max_size=8).map(lambda t: t.encode().decode("latin-1")), min_size=9))
+def test_repair_encoding_agrees_with_python_on_random_text(spark, texts):
+    assert apply(spark, texts, repair_encoding) == [repaired_in_python(t) for t in texts]
+
+
 def test_repair_encoding_agrees_with_python_on_whole_documents(spark):
     sound = [r["text"] for r in fixtures.table(spark, SF_DIR, "documents").select("text").collect()]
     once = [t.encode("utf-8").decode("latin-1") for t in sound]
