@@ -22,6 +22,7 @@ _DEFAULTS = {
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _SPLIT = "spark.sql.files.maxPartitionBytes"
+_MERGED = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 _SHUFFLE_WIDTH = "spark.sql.shuffle.partitions"
 _INITIAL_WIDTH = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
@@ -82,8 +83,8 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def scan_split(input_bytes: int, minimum: int) -> int:
-    """Bytes of Parquet per scan task: as configured, or more, so that 100 000 tasks cover the input."""
+def task_bytes(input_bytes: int, minimum: int) -> int:
+    """Bytes for one task: as configured, or more, so that 100 000 tasks cover the input."""
     return max(minimum, -(-input_bytes // 100_000))
 
 
@@ -100,14 +101,22 @@ def shuffle_width(input_bytes: int, minimum: int) -> int:
 
 @contextmanager
 def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
-    """Within the block, plan scans and shuffles for `input_bytes`; AQE merges what proves small."""
-    before = {key: spark.conf.get(key, None) for key in (_SPLIT, _INITIAL_WIDTH)}
-    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_SPLIT))
+    """Within the block, plan scans and shuffles for `input_bytes` of Parquet.
+
+    Scan tasks, shuffle width, and the size to which AQE merges or splits
+    shuffle partitions grow with the input; none falls below what is configured.
+    """
+    before = {key: spark.conf.get(key, None) for key in (_SPLIT, _MERGED, _INITIAL_WIDTH)}
+    in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for key in (_SPLIT, _MERGED):
+        spark.conf.set(key, task_bytes(input_bytes, in_bytes(spark.conf.get(key))))
     width = int(before[_INITIAL_WIDTH] or spark.conf.get(_SHUFFLE_WIDTH))
-    spark.conf.set(_SPLIT, scan_split(input_bytes, split))
     spark.conf.set(_INITIAL_WIDTH, shuffle_width(input_bytes, width))
     try:
         yield
     finally:
         for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

@@ -173,6 +173,21 @@ def test_partitioned_write_replaces_only_its_partitions(spark, tmp_path):
     assert counts == {0: 3, 1: 3, 2: 1}
 
 
+def test_a_partition_holding_most_rows_is_written_by_several_tasks(spark, tmp_path):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    rows = spark.range(200_000).repartition(8).withColumn("p", F.when(F.col("id") % 50 == 0, F.col("id") % 3).otherwise(9))
+    before = spark.conf.get(size)
+    spark.conf.set(size, "200k")
+    try:
+        lake.write_silver_parquet(rows, str(tmp_path / "t"), partition_by=["p"])
+    finally:
+        spark.conf.set(size, before)
+    files = {part.name: len(list(part.glob("*.parquet"))) for part in (tmp_path / "t").glob("p=*")}
+    assert files.pop("p=9") > 1
+    assert 1 in files.values()
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 200_000
+
+
 # --- relational source: everything up to the connection ----------------------
 
 

@@ -41,7 +41,8 @@ def test_duplicates_treat_null_nan_and_zero_signs_as_equal(spark):
 
 
 def test_counting_copies_apart_gives_the_same(spark, inspections):
-    plain, apart = dedup.count_copies(inspections), dedup.count_copies_apart(inspections, dedup.repeated_hashes(inspections))
+    plain = dedup.count_copies(inspections)
+    apart = dedup.count_copies_apart(inspections, dedup.repeated_hashes(inspections))
     assert plain.columns == apart.columns
     assert plain.exceptAll(apart).isEmpty() and apart.exceptAll(plain).isEmpty()
 

@@ -63,7 +63,9 @@ def test_range_bounds_belong_to_the_range(spark, value):
     quality.validate_numeric_ranges(inspection(spark, {"t_av": value}), INSPECTION)
 
 
-@pytest.mark.parametrize("column, value", [("t_av", -0.5), ("t_ar", 120.5), ("t_av", math.nan), ("ar_v", 50.5), ("av_h", -1.0)])
+@pytest.mark.parametrize(
+    "column, value", [("t_av", -0.5), ("t_ar", 120.5), ("t_av", math.nan), ("ar_v", 50.5), ("av_h", -1.0)]
+)
 def test_values_out_of_range(spark, column, value):
     with pytest.raises(errors.InvalidNumericRangeError, match=f"{column}: 1 "):
         quality.validate_numeric_ranges(inspection(spark, {column: value}), INSPECTION)

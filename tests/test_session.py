@@ -3,11 +3,12 @@ import os
 import pytest
 
 from tamis.errors import DataLakeConfigurationError
-from tamis.session import scan_split, session_settings, shuffle_width, sized_for, staging_path
+from tamis.session import session_settings, shuffle_width, sized_for, staging_path, task_bytes
 
 
 def test_session_settings():
-    settings = session_settings(s3_endpoint="http://store:9000", s3_access_key="k", s3_secret_key="s", options={"a": "b"})
+    store = {"s3_endpoint": "http://store:9000", "s3_access_key": "k", "s3_secret_key": "s"}
+    settings = session_settings(**store, options={"a": "b"})
     assert settings["spark.sql.session.timeZone"] == "UTC"
     assert settings["spark.hadoop.fs.s3a.path.style.access"] == "true"
     assert settings["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
@@ -22,20 +23,20 @@ def test_shuffle_width_grows_with_the_input():
     assert shuffle_width(100 << 40, 200) == 32768
 
 
-def test_scan_split_grows_with_the_input():
-    assert scan_split(1 << 40, 128 << 20) == 128 << 20
-    assert scan_split(100 << 40, 128 << 20) > 1 << 30
+def test_task_bytes_grow_with_the_input():
+    assert task_bytes(1 << 40, 128 << 20) == 128 << 20
+    assert task_bytes(100 << 40, 128 << 20) > 1 << 30
 
 
 def test_sizes_hold_within_the_block(spark):
     width = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    split = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(split)
+    sizes = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(key) for key in sizes]
     with sized_for(spark, 100 << 40):
         assert spark.conf.get(width) == "32768"
-        assert int(spark.conf.get(split).rstrip("b")) > 1 << 30
+        assert all(int(spark.conf.get(key).rstrip("b")) > 1 << 30 for key in sizes)
     assert spark.conf.get(width, None) is None
-    assert spark.conf.get(split) == before
+    assert [spark.conf.get(key) for key in sizes] == before
 
 
 def test_staging_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
