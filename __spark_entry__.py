@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-import fixtures  # noqa: E402
+import inspection_fixtures as fixtures  # noqa: E402
 from tamis.functions.text import repair_encoding  # noqa: E402
 from tamis.operators import clean, features, quality, standardize  # noqa: E402
 from tamis.plans.bronze import ingest  # noqa: E402
-from tamis.plans.silver import silver_rows, transform  # noqa: E402
+from tamis.plans.silver import distinct_by_hash, silver_rows, transform  # noqa: E402
 from tamis.session import staging_path  # noqa: E402
 from tamis.sources.lake import (  # noqa: E402
     DATE_COLUMN,
@@ -59,6 +59,11 @@ def dedup_exact(spark, sf_dir):
     return fixtures.inspection(spark, sf_dir).dropDuplicates()
 
 
+def dedup_by_hash(spark, sf_dir):
+    """Each distinct row with the number of its copies, found by row hash first."""
+    return distinct_by_hash(fixtures.inspection(spark, sf_dir), staging_path(spark, "query-hashes"))
+
+
 def clean_rows(spark, sf_dir):
     return clean.clean(fixtures.inspection(spark, sf_dir), INSPECTION)
 
@@ -217,6 +222,7 @@ def text_length(spark, sf_dir):
 def queries() -> dict[str, Query]:
     return {
         "dedup_exact": dedup_exact,
+        "dedup_by_hash": dedup_by_hash,
         "clean": clean_rows,
         "fill_missing": fill_missing,
         "row_loss": row_loss,
@@ -349,6 +355,7 @@ def oracle_sql() -> dict[str, str]:
     measures = ", ".join(c for c in _MEASURES if c not in ("t_av", "t_ar"))
     return {
         "dedup_exact": f"SELECT DISTINCT * FROM ({_RAW}) raw",
+        "dedup_by_hash": f"SELECT *, count(*) AS _copies FROM ({_RAW}) raw GROUP BY ALL",
         "clean": _CLEAN,
         "fill_missing": _FILLED,
         "row_loss": _loss_rows(),
@@ -383,8 +390,8 @@ FROM (
   UNION ALL SELECT date - INTERVAL 31 DAY, temperature_max FROM ({_SILVER}) s
 ) both_runs GROUP BY ALL""",
         "bronze_roundtrip": _RAW,
-        "latest_partition": "SELECT *, 'events/ingest_date=' || CAST(CAST(ts AS DATE) AS VARCHAR) AS snapshot_path FROM events "
-        "WHERE CAST(ts AS DATE) = (SELECT CAST(max(ts) AS DATE) FROM events)",
+        "latest_partition": "SELECT *, 'events/ingest_date=' || CAST(CAST(ts AS DATE) AS VARCHAR) AS snapshot_path "
+        "FROM events WHERE CAST(ts AS DATE) = (SELECT CAST(max(ts) AS DATE) FROM events)",
         "latest_partition_ymd": "SELECT *, CAST(3 AS BIGINT) AS n_snapshots, 'orders/2026/07/29' AS snapshot_path "
         "FROM orders WHERE o_orderstatus = 'P'",
         "pk_duplicates": f"SELECT id, count(*) AS n_rows FROM ({_RAW}) raw "

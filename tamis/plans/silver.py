@@ -78,10 +78,12 @@ def _counted(staged: DataFrame, spec: TableSpec) -> dict[str, int]:
     return staged.agg(*[figure.alias(name) for name, figure in figures.items()]).first().asDict()
 
 
-def _distinct(rows: DataFrame, hash_first: bool, folder: str) -> DataFrame:
-    """Distinct rows with their copies, in the cheaper of the two exact ways."""
-    if not hash_first:
-        return count_copies(rows)
+def distinct_by_hash(rows: DataFrame, folder: str) -> DataFrame:
+    """Distinct rows and `_copies`, shuffling whole rows only where hashes repeat.
+
+    The repeated hashes are stored at `folder`, so that they are found once
+    and counted before they are broadcast.
+    """
     write_parquet(repeated_hashes(rows), folder)
     repeated = rows.sparkSession.read.parquet(folder)
     n_repeated = repeated.count()
@@ -117,7 +119,8 @@ def build_silver(
     rows = _checked_names(bronze, spec)
     folder = staging_path(spark, f"silver-{spec.name}")
     try:
-        filled = fill_defaults(label_losses(_distinct(rows, hash_first, f"{folder}/repeated"), spec), spec)
+        distinct = distinct_by_hash(rows, f"{folder}/repeated") if hash_first else count_copies(rows)
+        filled = fill_defaults(label_losses(distinct, spec), spec)
         nulls = {c: test for c, test in null_tests(filled, spec).items() if c not in (LOSS, COPIES)}
         typed = _standardize(filled.withColumns(_marks(nulls, _NULL)), spec)
         ranges = range_tests(typed, spec)

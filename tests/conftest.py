@@ -30,6 +30,6 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def inspections(spark):
-    import fixtures
+    import inspection_fixtures as fixtures
 
     return fixtures.inspection(spark, SF_DIR)

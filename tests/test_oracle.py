@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-import fixtures
+import inspection_fixtures as fixtures
 from tests.conftest import SF_DIR
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()

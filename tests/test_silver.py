@@ -6,7 +6,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-import fixtures
+import inspection_fixtures as fixtures
 from tamis import INSPECTION, build_silver, ingest, silver_rows, transform
 from tamis.errors import (
     HighNullRatioError,
@@ -198,11 +198,11 @@ def test_large_snapshots_are_looked_at_by_hash_first(spark, bronze, tmp_path, mo
 
 
 def test_without_duplicates_no_row_is_shuffled(spark, bronze, tmp_path):
-    from tamis.plans.silver import _distinct
+    from tamis.plans.silver import distinct_by_hash
 
     bronze.dropDuplicates().write.parquet(str(tmp_path / "distinct"))
     distinct = spark.read.parquet(str(tmp_path / "distinct"))
-    text = plan(_distinct(distinct, True, str(tmp_path / "hashes")))
+    text = plan(distinct_by_hash(distinct, str(tmp_path / "hashes")))
     assert "Exchange" not in text
     result = build_silver(distinct, str(tmp_path / "silver"), hash_first=True)
     assert result.losses["duplicates"] == 0

@@ -3,7 +3,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-import fixtures
+import inspection_fixtures as fixtures
 from tamis.functions.text import blank_to_null, repair_encoding, standard_name
 from tests.conftest import SF_DIR
 
