@@ -27,5 +27,5 @@ def repair_encoding(text: Column) -> Column:
     """
     as_utf8 = F.try_validate_utf8(F.encode(text, "ISO-8859-1").cast("string"))
     is_ascii = F.octet_length(text) == F.char_length(text)
-    beyond_latin1 = text.rlike(r"[^\x{00}-\x{FF}]")
+    beyond_latin1 = text.rlike(r"[\x{100}-\x{10FFFF}]")
     return F.when(is_ascii | beyond_latin1, text).otherwise(F.coalesce(as_utf8, text))
