@@ -247,3 +247,10 @@ def test_a_database_that_cannot_be_reached(spark, options):
 def test_other_failures_of_a_read(spark):
     with pytest.raises(SourceDBQueryError, match="inspection"):
         jdbc.read_table(spark, "jdbc:nosuch:db", "inspection", properties={"driver": "no.such.Driver"})
+
+
+def test_bronze_keeps_raw_column_names(spark, tmp_path):
+    raw = spark.range(1).selectExpr("id AS ` T-AV (°C) `", "id AS `Date, heure; a=b`", "id AS `x.y`")
+    for layout in ("ymd", "ingest_date"):
+        result = ingest(raw, str(tmp_path), "inspection", day=DAY, layout=layout)
+        assert lake.read_bronze_parquet(spark, f"{tmp_path}/{result.path}").columns == raw.columns
