@@ -33,6 +33,19 @@ from tamis.sources.lake import (  # noqa: E402
 )
 from tamis.spec import INSPECTION  # noqa: E402
 
+# The pipeline operators may be taken out as a whole; the rest works without them.
+try:
+    import corpus_pipeline  # noqa: E402
+    from tamis.llm.queries import ORACLE_SQL as LLM_ORACLE_SQL  # noqa: E402
+    from tamis.llm.queries import QUERIES as LLM_QUERIES  # noqa: E402
+
+    LLM_QUERIES = LLM_QUERIES | {"pipeline": corpus_pipeline.run}
+    LLM_ORACLE_SQL = LLM_ORACLE_SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tamis.llm", "tamis.llm.queries"):
+        raise
+    LLM_QUERIES, LLM_ORACLE_SQL = {}, {}
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Bounds tight enough for the test data to violate them.
@@ -220,6 +233,14 @@ def text_length(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
+    return core_queries() | LLM_QUERIES
+
+
+def oracle_sql() -> dict[str, str]:
+    return core_oracle_sql() | LLM_ORACLE_SQL
+
+
+def core_queries() -> dict[str, Query]:
     return {
         "dedup_exact": dedup_exact,
         "dedup_by_hash": dedup_by_hash,
@@ -350,7 +371,7 @@ UNION ALL SELECT 'missing_critical', critical FROM counts
 UNION ALL SELECT 'kept', distinct_rows - missing_id - missing_date - critical FROM counts"""
 
 
-def oracle_sql() -> dict[str, str]:
+def core_oracle_sql() -> dict[str, str]:
     profiled = [c for c in INSPECTION.columns if c not in INSPECTION.null_exempt]
     measures = ", ".join(c for c in _MEASURES if c not in ("t_av", "t_ar"))
     return {

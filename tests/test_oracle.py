@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 import inspection_fixtures as fixtures
 from tests.conftest import SF_DIR
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = entry.core_queries(), entry.core_oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -37,6 +37,7 @@ def _bag(columns, rows):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
