@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import substring_dedup, suffix_dedup
+from tamis.llm import minhash_dedup, substring_dedup, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,9 +22,14 @@ def op6_substring_dedup(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op10_minhash_dedup(spark, sf_dir):
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op6_substring_dedup": op6_substring_dedup,
+    "op10_minhash_dedup": op10_minhash_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
