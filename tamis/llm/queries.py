@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import minhash_dedup, substring_dedup, suffix_dedup
+from tamis.llm import language_id, minhash_dedup, substring_dedup, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,13 @@ def op3_suffix_dedup(spark, sf_dir):
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.where(~language_id.held_out()))
+    found = language_id.identify(docs, model)
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op6_substring_dedup(spark, sf_dir):
     found = substring_dedup.remove_repeated_passages(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
@@ -28,6 +35,7 @@ def op10_minhash_dedup(spark, sf_dir):
 
 QUERIES = {
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_language_id": op4_language_id,
     "op6_substring_dedup": op6_substring_dedup,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
