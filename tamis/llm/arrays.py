@@ -69,11 +69,11 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-def word_bounds(data: np.ndarray, doc_starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the words in concatenated documents; no word spans two documents."""
+def word_bounds(data: np.ndarray, doc_starts: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words in concatenated documents, by the table of bytes that separate words; no word spans two documents."""
     if not len(data):
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    inside = ~_SPACE[data]
+    inside = ~between[data]
     before = np.empty(len(data), bool)
     before[0] = False
     before[1:] = inside[:-1]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import language_id, minhash_dedup, substring_dedup, suffix_dedup
+from tamis.llm import language_id, minhash_dedup, substring_dedup, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,14 @@ def op6_substring_dedup(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op7_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    learnt = docs.where(~toxicity.held_out()).select("doc_id", "text").join(labels.where(~toxicity.held_out()), "doc_id")
+    found = toxicity.score(docs, toxicity.train(learnt))
+    return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def op10_minhash_dedup(spark, sf_dir):
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -37,6 +45,7 @@ QUERIES = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_language_id": op4_language_id,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_toxicity": op7_toxicity,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
 
