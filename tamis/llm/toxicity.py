@@ -1,7 +1,7 @@
 """Toxicity by a small bidirectional gated recurrent network with attention pooling, in numpy.
 
-A word enters as a trained vector of its hash and the mean of trained vectors of
-its character 3-grams. Forward and backward GRUs run over windows of `WIDTH`
+A word enters as a trained vector of its hash and the maximum, by dimension, of
+trained vectors of its character 3- to 7-grams (in UTF-8). Forward and backward GRUs run over windows of `WIDTH`
 words, every `STRIDE` words; attention pools the states of a window into a
 logit. A document takes its highest window, mapped to a probability by a logistic
 fit. Training takes at most `SAMPLE_DOCS` documents of each label and
@@ -24,7 +24,7 @@ from tamis.llm.arrays import concat, mix, window_hashes, word_bounds, word_hashe
 
 SAMPLE_DOCS, SAMPLE_WINDOWS = 2500, 64
 WIDTH, STRIDE = 32, 16
-WORDS, GRAMS = 1 << 15, 1 << 12
+WORDS, GRAMS, SPANS = 1 << 15, 1 << 17, range(3, 8)
 EPOCHS, BATCH = 8, 256
 DECISION = 0.3
 
@@ -54,15 +54,32 @@ def split_words(texts: list[bytes]) -> Words:
     hashes = word_hashes(data, starts, ends, lower=True)
     values, first, index = np.unique(hashes, return_index=True, return_inverse=True)
     sizes = ends[first] - starts[first]
-    # each distinct word once, between two marks, for its 3-grams
-    length = sizes + 2
-    gram_at = np.concatenate([[0], np.cumsum(length - 2)])
-    inside = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    # each distinct word once, after a mark; its n-grams, longest last, up to the end of the word
+    length = sizes + 1
+    begin = np.cumsum(length) - length
     spelt = np.full(int(length.sum()), ord("_"), np.uint8)
-    spelt[np.repeat(np.cumsum(length) - length + 1, sizes) + inside] = _LOWER[data[np.repeat(starts[first], sizes) + inside]]
-    grams = window_hashes(mix(spelt.astype(np.uint64)), 3)
-    grams = grams[np.repeat(np.cumsum(length) - length, sizes) + inside] % np.uint64(GRAMS)
-    return Words(index, np.searchsorted(starts, bounds), (values % np.uint64(WORDS)).astype(np.int64), grams.astype(np.int64), gram_at)
+    spelt[_spread(begin + 1, sizes)] = _LOWER[data[_spread(starts[first], sizes)]]
+    symbols, parts, owners = mix(spelt.astype(np.uint64)), [], []
+    for n in SPANS:
+        many = np.maximum(length - n + 1, 1 if n == SPANS[0] else 0)
+        hashed = np.concatenate([window_hashes(symbols, n), np.zeros(n, np.uint64)])
+        parts.append(hashed[_spread(begin, many)])
+        owners.append(np.repeat(np.arange(len(sizes)), many))
+    owner = np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    grams = (np.concatenate(parts)[order] % np.uint64(GRAMS)).astype(np.int64)
+    gram_at = np.searchsorted(owner[order], np.arange(len(sizes) + 1))
+    return Words(index, np.searchsorted(starts, bounds), (values % np.uint64(WORDS)).astype(np.int64), grams, gram_at)
+
+
+def _spread(begin: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The places begin, begin + 1, ... of each run."""
+    return np.repeat(begin - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+
+
+def _per_word(values: np.ndarray, words: Words) -> np.ndarray:
+    """The maximum over the n-grams of each distinct word."""
+    return np.maximum.reduceat(values, words.gram_at[:-1], axis=0) if len(words.buckets) else values[:0]
 
 
 def windows(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -87,14 +104,15 @@ class Network:
     p: dict[str, np.ndarray] = field(default_factory=dict)
 
     @classmethod
-    def fresh(cls, odds: np.ndarray) -> Network:
-        """Small random parameters; the first word dimension starts at the word's log odds."""
+    def fresh(cls, odds: np.ndarray, gram_odds: np.ndarray) -> Network:
+        """Small random parameters; the first dimension of words and n-grams starts at their log odds."""
         rng = np.random.default_rng(5)
         wide = lambda *s: (rng.standard_normal(s) / np.sqrt(s[0])).astype(np.float32)
         p = {"word": (0.1 * rng.standard_normal((WORDS + 1, _EW))).astype(np.float32)}
         p["word"][:, 0] = odds / 2
         p["word"][WORDS] = 0
         p["gram"] = (0.1 * rng.standard_normal((GRAMS, _EG))).astype(np.float32)
+        p["gram"][:, 0] = gram_odds / 2
         for d in "fb":
             p |= {f"x{d}": wide(_EW + _EG, 3 * _H), f"h{d}": wide(_H, 3 * _H), f"c{d}": np.zeros(3 * _H, np.float32)}
         p |= {"a": wide(2 * _H, _A), "v": wide(_A), "o": wide(2 * _H), "bias": np.zeros(1, np.float32)}
@@ -102,10 +120,8 @@ class Network:
 
     def inputs(self, words: Words) -> np.ndarray:
         """A row for each distinct word, then one of zeros for places past the end."""
-        total = np.vstack([np.zeros((1, _EG)), np.cumsum(self.p["gram"][words.grams], axis=0, dtype=np.float64)])
-        size = np.diff(words.gram_at)[:, None]
-        mean = (total[words.gram_at[1:]] - total[words.gram_at[:-1]]) / np.maximum(size, 1)
-        return np.vstack([np.hstack([self.p["word"][words.buckets], mean]), np.zeros((1, _EW + _EG))]).astype(np.float32)
+        best = _per_word(self.p["gram"][words.grams], words)
+        return np.vstack([np.hstack([self.p["word"][words.buckets], best]), np.zeros((1, _EW + _EG))]).astype(np.float32)
 
     def states(self, x: np.ndarray, place: np.ndarray, d: str, keep: list | None = None) -> np.ndarray:
         """The states of one direction over (windows, WIDTH) places into the projected rows x."""
@@ -225,18 +241,15 @@ def fit(texts: list[bytes], labels: np.ndarray, toxic_share: float) -> ToxicityM
     """Train on texts of both labels; `toxic_share` is that of all labelled rows, for the calibration."""
     words = split_words(texts)
     n, word_doc = len(texts), np.repeat(np.arange(len(texts)), np.diff(words.at))
-    seen = np.unique(word_doc * np.int64(WORDS) + words.buckets[words.index])
-    toxic, bucket = labels[seen // WORDS] > 0, seen % WORDS
-    with_it, without = np.bincount(bucket[toxic], minlength=WORDS + 1), np.bincount(bucket[~toxic], minlength=WORDS + 1)
-    total = max(1, int((labels > 0).sum())), max(1, int((labels == 0).sum()))
-    odds = np.log((with_it + 1) / (total[0] + 2)) - np.log((without + 1) / (total[1] + 2))
-    odds = np.maximum(odds, 0) * np.minimum(1, with_it / 8)
+    odds = _odds(word_doc, words.buckets[words.index], labels, WORDS + 1)
+    size = np.diff(words.gram_at)[words.index]
+    gram_odds = _odds(np.repeat(word_doc, size), words.grams[_spread(words.gram_at[words.index], size)], labels, GRAMS)
 
     doc, place = windows(words)
     index = np.append(words.index, len(words.buckets))
     place = index[place]
-    strength = np.append(odds[words.buckets], 0)[place].max(axis=1)
-    network, rng = Network.fresh(odds), np.random.default_rng(3)
+    strength = np.append(np.maximum(odds[words.buckets], _per_word(gram_odds[words.grams], words)), 0)[place].max(axis=1)
+    network, rng = Network.fresh(odds, gram_odds), np.random.default_rng(3)
     adam, squares = _Adam(), {"word": np.full((WORDS + 1, 1), 1e-3), "gram": np.full((GRAMS, 1), 1e-3)}
     order = np.arange(len(doc))
     for epoch in range(EPOCHS):
@@ -258,17 +271,27 @@ def fit(texts: list[bytes], labels: np.ndarray, toxic_share: float) -> ToxicityM
             adam.step(network.p, g, 0.01)
             _sparse(network.p["word"], squares["word"], some.buckets, dx[:-1, :_EW])
             size = np.diff(some.gram_at)
-            _sparse(network.p["gram"], squares["gram"], some.grams, np.repeat(dx[:-1, _EW:] / np.maximum(size, 1)[:, None], size, axis=0))
+            chosen_gram = network.p["gram"][some.grams] == np.repeat(x[:-1, _EW:], size, axis=0)
+            _sparse(network.p["gram"], squares["gram"], some.grams, chosen_gram * np.repeat(dx[:-1, _EW:], size, axis=0))
         strength = highest(network, words)[1]
     top = np.full(n, -np.inf)
     np.maximum.at(top, doc, strength)
     return ToxicityModel(network, *_calibrated(top, labels, toxic_share))
 
 
+def _odds(doc: np.ndarray, bucket: np.ndarray, labels: np.ndarray, buckets: int) -> np.ndarray:
+    """By bucket, how much likelier toxic texts hold it than others; 0 without evidence from several texts."""
+    seen = np.unique(doc * np.int64(buckets) + bucket)
+    toxic, bucket = labels[seen // buckets] > 0, seen % buckets
+    with_it, without = np.bincount(bucket[toxic], minlength=buckets), np.bincount(bucket[~toxic], minlength=buckets)
+    total = max(1, int((labels > 0).sum())), max(1, int((labels == 0).sum()))
+    odds = np.log((with_it + 1) / (total[0] + 2)) - np.log((without + 1) / (total[1] + 2))
+    return np.maximum(odds, 0) * np.minimum(1, with_it / 8)
+
+
 def _subset(words: Words, used: np.ndarray) -> Words:
     size = np.diff(words.gram_at)[used]
-    inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-    grams = words.grams[np.repeat(words.gram_at[used], size) + inside]
+    grams = words.grams[_spread(words.gram_at[used], size)]
     return Words(np.empty(0, np.int64), np.zeros(1, np.int64), words.buckets[used], grams, np.concatenate([[0], np.cumsum(size)]))
 
 
@@ -318,7 +341,7 @@ def train(labelled: DataFrame, text_column: str = "text", label_column: str = "t
         return None
     draw = F.pmod(F.xxhash64("text", F.lit("toxicity")), F.lit(1 << 20)) / F.lit(float(1 << 20))
     rate = F.when(F.col("toxic") == 1, min(1.0, sample_docs / sizes[1])).otherwise(min(1.0, sample_docs / sizes[0]))
-    picked = rows.where(draw <= rate).mapInArrow(_sampled, "toxic int, text binary").limit(4 * sample_docs)
+    picked = rows.where(draw <= rate).dropDuplicates().mapInArrow(_sampled, "toxic int, text binary").limit(4 * sample_docs)
     found = sorted((int(r["toxic"]), bytes(r["text"])) for r in picked.collect())
     labels = np.array([toxic for toxic, _ in found])
     if len(set(labels.tolist())) < 2:
