@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import language_id, minhash_dedup, substring_dedup, suffix_dedup, toxicity
+from tamis.llm import language_id, minhash_dedup, pii, substring_dedup, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark, sf_dir):
+    found = pii.sanitise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [pii.count_of(F.col("_spans"), k).alias(f"n_{k}") for k in pii.KINDS]
+    base = F.sha2(F.encode(pii.joined_spans(F.col("_spans"), tuple(pii.KINDS)), "UTF-8"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, pii.joined_spans(F.col("_spans")).alias("spans"))
+
+
 def op3_suffix_dedup(spark, sf_dir):
     found = suffix_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -42,6 +49,7 @@ def op10_minhash_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_language_id": op4_language_id,
     "op6_substring_dedup": op6_substring_dedup,
