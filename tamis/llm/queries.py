@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import language_id, minhash_dedup, pii, substring_dedup, suffix_dedup, toxicity
+from tamis.llm import language_id, minhash_dedup, mixing, pii, substring_dedup, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_pii(spark, sf_dir):
     return found.select("doc_id", *counts, base, pii.joined_spans(F.col("_spans")).alias("spans"))
 
 
+def op2_mixing(spark, sf_dir):
+    documents, _ = mixing.mix(table(spark, sf_dir, "documents"))
+    return documents.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op3_suffix_dedup(spark, sf_dir):
     found = suffix_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -50,6 +55,7 @@ def op10_minhash_dedup(spark, sf_dir):
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_mixing": op2_mixing,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_language_id": op4_language_id,
     "op6_substring_dedup": op6_substring_dedup,
