@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from tamis.llm.arrays import byte_symbols, concat, covered, window_hashes, word_bounds, word_hashes
 from tamis.llm.scratch import written, written_by_key
 
-BLOCK_BYTES = 8 << 20
-BLOCK_ROWS = 8192
+BLOCK_BYTES = 2 << 20
+BLOCK_ROWS = 4096
 BUCKET_BYTES = 64 << 20
 NULL_ID = -(1 << 63)
 
