@@ -43,13 +43,11 @@ def byte_symbols() -> np.ndarray:
     return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 
 
-def window_hashes(symbols: np.ndarray, width: int) -> np.ndarray:
-    """The hash of each run of `width` symbols, by its start; empty if there are fewer."""
-    n = len(symbols) - width + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
+def window_hashes(symbols: np.ndarray, width: int, at: np.ndarray | None = None) -> np.ndarray:
+    """The hash of each run of `width` symbols, by its start; of those at the ascending starts `at` only, if given."""
+    n = max(0, len(symbols) - width + 1)
     power, inverse = _powers()
-    out = np.empty(n, np.uint64)
+    out = np.empty(n if at is None else len(at), np.uint64)
     step = SEGMENT - width
     if step <= 0:
         raise ValueError(f"width must be under {SEGMENT}")
@@ -58,10 +56,20 @@ def window_hashes(symbols: np.ndarray, width: int) -> np.ndarray:
         part = symbols[start : stop + width - 1]
         sums = np.zeros(len(part) + 1, np.uint64)
         np.cumsum(part * power[: len(part)], out=sums[1:])
-        out[start:stop] = (sums[width:] - sums[:-width]) * inverse[: stop - start]
+        if at is None:
+            out[start:stop] = (sums[width:] - sums[:-width]) * inverse[: stop - start]
+        else:
+            a, b = np.searchsorted(at, (start, stop))
+            own = at[a:b] - start
+            out[a:b] = (sums[own + width] - sums[own]) * inverse[own]
     return mix(out)
 
 
+def spread(begin: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The places begin, begin + 1, ... of each run."""
+    return np.repeat(begin - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+
+
 # The bytes that separate words, \x20 and \x09 to \x0D.
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -120,8 +128,8 @@ def concat(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
-    """Which of n units lie in a window of `width` that begins at one of `starts`."""
-    change = np.zeros(n + 1, np.int32)
-    np.add.at(change, starts, 1)
-    np.add.at(change, np.minimum(starts + width, n), -1)
-    return np.cumsum(change[:n]) > 0
+    """Which of n units lie in a window of `width` that begins at one of the ascending, distinct `starts`."""
+    out = np.zeros(n, bool)
+    many = np.minimum(np.diff(starts, append=n + width), width)
+    out[spread(starts, many)] = True
+    return out

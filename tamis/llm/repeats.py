@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamis.llm.arrays import byte_symbols, concat, covered, window_hashes, word_bounds, word_hashes
+from tamis.llm.arrays import byte_symbols, covered, spread, window_hashes, word_bounds, word_hashes
 from tamis.llm.scratch import written, written_by_key
 
 BLOCK_BYTES = 2 << 20
@@ -160,40 +160,42 @@ class Block:
             head = first.setdefault(digest, i)
             if head != i and (rule.within or self.order[head] < self.order[i]):
                 self.copy[i] = True
-        self.doc = np.repeat(np.arange(len(self.ids)), self.sizes)
-
-    def places(self, width: int) -> np.ndarray:
-        """Whether a window of this width begins here, within a document that is no copy."""
-        n = len(self.symbols)
-        fits = np.arange(n) + width <= np.repeat(self.at[1:], self.sizes)
-        return fits & ~self.copy[self.doc] & (self.sizes >= self.rule.width)[self.doc]
+        self.live = ~self.copy & (self.sizes >= rule.width)
 
     def sample(self) -> tuple[np.ndarray, np.ndarray]:
-        """The cover positions, and the names of the short windows there."""
-        phase = (np.arange(len(self.symbols)) - np.repeat(self.at[:-1], self.sizes)) % self.rule.period
-        at = np.flatnonzero(np.isin(phase, self.rule.cover) & self.places(self.rule.short))
-        return at, window_hashes(self.symbols, self.rule.short)[at]
+        """The cover positions of documents that are no copies, and the names of the short windows there."""
+        rule, docs = self.rule, np.flatnonzero(self.live)
+        rounds = (self.sizes[docs] - rule.short) // rule.period + 1
+        begin = np.repeat(self.at[docs], rounds) + spread(np.zeros(len(docs), np.int64), rounds) * rule.period
+        at = (begin[:, None] + np.array(rule.cover)).ravel()
+        at = at[at + rule.short <= np.repeat(self.at[docs + 1], rounds * len(rule.cover))]
+        return at, window_hashes(self.symbols, rule.short, at)
 
     def candidates(self, bits: dict[int, bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
         """Windows that reach a sample which repeats, here or elsewhere, and their names, in document order."""
         at, names = self.sample()
         values, inverse, counts = np.unique(names, return_inverse=True, return_counts=True)
         again = (counts > 1) | _verdicts(values, bits, buckets, _SAMPLE_BITS)
-        reach = np.zeros(len(self.symbols) + 1, np.int32)
         found = at[again[inverse]]
-        np.add.at(reach, np.maximum(found - self.rule.period + 1, 0), 1)
-        np.add.at(reach, found + 1, -1)
-        starts = np.flatnonzero((np.cumsum(reach[:-1]) > 0) & self.places(self.rule.width))
-        return starts, window_hashes(self.symbols, self.rule.width)[starts]
+        doc = self.doc(found)
+        low = np.maximum(found - self.rule.period + 1, self.at[doc])
+        low[1:] = np.maximum(low[1:], found[:-1] + 1)
+        many = np.maximum(0, np.minimum(found, self.at[doc + 1] - self.rule.width) - low + 1)
+        starts = spread(low, many)
+        return starts, window_hashes(self.symbols, self.rule.width, starts)
+
+    def doc(self, at: np.ndarray) -> np.ndarray:
+        """The document of each unit."""
+        return np.searchsorted(self.at, at, side="right") - 1
 
     def removed(self, starts: np.ndarray, names: np.ndarray, bits: dict[int, bytes], buckets: int) -> np.ndarray:
         """Which units a window covers that starts earlier too."""
         values, first, inverse = np.unique(names, return_index=True, return_inverse=True)
         elsewhere = _verdicts(values, bits, buckets, _NAME_BITS)[inverse]
         head = starts[first][inverse]
-        here = starts > head if self.rule.within else self.order[self.doc[starts]] > self.order[self.doc[head]]
+        here = starts > head if self.rule.within else self.order[self.doc(starts)] > self.order[self.doc(head)]
         gone = covered(starts[elsewhere | here], self.rule.width, len(self.symbols))
-        return gone | (self.copy & (self.sizes >= self.rule.width))[self.doc]
+        return gone | np.repeat(self.copy & (self.sizes >= self.rule.width), self.sizes)
 
 
 _SAMPLE_BITS, _NAME_BITS = 32, 48
@@ -253,7 +255,7 @@ def _send_candidates(rule: Rule, buckets: int) -> Callable:
             block = Block(row, rule)
             starts, names = block.candidates(_bits(row, "sampled"), buckets)
             values, first = np.unique(names, return_index=True)
-            owners = block.order[block.doc[starts[first]]]
+            owners = block.order[block.doc(starts[first])]
             base = int(block.order[0]) if len(block.order) else 0
             away = owners.astype(np.uint64) - np.int64(base).astype(np.uint64)
             out = [
@@ -364,6 +366,3 @@ def runs(removed: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     begins[first] = removed[first]
     opened = np.concatenate([[0], np.cumsum(begins)])
     return np.diff(total[at]), np.diff(opened[at])
-
-
-__all__ = ["Block", "Rule", "concat", "runs", "without_repeats"]

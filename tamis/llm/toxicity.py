@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamis.llm.arrays import concat, mix, window_hashes, word_bounds, word_hashes
+from tamis.llm.arrays import concat, mix, spread, window_hashes, word_bounds, word_hashes
 
 SAMPLE_DOCS, SAMPLE_WINDOWS = 2500, 64
 WIDTH, STRIDE = 32, 16
@@ -58,12 +58,12 @@ def split_words(texts: list[bytes]) -> Words:
     length = sizes + 1
     begin = np.cumsum(length) - length
     spelt = np.full(int(length.sum()), ord("_"), np.uint8)
-    spelt[_spread(begin + 1, sizes)] = _LOWER[data[_spread(starts[first], sizes)]]
+    spelt[spread(begin + 1, sizes)] = _LOWER[data[spread(starts[first], sizes)]]
     symbols, parts, owners = mix(spelt.astype(np.uint64)), [], []
     for n in SPANS:
         many = np.maximum(length - n + 1, 1 if n == SPANS[0] else 0)
         hashed = np.concatenate([window_hashes(symbols, n), np.zeros(n, np.uint64)])
-        parts.append(hashed[_spread(begin, many)])
+        parts.append(hashed[spread(begin, many)])
         owners.append(np.repeat(np.arange(len(sizes)), many))
     owner = np.concatenate(owners)
     order = np.argsort(owner, kind="stable")
@@ -72,11 +72,6 @@ def split_words(texts: list[bytes]) -> Words:
     return Words(index, np.searchsorted(starts, bounds), (values % np.uint64(WORDS)).astype(np.int64), grams, gram_at)
 
 
-def _spread(begin: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """The places begin, begin + 1, ... of each run."""
-    return np.repeat(begin - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
-
-
 def _per_word(values: np.ndarray, words: Words) -> np.ndarray:
     """The maximum over the n-grams of each distinct word."""
     return np.maximum.reduceat(values, words.gram_at[:-1], axis=0) if len(words.buckets) else values[:0]
@@ -243,7 +238,7 @@ def fit(texts: list[bytes], labels: np.ndarray, toxic_share: float) -> ToxicityM
     n, word_doc = len(texts), np.repeat(np.arange(len(texts)), np.diff(words.at))
     odds = _odds(word_doc, words.buckets[words.index], labels, WORDS + 1)
     size = np.diff(words.gram_at)[words.index]
-    gram_odds = _odds(np.repeat(word_doc, size), words.grams[_spread(words.gram_at[words.index], size)], labels, GRAMS)
+    gram_odds = _odds(np.repeat(word_doc, size), words.grams[spread(words.gram_at[words.index], size)], labels, GRAMS)
 
     doc, place = windows(words)
     index = np.append(words.index, len(words.buckets))
@@ -291,7 +286,7 @@ def _odds(doc: np.ndarray, bucket: np.ndarray, labels: np.ndarray, buckets: int)
 
 def _subset(words: Words, used: np.ndarray) -> Words:
     size = np.diff(words.gram_at)[used]
-    grams = words.grams[_spread(words.gram_at[used], size)]
+    grams = words.grams[spread(words.gram_at[used], size)]
     return Words(np.empty(0, np.int64), np.zeros(1, np.int64), words.buckets[used], grams, np.concatenate([[0], np.cumsum(size)]))
 
 
