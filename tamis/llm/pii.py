@@ -20,6 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tamis.llm.bits import listed
 from tamis.llm.scratch import written
 
 # The patterns of each kind. Lookbehind and possessive quantifiers change no
@@ -36,7 +37,6 @@ ADDED = ("generalised", "removed")
 PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "generalised": "[TERM]", "removed": ""}
 
 CONTEXT, SUPPORT, GENERALISE, REMOVE = 64, 3, 0.85, 0.95
-_SLOTS = 1 << 20
 _SPAN = "struct<kind:string,start:int,end:int,value:string>"
 
 
@@ -98,19 +98,6 @@ def _terms(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda t: F.length(t) >= 3)
 
 
-def _slot(term: Column | str) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(_SLOTS)).cast("int")
-
-
-def _listed(terms: DataFrame, term: Column) -> Column:
-    """Whether a term may be in a table: a bit table of `_SLOTS` bits, 128 KiB whatever the corpus."""
-    rows = terms.select(_slot("term").alias("s")).groupBy(F.shiftright("s", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, s & 63)")).alias("b"))
-    words = dict(rows.collect())
-    table = F.split(F.lit(",".join(str(words.get(i, 0)) for i in range(_SLOTS // 64))), ",").cast("array<bigint>")
-    slot = _slot(term)
-    return F.getbit(F.get(table, F.shiftright(slot, 6)), slot.bitwiseAND(63)) == 1
-
-
 def disclosures(found: DataFrame) -> DataFrame:
     """Entities with the terms that reveal them: `kind`, `value`, `term`, `share` of the entity's information.
 
@@ -130,7 +117,7 @@ def disclosures(found: DataFrame) -> DataFrame:
     )
     pairs = written(pairs, "pairs")
     words = found.select("text_id", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
-    words = words.where(_listed(pairs.select("term"), F.col("term"))).distinct()
+    words = words.where(listed(F.col("term"), pairs, "term")).distinct()
     spread = words.groupBy("term").agg(F.count("*").alias("n_t"))
     n = F.lit(float(max(1, found.select("text_id").distinct().count())))
     entity_bits = -F.log2(F.col("n_e") / n)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import language_id, minhash_dedup, mixing, pii, substring_dedup, suffix_dedup, toxicity
+from tamis.llm import decontamination, language_id, minhash_dedup, mixing, pii, substring_dedup, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op4_language_id(spark, sf_dir):
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op5_decontamination(spark, sf_dir):
+    return decontamination.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_substring_dedup(spark, sf_dir):
     found = substring_dedup.remove_repeated_passages(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
@@ -58,6 +62,7 @@ QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_language_id": op4_language_id,
+    "op5_decontamination": op5_decontamination,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_toxicity": op7_toxicity,
     "op10_minhash_dedup": op10_minhash_dedup,
