@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import decontamination, language_id, minhash_dedup, mixing, pii, substring_dedup, suffix_dedup, toxicity
+from tamis.llm import decontamination, language_id, minhash_dedup, mixing, pii, substring_dedup, suffix_dedup, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op7_toxicity(spark, sf_dir):
     return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+def op8_top_k(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), every=20)
+
+
 def op10_minhash_dedup(spark, sf_dir):
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -65,7 +69,24 @@ QUERIES = {
     "op5_decontamination": op5_decontamination,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_toxicity": op7_toxicity,
+    "op8_top_k": op8_top_k,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_OP8 = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id != c.vec_id
+    WHERE q.vec_id % 20 = 0
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+ORACLE_SQL: dict[str, str] = {"op8_top_k": _OP8}
