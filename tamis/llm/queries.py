@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import decontamination, language_id, minhash_dedup, mixing, pii, substring_dedup, suffix_dedup, topk, toxicity
+from tamis.llm import decontamination, html_extraction, language_id, minhash_dedup, mixing, pii, substring_dedup, suffix_dedup, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op8_top_k(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"), every=20)
 
 
+def op9_html_extraction(spark, sf_dir):
+    return html_extraction.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op10_minhash_dedup(spark, sf_dir):
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -70,6 +74,7 @@ QUERIES = {
     "op6_substring_dedup": op6_substring_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_top_k": op8_top_k,
+    "op9_html_extraction": op9_html_extraction,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
 
