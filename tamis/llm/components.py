@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamis.llm.scratch import written
+from tamis.llm.scratch import drop, written
 
 
 def _with_smallest(pairs: DataFrame) -> DataFrame:
@@ -36,7 +36,8 @@ def connected(edges: DataFrame) -> DataFrame:
     now = written(now.where("_links").select("u", "v").distinct(), "edges")
     state = None
     while True:
-        now = written(_small_star(_large_star(now)), "edges")
+        before, now = now, written(_small_star(_large_star(now)), "edges")
+        drop(before)
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == state:
             return now

@@ -154,23 +154,42 @@ def identify(docs: DataFrame, model: LanguageModel | None, id_column: str = "doc
     columns are ignored.
     """
 
+    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+
     def predict(batches):
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            lang, score, unsure = [UNDETERMINED] * len(texts), [0.0] * len(texts), [True] * len(texts)
-            real = [i for i, t in enumerate(texts) if model and _LETTER.search(t)]
-            for at in range(0, len(real), 256):
-                part = real[at : at + 256]
-                best, share, lead = model.decode(features([texts[i] for i in part]))
-                for i, b, s, d in zip(part, best.tolist(), share.tolist(), lead.tolist(), strict=True):
-                    lang[i], score[i], unsure[i] = model.languages[b], min(1.0, s), d < AMBIGUOUS
-            columns = [batch.column(0), pa.array(lang), pa.array(score, pa.float64()), pa.array(unsure)]
+            found = _predictions(model, batch.column(1).to_pylist())
+            columns = [batch.column(0), pa.array(found[0]), pa.array(found[1], pa.float64()), pa.array(found[2])]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score", "ambiguous"])
 
-    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     return texts.mapInArrow(predict, _PREDICTED)
 
 
+def identified(docs: DataFrame, model: LanguageModel | None, text_column: str = "text") -> DataFrame:
+    """The documents, all columns, whose language could be told: neither `und` nor ambiguous."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_column).cast("string").alias("text"))
+
+    def choose(batches):
+        for batch in batches:
+            unsure = _predictions(model, batch.column(1).to_pylist())[2]
+            keep = pa.array([not u for u in unsure], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["row"]).filter(keep)
+
+    return rows.mapInArrow(choose, rows.select("row").schema).select("row.*")
+
+
+def _predictions(model: LanguageModel | None, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
+    """Language, score and doubt of each text."""
+    lang, score, unsure = [UNDETERMINED] * len(texts), [0.0] * len(texts), [True] * len(texts)
+    real = [i for i, t in enumerate(texts) if model and t and _LETTER.search(t)]
+    for at in range(0, len(real), 256):
+        part = real[at : at + 256]
+        best, share, lead = model.decode(features([texts[i] for i in part]))
+        for i, b, s, d in zip(part, best.tolist(), share.tolist(), lead.tolist(), strict=True):
+            lang[i], score[i], unsure[i] = model.languages[b], min(1.0, s), d < AMBIGUOUS
+    return lang, score, unsure
+
+
 def held_out(id_column: str = "doc_id") -> Column:
     """The fifth of the documents, by checksum of the id, that is never learnt from; so is a NULL id."""
     return F.coalesce(F.crc32(F.col(id_column).cast("string")) % 5 == 0, F.lit(True))

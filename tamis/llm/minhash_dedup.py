@@ -19,6 +19,7 @@ reject such a pair with probability 2e-6.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +42,7 @@ _B = mix(np.arange(1001, _N + 1001, dtype=np.uint64))
 _BAND = mix(np.arange(5001, BANDS + 5001, dtype=np.uint64))
 _CHUNK = 4096
 
-_SKETCH = "id long, n_shingles long, digest binary, bands array<bigint>, bits array<bigint>"
+_SKETCH = "id long, text_id long, n_shingles long, digest binary, bands array<bigint>, bits array<bigint>"
 _SETS = "digest binary, shingles array<bigint>"
 
 
@@ -110,12 +111,13 @@ def _sketch(batches):
                 bits.append(np.zeros(4, np.int64))
         columns = [
             batch.column(0),
+            batch.column(1),
             pa.array(sizes, pa.int64()),
             pa.array(digests, pa.binary()),
             pa.array(bands, pa.list_(pa.int64())),
             pa.array(bits, pa.list_(pa.int64())),
         ]
-        yield pa.RecordBatch.from_arrays(columns, names=["id", "n_shingles", "digest", "bands", "bits"])
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "text_id", "n_shingles", "digest", "bands", "bits"])
 
 
 def _sets(batches):
@@ -174,23 +176,10 @@ def _across(members: DataFrame, labels: DataFrame) -> DataFrame:
     return _pairs(one).union(_pairs(two)).dropDuplicates(["a", "b"])
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Per document: `doc_id`, `n_shingles`, `component_id`, `kept`.
-
-    Documents are linked when their sets of 5-word shingles (A-Z lower-cased;
-    fewer words: the whole sequence) have a similarity of 0.75 or more;
-    `component_id` is the smallest id reachable, `kept` says that it is the
-    document's own.
-
-    NULL and blank texts have an empty set and are linked with nothing. A NULL
-    id is smaller than any other and is kept as the representative of its group.
-    Rows that share an id are separate documents; those that are linked are kept
-    together. Any further column is ignored. An empty table gives an empty
-    result.
-    """
-    texts = docs.select(
-        F.coalesce(F.col(id_column).cast("long"), F.lit(NULL_ID)).alias("id"), F.col(text_column).cast("string").alias("text")
-    )
+def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """Per document `id` (NULL as `NULL_ID`), `text_id` (a hash of the text), `n_shingles`, `component`."""
+    text = F.col(text_column).cast("string")
+    texts = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(NULL_ID)).alias("id"), F.xxhash64(text).alias("text_id"), text.alias("text"))
     sketch = written(texts.mapInArrow(_sketch, _SKETCH), "sketch")
     of_class = [F.first(c).alias(c) for c in ("n_shingles", "bands", "bits")]
     classes = written(sketch.where("n_shingles > 0").groupBy("digest").agg(F.min("id").alias("id"), *of_class), "classes")
@@ -215,7 +204,42 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     nodes = nodes.withColumn("v", F.coalesce("v", "digest"))
     least = nodes.groupBy("v").agg(F.min("id").alias("component_id"))
     named = nodes.join(least, "v").select("digest", "component_id")
-    out = sketch.select("id", "n_shingles", "digest").join(named, "digest", "left")
-    component = F.coalesce("component_id", "id")
-    own = lambda c: F.when(c != NULL_ID, c)
-    return out.select(own(F.col("id")).alias("doc_id"), "n_shingles", own(component).alias("component_id"), (F.col("id") == component).alias("kept"))
+    out = sketch.select("id", "text_id", "n_shingles", "digest").join(named, "digest", "left")
+    return out.select("id", "text_id", "n_shingles", F.coalesce("component_id", "id").alias("component"))
+
+
+def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Per document: `doc_id`, `n_shingles`, `component_id`, `kept`.
+
+    Documents are linked when their sets of 5-word shingles (A-Z lower-cased;
+    fewer words: the whole sequence) have a similarity of 0.75 or more;
+    `component_id` is the smallest id reachable, `kept` says that it is the
+    document's own.
+
+    NULL and blank texts have an empty set and are linked with nothing. A NULL
+    id is smaller than any other and is kept as the representative of its group.
+    Rows that share an id are separate documents; those that are linked are kept
+    together. Any further column is ignored. An empty table gives an empty
+    result.
+    """
+    found = _grouped(docs, id_column, text_column)
+    own = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
+    kept = F.col("id") == F.col("component")
+    return found.select(own("id").alias("doc_id"), "n_shingles", own("component").alias("component_id"), kept.alias("kept"))
+
+
+def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The documents, all columns, without near duplicates: of each group the one with the smallest id stays.
+
+    NULL and blank texts all stay. Of rows that share the smallest id one stays,
+    of rows with the same id and text one.
+    """
+    found = written(_grouped(docs, id_column, text_column), "groups")
+    first = found.where("n_shingles > 0 AND id = component").groupBy("id").agg(F.min("text_id").alias("text_id"))
+    keys = first.union(found.where("n_shingles = 0").select("id", "text_id").distinct())
+    mark = f"_{uuid.uuid4().hex}"
+    keys = keys.select(F.col("id").alias(f"{mark}i"), F.col("text_id").alias(f"{mark}t"))
+    keyed = docs.withColumn(f"{mark}i", F.coalesce(docs[f"`{id_column}`"].cast("long"), F.lit(NULL_ID)))
+    keyed = keyed.withColumn(f"{mark}t", F.xxhash64(docs[f"`{text_column}`"].cast("string")))
+    on = [f"{mark}i", f"{mark}t"]
+    return keyed.join(keys, on, "left_semi").dropDuplicates(on).drop(*on)

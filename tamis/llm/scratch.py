@@ -1,30 +1,54 @@
-"""Written tables between the passes of an operator, in the folder that the cluster shares."""
+"""Written tables between the passes of an operator, in the folder that the cluster shares.
+
+A result may read its tables long after an operator has returned, so operators
+delete only what they no longer need themselves; who has written a result out
+can `delete` the `paths` that came with it.
+"""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tamis.session import staging_path
 
+_paths: list[str] = []
+
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of df, written once and read back, so that what follows never computes them again."""
     path = staging_path(df.sparkSession, name)
+    _paths.append(path)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found._scratch = path
+    return found
 
 
 def written_by_key(df: DataFrame, name: str, key: str) -> DataFrame:
     """Like `written`, in buckets by key, so that a join on it moves only the other side."""
-    spark = df.sparkSession
+    spark, path = df.sparkSession, staging_path(df.sparkSession, name)
+    _paths.append(path)
     table = f"{name}_{uuid.uuid4().hex}"
-    (
-        df.write.format("parquet")
-        .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
-        .option("compression", "zstd")
-        .option("path", staging_path(spark, name))
-        .saveAsTable(table)
-    )
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(buckets, key).option("compression", "zstd").option("path", path).saveAsTable(table)
     return spark.table(table)
+
+
+def drop(df: DataFrame) -> None:
+    """Delete a table from `written` that nothing reads any more."""
+    delete(df.sparkSession, [df._scratch])
+
+
+def paths() -> list[str]:
+    """The tables that exist, oldest first."""
+    return list(_paths)
+
+
+def delete(spark: SparkSession, tables: list[str]) -> None:
+    for path in tables:
+        if path in _paths:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            _paths.remove(path)
