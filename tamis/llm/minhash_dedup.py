@@ -177,7 +177,7 @@ def _across(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Per document `id` (NULL as `NULL_ID`), `text_id` (a hash of the text), `n_shingles`, `component`."""
+    """Per document `id` (NULL as `NULL_ID`), `text_id` (a hash of the text), `n_shingles`, its group's `label` and smallest id, `component`."""
     text = F.col(text_column).cast("string")
     texts = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(NULL_ID)).alias("id"), F.xxhash64(text).alias("text_id"), text.alias("text"))
     sketch = written(texts.mapInArrow(_sketch, _SKETCH), "sketch")
@@ -203,9 +203,9 @@ def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     nodes = classes.select("digest", "id").join(stars.select(F.col("u").alias("digest"), "v"), "digest", "left")
     nodes = nodes.withColumn("v", F.coalesce("v", "digest"))
     least = nodes.groupBy("v").agg(F.min("id").alias("component_id"))
-    named = nodes.join(least, "v").select("digest", "component_id")
+    named = nodes.join(least, "v").select("digest", F.col("v").alias("label"), "component_id")
     out = sketch.select("id", "text_id", "n_shingles", "digest").join(named, "digest", "left")
-    return out.select("id", "text_id", "n_shingles", F.coalesce("component_id", "id").alias("component"))
+    return out.select("id", "text_id", "n_shingles", "label", F.coalesce("component_id", "id").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -235,8 +235,8 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     of rows with the same id and text one.
     """
     found = written(_grouped(docs, id_column, text_column), "groups")
-    first = found.where("n_shingles > 0 AND id = component").groupBy("id").agg(F.min("text_id").alias("text_id"))
-    keys = first.union(found.where("n_shingles = 0").select("id", "text_id").distinct())
+    first = found.where("n_shingles > 0").groupBy("label").agg(F.min(F.struct("id", "text_id")).alias("first"))
+    keys = first.select("first.*").distinct().union(found.where("n_shingles = 0").select("id", "text_id").distinct())
     mark = f"_{uuid.uuid4().hex}"
     keys = keys.select(F.col("id").alias(f"{mark}i"), F.col("text_id").alias(f"{mark}t"))
     keyed = docs.withColumn(f"{mark}i", F.coalesce(docs[f"`{id_column}`"].cast("long"), F.lit(NULL_ID)))

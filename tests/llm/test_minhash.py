@@ -1,0 +1,101 @@
+import random
+from collections import defaultdict
+
+import pytest
+
+from tamis.llm import minhash_dedup
+from tamis.llm.components import connected
+from tests.llm.conftest import prose
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[k : k + 5]) for k in range(len(words) - 4)} if len(words) >= 5 else {tuple(words)} if words else set()
+
+
+def components(rows):
+    """Smallest id reachable over all pairs of documents."""
+    sets = [(i, shingles(t)) for i, t in rows]
+    label = {i: i for i, _ in sets}
+    moved = True
+    linked = [
+        (i, j)
+        for k, (i, a) in enumerate(sets)
+        for j, b in sets[:k]
+        if a and b and 100 * len(a & b) >= 75 * len(a | b)
+    ]
+    while moved:
+        moved = False
+        for i, j in linked:
+            low = min(label[i], label[j])
+            moved |= label[i] != low or label[j] != low
+            label[i] = label[j] = low
+    return {i: (len(s), label[i], label[i] == i) for i, s in sets}
+
+
+@pytest.fixture(scope="module")
+def copies(frame):
+    """Two families whose copies mostly resemble their origin only, chains of small steps, and loners."""
+    rng, rows = random.Random(8), []
+
+    def edited(words, n):
+        words = list(words)
+        for _ in range(n):
+            words[rng.randrange(len(words))] = f"new{rng.random()}"
+        return words
+
+    for family in range(2):
+        origin = prose(family, 150).split()
+        rows += [" ".join(origin)] + [" ".join(edited(origin, rng.randint(1, 6))) for _ in range(60)]
+    step = prose(9, 100).split()
+    for _ in range(25):
+        step = edited(step, 2)
+        rows.append(" ".join(step).upper())
+    rows += [prose(100 + k, rng.randint(1, 80)) for k in range(30)] + ["one two", "ONE  two", "one two three", "", None]
+    order = list(range(len(rows)))
+    rng.shuffle(order)
+    return [(7 * k - 50, t) for k, t in zip(order, rows, strict=True)]
+
+
+def test_equals_all_pairs(frame, copies):
+    found = minhash_dedup.near_duplicates(frame("doc_id long, text string", copies)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == components(copies)
+
+
+def test_across_components_without_the_first_round(frame, copies, monkeypatch):
+    """With no link from the first round, the second still finds every link."""
+    real, calls = minhash_dedup._verified, []
+    monkeypatch.setattr(minhash_dedup, "_verified", lambda pairs, texts: real(pairs.limit(0) if not calls.append(1) and len(calls) == 1 else pairs, texts))
+    rows = copies[:60]
+    # the first round's pairs count as compared, so only pairs beyond them are found here
+    found = {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(frame("doc_id long, text string", rows)).collect()}
+    exact = {i: c for i, (_, c, _) in components(rows).items()}
+    assert all(found[i] >= exact[i] for i in exact)
+
+
+def test_awkward_rows(awkward, nothing):
+    found = minhash_dedup.near_duplicates(awkward)
+    assert found.count() == 17 and minhash_dedup.near_duplicates(nothing).count() == 0
+    rows = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in found.collect()}
+    group = defaultdict(set)
+    for (i, _), (c, _) in rows.items():
+        group[c].add(i)
+    assert {None, 1, 2, 3} <= group[None]
+    assert group[7] == {7, 8}
+    assert rows[4, 0] == (4, True) and rows[5, 0] == (5, True)
+
+
+def test_deduplicate_keeps_one_of_each_group(awkward, nothing):
+    kept = minhash_dedup.deduplicate(awkward)
+    assert kept.columns == awkward.columns
+    assert sorted((r.doc_id is not None, r.doc_id or 0) for r in kept.collect()) == sorted(
+        (i is not None, i or 0) for i in (None, None, 4, 5, 6, 7, 9, 10, 10, 11, 12, 13)
+    )
+    assert minhash_dedup.deduplicate(nothing).count() == 0
+
+
+def test_components_of_awkward_graphs(frame):
+    edges = [(k, k + 1) for k in range(1, 40)] + [(100, k) for k in range(101, 160)] + [(5, 5), (7, 6), (None, 3), (100, 101), (200, 201)]
+    found = {r.u: r.v for r in connected(frame("u long, v long", edges)).collect()}
+    assert found == {k: 1 for k in range(2, 41)} | {k: 100 for k in range(101, 160)} | {201: 200}
+    assert connected(frame("u long, v long", [(1, 1)])).count() == 0
