@@ -108,23 +108,23 @@ def disclosures(found: DataFrame) -> DataFrame:
     near = F.concat_ws(" ", F.substring("text", low + 1, F.col("s.start") - low), F.substring("text", F.col("s.end") + 1, F.lit(CONTEXT)))
     entity = entity.select("text_id", "s.kind", F.lower("s.value").alias("value"), F.array_distinct(_terms(near)).alias("terms"))
     texts = entity.groupBy("kind", "value").agg(F.count_distinct("text_id").alias("n_e"))
-    pairs = (
-        entity.select("text_id", "kind", "value", F.explode("terms").alias("term"))
-        .distinct()
-        .groupBy("kind", "value", "term")
-        .agg(F.count("*").alias("n_et"))
-        .where(F.col("n_et") >= SUPPORT)
-    )
-    pairs = written(pairs, "pairs")
+    near_terms = written(entity.select("text_id", "kind", "value", F.explode("terms").alias("term")).distinct(), "near")
+    pairs = near_terms.groupBy("kind", "value", "term").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= SUPPORT)
+    pairs = pairs.join(texts, ["kind", "value"])
+    n = F.lit(float(max(1, found.select("text_id").distinct().count())))
+
+    def share(n_t: str) -> Column:
+        """Of the entity's bits, those that a term in n_t texts gives."""
+        bits = -F.log2(F.col("n_e") / n)
+        return F.when(bits > 0, F.log2(F.col("n_et") * n / (F.col("n_e") * F.col(n_t))) / bits).otherwise(0.0)
+
+    # A term is in as many texts at least as it is near any entity: most terms are out before texts are searched.
+    seen = near_terms.groupBy("term").agg(F.count_distinct("text_id").alias("n_near"))
+    pairs = written(pairs.join(seen, "term").where(share("n_near") >= GENERALISE).drop("n_near"), "pairs")
     words = found.select("text_id", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
     words = words.where(listed(F.col("term"), pairs, "term")).distinct()
-    spread = words.groupBy("term").agg(F.count("*").alias("n_t"))
-    n = F.lit(float(max(1, found.select("text_id").distinct().count())))
-    entity_bits = -F.log2(F.col("n_e") / n)
-    given = F.log2(F.col("n_et") * n / (F.col("n_e") * F.col("n_t")))
-    share = F.when(entity_bits > 0, given / entity_bits).otherwise(0.0)
-    scored = pairs.join(spread, "term").join(texts, ["kind", "value"]).select("kind", "value", "term", share.alias("share"))
-    return scored.where(F.col("share") >= GENERALISE)
+    scored = pairs.join(words.groupBy("term").agg(F.count("*").alias("n_t")), "term")
+    return scored.select("kind", "value", "term", share("n_t").alias("share")).where(F.col("share") >= GENERALISE)
 
 
 def _ordered(spans: Column) -> Column:
