@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tamis.llm.arrays import concat, mix, spread, window_hashes, word_bounds, word_hashes
 
-SAMPLE_DOCS, SAMPLE_WINDOWS = 2500, 64
+SAMPLE_DOCS, SAMPLE_WINDOWS = 1500, 48
 WIDTH, STRIDE = 32, 16
 WORDS, GRAMS, SPANS = 1 << 15, 1 << 17, range(3, 8)
 EPOCHS, BATCH = 8, 256
@@ -235,14 +235,11 @@ class _Adam:
 def fit(texts: list[bytes], labels: np.ndarray, toxic_share: float) -> ToxicityModel:
     """Train on texts of both labels; `toxic_share` is that of all labelled rows, for the calibration."""
     words = split_words(texts)
-    n, word_doc = len(texts), np.repeat(np.arange(len(texts)), np.diff(words.at))
-    odds = _odds(word_doc, words.buckets[words.index], labels, WORDS + 1)
-    size = np.diff(words.gram_at)[words.index]
-    gram_odds = _odds(np.repeat(word_doc, size), words.grams[spread(words.gram_at[words.index], size)], labels, GRAMS)
+    n = len(texts)
+    odds, gram_odds = _odds(words, labels)
 
     doc, place = windows(words)
-    index = np.append(words.index, len(words.buckets))
-    place = index[place]
+    place = np.append(words.index, len(words.buckets)).astype(np.int32)[place]
     strength = np.append(np.maximum(odds[words.buckets], _per_word(gram_odds[words.grams], words)), 0)[place].max(axis=1)
     network, rng = Network.fresh(odds, gram_odds), np.random.default_rng(3)
     adam, squares = _Adam(), {"word": np.full((WORDS + 1, 1), 1e-3), "gram": np.full((GRAMS, 1), 1e-3)}
@@ -274,14 +271,21 @@ def fit(texts: list[bytes], labels: np.ndarray, toxic_share: float) -> ToxicityM
     return ToxicityModel(network, *_calibrated(top, labels, toxic_share))
 
 
-def _odds(doc: np.ndarray, bucket: np.ndarray, labels: np.ndarray, buckets: int) -> np.ndarray:
-    """By bucket, how much likelier toxic texts hold it than others; 0 without evidence from several texts."""
-    seen = np.unique(doc * np.int64(buckets) + bucket)
-    toxic, bucket = labels[seen // buckets] > 0, seen % buckets
-    with_it, without = np.bincount(bucket[toxic], minlength=buckets), np.bincount(bucket[~toxic], minlength=buckets)
-    total = max(1, int((labels > 0).sum())), max(1, int((labels == 0).sum()))
-    odds = np.log((with_it + 1) / (total[0] + 2)) - np.log((without + 1) / (total[1] + 2))
-    return np.maximum(odds, 0) * np.minimum(1, with_it / 8)
+def _odds(words: Words, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """By bucket of words and of n-grams, how much likelier toxic texts hold one than others; 0 without several texts to show it."""
+    size = np.diff(words.gram_at)
+    tables = [np.zeros((2, WORDS + 1)), np.zeros((2, GRAMS))]
+    for label, a, b in zip((labels > 0).astype(int).tolist(), words.at[:-1].tolist(), words.at[1:].tolist(), strict=True):
+        own = np.unique(words.index[a:b])
+        tables[0][label, np.unique(words.buckets[own])] += 1
+        tables[1][label, np.unique(words.grams[spread(words.gram_at[own], size[own])])] += 1
+    total = [max(1, int((labels > 0).sum())), max(1, int((labels == 0).sum()))]
+
+    def odds(without: np.ndarray, with_it: np.ndarray) -> np.ndarray:
+        found = np.log((with_it + 1) / (total[0] + 2)) - np.log((without + 1) / (total[1] + 2))
+        return np.maximum(found, 0) * np.minimum(1, with_it / 8)
+
+    return odds(*tables[0]), odds(*tables[1])
 
 
 def _subset(words: Words, used: np.ndarray) -> Words:
