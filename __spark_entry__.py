@@ -21,7 +21,8 @@ import inspection_fixtures as fixtures  # noqa: E402
 from tamis.functions.text import repair_encoding  # noqa: E402
 from tamis.operators import clean, features, quality, standardize  # noqa: E402
 from tamis.plans.bronze import ingest  # noqa: E402
-from tamis.plans.silver import distinct_by_hash, silver_rows, transform  # noqa: E402
+from tamis.operators.dedup import count_copies  # noqa: E402
+from tamis.plans.silver import build_silver, silver_rows, transform  # noqa: E402
 from tamis.session import staging_path  # noqa: E402
 from tamis.sources.lake import (  # noqa: E402
     DATE_COLUMN,
@@ -72,9 +73,9 @@ def dedup_exact(spark, sf_dir):
     return fixtures.inspection(spark, sf_dir).dropDuplicates()
 
 
-def dedup_by_hash(spark, sf_dir):
-    """Each distinct row with the number of its copies, found by row hash first."""
-    return distinct_by_hash(fixtures.inspection(spark, sf_dir), staging_path(spark, "query-hashes"))
+def dedup_copies(spark, sf_dir):
+    """Each distinct row with the number of its copies."""
+    return count_copies(fixtures.inspection(spark, sf_dir))
 
 
 def clean_rows(spark, sf_dir):
@@ -171,11 +172,31 @@ def silver_by_month(spark, sf_dir):
     months = ("inspection_year", "inspection_month")
     bronze = fixtures.inspection(spark, sf_dir)
     for part in (bronze, _month_earlier(bronze), bronze):
-        write_silver_parquet(silver_rows(part), path, partition_by=months)
+        write_silver_parquet(silver_rows(part), path, partition_by=months, replace_partitions=True)
     rows = spark.read.parquet(path)
     return rows.groupBy(*months).agg(F.count("*").alias("n_rows"), F.sum("temperature_max").alias("temperatures"))
 
 
+def silver_rerun(spark, sf_dir):
+    """One day transformed twice, partitioned by month: only the rows of the corrected Bronze, a month earlier, remain."""
+    lake = staging_path(spark, "query-rerun")
+    bronze = fixtures.inspection(spark, sf_dir)
+    for day_rows in (bronze, _month_earlier(bronze)):
+        ingest(day_rows, f"{lake}/bronze", "inspection", day=DAY)
+        result = transform(spark, f"{lake}/bronze", f"{lake}/silver", partition_by=("inspection_year", "inspection_month"))
+    rows = spark.read.parquet(result.path)
+    return rows.select(*silver_rows(bronze).columns)
+
+
+def silver_raw(spark, sf_dir):
+    """Published Silver of a raw table: awkward names, garbled texts, textual dates and numbers, near-equal rows."""
+    raw = fixtures.projected(spark, sf_dir, fixtures.RAW_SQL)
+    garbled = F.decode(F.encode("zone", "UTF-8"), "ISO-8859-1")
+    raw = raw.withColumn("zone", F.when(F.col("mark") == 0, garbled).otherwise(F.col("zone"))).drop("mark")
+    raw = raw.toDF(*fixtures.RAW_NAMES)
+    return spark.read.parquet(build_silver(raw, f"{staging_path(spark, 'query-raw')}/inspection").path)
+
+
 def bronze_roundtrip(spark, sf_dir):
     """A day stored twice holds what was stored last."""
     lake = staging_path(spark, "query-bronze")
@@ -243,7 +264,7 @@ def oracle_sql() -> dict[str, str]:
 def core_queries() -> dict[str, Query]:
     return {
         "dedup_exact": dedup_exact,
-        "dedup_by_hash": dedup_by_hash,
+        "dedup_copies": dedup_copies,
         "clean": clean_rows,
         "fill_missing": fill_missing,
         "row_loss": row_loss,
@@ -260,6 +281,8 @@ def core_queries() -> dict[str, Query]:
         "silver": silver,
         "silver_published": silver_published,
         "silver_by_month": silver_by_month,
+        "silver_rerun": silver_rerun,
+        "silver_raw": silver_raw,
         "bronze_roundtrip": bronze_roundtrip,
         "latest_partition": latest_partition,
         "latest_partition_ymd": latest_partition_ymd,
@@ -328,6 +351,24 @@ _CAST = (
 )
 
 
+_RAW_TEXT = fixtures.duckdb_sql(fixtures.RAW_SQL)
+_RAW_KEPT = f"""
+SELECT * FROM (
+  SELECT {_columns(_trimmed())} FROM (SELECT DISTINCT * EXCLUDE (mark) FROM ({_RAW_TEXT}) raw) distinct_rows
+) trimmed WHERE id IS NOT NULL AND date IS NOT NULL AND zone IS NOT NULL AND instal IS NOT NULL"""
+_RAW_TYPED = (
+    "SELECT "
+    + _columns(
+        {c: f"coalesce({c}, '{default}')" for c, default in INSPECTION.text_defaults.items()}
+        | {"id": _int("id"), "date": "TRY_CAST(date AS TIMESTAMP)", "instal": "upper(instal)"}
+        | {c: _int(c) for c in _FLAGS}
+        | {c: f"TRY_CAST({c} AS DOUBLE)" for c in _MEASURES}
+    )
+    + f" FROM ({_RAW_KEPT}) kept"
+)
+_SILVER_RAW = f"SELECT *, {_TEMPERATURE}, {_VIBRATION}, {_CALENDAR} FROM ({_RAW_TYPED}) typed"
+
+
 def _report(source: str, measured: dict[str, str]) -> str:
     """One row per column: its name, the row count and what is measured of it."""
     rows = [f"SELECT '{c}' AS column_name, count(*) AS n_rows, {sql} FROM source" for c, sql in measured.items()]
@@ -376,7 +417,7 @@ def core_oracle_sql() -> dict[str, str]:
     measures = ", ".join(c for c in _MEASURES if c not in ("t_av", "t_ar"))
     return {
         "dedup_exact": f"SELECT DISTINCT * FROM ({_RAW}) raw",
-        "dedup_by_hash": f"SELECT *, count(*) AS _copies FROM ({_RAW}) raw GROUP BY ALL",
+        "dedup_copies": f"SELECT *, count(*) AS _copies FROM ({_RAW}) raw GROUP BY ALL",
         "clean": _CLEAN,
         "fill_missing": _FILLED,
         "row_loss": _loss_rows(),
@@ -410,6 +451,10 @@ FROM (
   SELECT date AS d, temperature_max FROM ({_SILVER}) s
   UNION ALL SELECT date - INTERVAL 31 DAY, temperature_max FROM ({_SILVER}) s
 ) both_runs GROUP BY ALL""",
+        "silver_rerun": _SILVER.replace(
+            f"({_RAW}) raw", f"(SELECT * REPLACE (date - INTERVAL 31 DAY AS date) FROM ({_RAW}) r) raw"
+        ),
+        "silver_raw": _SILVER_RAW,
         "bronze_roundtrip": _RAW,
         "latest_partition": "SELECT *, 'events/ingest_date=' || CAST(CAST(ts AS DATE) AS VARCHAR) AS snapshot_path "
         "FROM events WHERE CAST(ts AS DATE) = (SELECT CAST(max(ts) AS DATE) FROM events)",

@@ -60,6 +60,36 @@ SELECT
 FROM {events}
 """
 
+# As a raw export: texts everywhere, accents and signs beyond Latin-1, fractional numbers as
+# text, every 40th event twice, every 60th twice with a space more. `mark` 0: to be garbled.
+RAW_SQL = """
+SELECT
+  concat(CAST(k AS VARCHAR(20)), '.25') AS id,
+  CASE WHEN k % 97 = 0 THEN NULL ELSE CAST(ts AS VARCHAR(40)) END AS date,
+  concat(CASE WHEN k % 3 = 1 THEN 'Zone déjà №' ELSE 'Entrée à côté ' END, CAST(user_id % 9 AS VARCHAR(10)), pad) AS zone,
+  CASE WHEN k % 83 = 0 THEN '  ' ELSE concat('conv-é', CAST(user_id % 17 AS VARCHAR(10))) END AS instal,
+  CASE WHEN k % 5 = 0 THEN 'oui' ELSE concat(CAST(k % 2 AS VARCHAR(10)), '.9') END AS p_produit,
+  CASE WHEN k % 7 = 0 THEN NULL ELSE CAST(k % 2 AS VARCHAR(10)) END AS huile_graisse,
+  k % 2 AS ailette, k % 2 AS boulonneries, k % 2 AS cable, k % 2 AS plaque_a_borne, k % 2 AS graisseur,
+  CASE WHEN k % 11 = 0 THEN 'chaud' ELSE concat(CAST(k % 90 AS VARCHAR(10)), '.5') END AS t_av,
+  concat(CAST(k % 80 AS VARCHAR(10)), '.25') AS t_ar,
+  concat(CAST(k % 40 AS VARCHAR(10)), '.125') AS av_ax,
+  k % 41 AS av_h, k % 42 AS av_v, k % 43 AS ar_ax, k % 44 AS ar_h, k % 45 AS ar_v,
+  CASE WHEN k % 4 = 0 THEN ' ' ELSE 'Bruit étrange — à revoir' END AS observation,
+  CASE WHEN k % 6 = 0 THEN NULL ELSE 'resserré' END AS action,
+  concat('user', CAST(user_id AS VARCHAR(10))) AS utilisateur,
+  k % 3 AS mark
+FROM (
+  SELECT event_id AS k, ts, user_id, '' AS pad FROM {events}
+  UNION ALL SELECT event_id, ts, user_id, '' FROM {events} WHERE event_id % 40 = 0
+  UNION ALL SELECT event_id, ts, user_id, ' ' FROM {events} WHERE event_id % 60 = 0
+) src
+"""
+RAW_NAMES = (
+    " ID ", "Date", "ZONE", "Instal", "P. Produit", "Huile/Graisse", "ailette", "Boulonneries", "CABLE", "Plaque A-Borne",
+    "graisseur", "T-AV", "T-AR", "AV AX", "AV H", "AV V", "AR AX", "AR H", "AR V", "Observation", "ACTION", " Utilisateur",
+)
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"

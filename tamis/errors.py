@@ -1,87 +1,79 @@
-"""Typed errors: a message, plus optional details listing every offender."""
+"""Typed errors. Each holds its `offenders`, a mapping from what is wrong to why, and words them itself."""
 
 from __future__ import annotations
 
-# Fixed value: the line the schema gate writes per offending column.
-SCHEMA_LINE = "{column} : attendu={expected} | actuel={actual}"
+from collections.abc import Mapping
 
 
-class PlatformError(Exception):
-    def __init__(self, message: str, details: str | None = None) -> None:
-        super().__init__(message)
-        self.message, self.details = message, details
+class TamisError(Exception):
+    headline = "The data can't be used"
+    reason = "{}: {}"
+    """How an offender and its reason are put together."""
 
-    def __str__(self) -> str:
-        return f"{self.message} ({self.details})" if self.details else self.message
+    def __init__(self, offenders: Mapping[object, object]) -> None:
+        self.offenders = dict(offenders)
+        plain = ", ".join(str(name) for name, why in self.offenders.items() if why is None)
+        lines = [self.reason.format(name, why) for name, why in self.offenders.items() if why is not None]
+        super().__init__("\n".join([f"{self.headline}{': ' if plain else '.'}{plain}", *lines]))
 
 
-class DataLakeConfigurationError(PlatformError):
-    """The session lacks a setting the lake needs."""
+class DataLakeConfigurationError(TamisError):
+    headline = "A setting is missing or doesn't suit a cluster"
 
 
-class DataLakeConnectionError(PlatformError):
-    """The lake cannot be reached."""
+class DataLakeBucketNotFoundError(TamisError):
+    headline = "The root of a layer does not exist"
 
 
-class DataLakeBucketNotFoundError(PlatformError):
-    """The root of a layer does not exist."""
+class NoPartitionFoundError(TamisError):
+    headline = "There is no dated snapshot"
 
 
-class NoPartitionFoundError(PlatformError):
-    """A table has no dated snapshot."""
+class DataLakeReadError(TamisError):
+    headline = "A snapshot can't be read"
 
 
-class DataLakeReadError(PlatformError):
-    """A snapshot cannot be read."""
+class DataLakeWriteError(TamisError):
+    headline = "A table can't be written"
 
 
-class DataLakeWriteError(PlatformError):
-    """A table cannot be written."""
+class SourceDBConnectionError(TamisError):
+    headline = "The source database can't be reached"
 
 
-class SourceDBConnectionError(PlatformError):
-    """The source database cannot be reached."""
+class SourceDBQueryError(TamisError):
+    headline = "The source database refused a query"
 
 
-class SourceDBQueryError(PlatformError):
-    """The source database refused a query."""
+class MissingRequiredColumnError(TamisError):
+    headline = "Required columns are absent"
 
 
-class SourceTableNotFoundError(PlatformError):
-    """The source table does not exist."""
+class InvalidSchemaError(TamisError):
+    headline = "Columns have another type than declared"
+    # Fixed value: the line per column.
+    reason = "{} : {}"
 
 
-class SourceDataExtractionError(PlatformError):
-    """An extraction failed."""
+class HighNullRatioError(TamisError):
+    headline = "Too much of a column is NULL"
 
 
-class MissingRequiredColumnError(PlatformError):
-    """A required column is absent."""
+class InvalidNumericRangeError(TamisError):
+    headline = "Measurements lie outside their range"
 
 
-class InvalidSchemaError(PlatformError):
-    """A column has another type than the spec declares."""
+class DuplicateKeyError(TamisError):
+    headline = "A key is not unique"
 
 
-class HighNullRatioError(PlatformError):
-    """A column holds too many NULLs."""
+class FutureDateError(TamisError):
+    headline = "Rows are dated in the future"
 
 
-class InvalidNumericRangeError(PlatformError):
-    """A measurement lies outside its plausible range."""
+class InvalidFlagError(TamisError):
+    headline = "Flags hold other values than 0 and 1"
 
 
-class DuplicateKeyError(PlatformError):
-    """A key value identifies more than one row."""
-
-
-class FutureDateError(PlatformError):
-    """A row is dated after the reference instant."""
-
-
-class InvalidFlagError(PlatformError):
-    """A 0/1 flag holds another value."""
-
-
-class TextTooLongError(PlatformError):
-    """A text is longer than its column allows."""
+class TextTooLongError(TamisError):
+    headline = "Texts exceed their column's length"

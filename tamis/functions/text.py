@@ -14,8 +14,9 @@ def standard_name(name: str) -> str:
 
 
 def blank_to_null(text: Column) -> Column:
-    """`text` without outer ASCII spaces, NULL if nothing is left."""
-    return F.nullif(F.trim(text), F.lit(""))
+    """`text` without outer ASCII spaces, NULL if nothing is left, in any collation."""
+    trimmed = F.trim(text)
+    return F.when(F.octet_length(trimmed) > 0, trimmed)
 
 
 def repair_encoding(text: Column) -> Column:

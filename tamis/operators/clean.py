@@ -25,7 +25,7 @@ def clean(df: DataFrame, spec: TableSpec) -> DataFrame:
     into the scan.
     """
     require_frame(df, "clean")
-    rows = df.dropDuplicates()
+    rows = count_copies(df).drop(COPIES)
     for c in spec.mandatory:
         rows = rows.filter(F.col(c).isNotNull())
     return trim_texts(rows, spec)

@@ -1,49 +1,19 @@
-"""Exact duplicates: one row per distinct value, with the number of its copies.
-
-`count_copies` groups whole rows, one lazy shuffle of the table. On a large
-table that holds few duplicates it is cheaper to shuffle only 8-byte hashes:
-`repeated_hashes` finds the hashes on more than one row, and given those,
-`count_copies_apart` groups just the rows that carry one and passes all others
-through where they are. Equal rows have equal hashes, so a row whose hash is
-unique is unique; unequal rows sharing a hash are still told apart by value.
-"""
+"""Exact duplicates: one row per distinct value, with the number of its copies."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-COPIES = "_copies"
-_HASH = "_hash"
+from ..spec import column
 
-BROADCAST_HASHES = 1_000_000
-"""Most hashes `count_copies_apart` is to be given: it broadcasts them, about 20 MB then."""
+COPIES = "_copies"
 
 
 def count_copies(df: DataFrame) -> DataFrame:
-    """Distinct rows and `_copies`, combined before the shuffle: many copies of one row cost one row per task."""
-    return df.groupBy(*df.columns).agg(F.count("*").alias(COPIES))
-
-
-def repeated_hashes(df: DataFrame) -> DataFrame:
-    """Row hashes that occur more than once."""
-    hashes = df.select(_row_hash(df).alias(_HASH)).groupBy(_HASH).agg(F.count("*").alias(COPIES))
-    return hashes.filter(F.col(COPIES) > 1).select(_HASH)
-
-
-def count_copies_apart(df: DataFrame, repeated: DataFrame) -> DataFrame:
-    """As `count_copies`, shuffling only rows whose hash is in `repeated`, which is broadcast."""
-    hashed = df.withColumn(_HASH, _row_hash(df))
-    repeated = F.broadcast(repeated)
-    unique = hashed.join(repeated, _HASH, "left_anti").drop(_HASH).withColumn(COPIES, F.lit(1).cast("bigint"))
-    return unique.unionByName(count_copies(hashed.join(repeated, _HASH, "left_semi").drop(_HASH)))
-
-
-def _row_hash(df: DataFrame) -> Column:
-    return F.xxhash64(*[_hashable(F.col(f.name), f.dataType) for f in df.schema])
-
+    """Distinct rows and `_copies`, combined before the shuffle: many copies of one row cost one row per task.
 
-def _hashable(value: Column, kind: T.DataType) -> Column:
-    """Adding zero turns -0.0 into 0.0, its equal in a grouping."""
-    return value + F.lit(0.0).cast(kind) if isinstance(kind, (T.DoubleType, T.FloatType)) else value
+    Rows are equal as Spark groups them: collated texts by their collation, maps
+    whatever the order of their entries.
+    """
+    return df.groupBy(*[column(c) for c in df.columns]).agg(F.count("*").alias(COPIES))

@@ -15,15 +15,19 @@ from pyspark.sql import functions as F
 
 from .. import errors
 from ..functions.numeric import out_of_range
-from ..spec import TableSpec, present, require_frame
+from ..spec import TableSpec, column, present, require_frame
 
 
 def _profile(df: DataFrame, tests: Mapping[str, Column], value: str) -> DataFrame:
     """One row per tested column: `column_name, n_rows, <value>`, the rows for which the test holds."""
     if not tests:
         return df.sparkSession.createDataFrame([], f"column_name string, n_rows bigint, {value} bigint")
-    totals = df.agg(F.count("*").alias("n_rows"), *[F.count_if(test).alias(name) for name, test in tests.items()])
-    return totals.unpivot("n_rows", list(tests), "column_name", value)
+    # Figures go by place, so a column may have any name.
+    places = {f"c{k}": name for k, name in enumerate(tests)}
+    figures = [F.count_if(test).alias(place) for place, test in zip(places, tests.values(), strict=True)]
+    report = df.agg(F.count("*").alias("n_rows"), *figures).unpivot("n_rows", list(places), "place", value)
+    names = F.create_map(*[F.lit(x) for pair in places.items() for x in pair])
+    return report.select("n_rows", names[F.col("place")].alias("column_name"), value)
 
 
 def _measured(report: DataFrame, value: str) -> dict[str, int]:
@@ -42,7 +46,7 @@ def validate_required_columns(df: DataFrame, spec: TableSpec) -> None:
     require_frame(df, "validate_required_columns")
     missing = missing_columns(df, spec)
     if missing:
-        raise errors.MissingRequiredColumnError("Required columns are absent: " + ", ".join(missing))
+        raise errors.MissingRequiredColumnError(dict.fromkeys(missing))
 
 
 def schema_differences(df: DataFrame, spec: TableSpec) -> list[tuple[str, str, str]]:
@@ -59,15 +63,15 @@ def validate_schema(df: DataFrame, spec: TableSpec) -> None:
     require_frame(df, "validate_schema")
     differences = schema_differences(df, spec)
     if differences:
-        lines = [errors.SCHEMA_LINE.format(column=c, expected=e, actual=a) for c, e, a in differences]
-        raise errors.InvalidSchemaError("Columns have another type than declared.", "\n".join(lines))
+        # Fixed value: the wording of expected and actual type.
+        raise errors.InvalidSchemaError({c: f"attendu={e} | actuel={a}" for c, e, a in differences})
 
 
 # --- NULL ratio --------------------------------------------------------------
 
 
 def null_tests(df: DataFrame, spec: TableSpec) -> dict[str, Column]:
-    return {c: F.col(c).isNull() for c in df.columns if c not in spec.null_exempt}
+    return {c: column(c).isNull() for c in df.columns if c not in spec.null_exempt}
 
 
 def null_profile(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -81,13 +85,13 @@ def check_null_ratio(n_rows: int, counts: Mapping[str, int], spec: TableSpec) ->
     """Fail where the share of NULLs is strictly above the limit; an empty table passes."""
     if n_rows == 0:
         return
-    lines = [
-        f"{c}: {n} of {n_rows} values are NULL ({n / n_rows:.2%})"
+    found = {
+        c: f"{n} of {n_rows} values are NULL ({n / n_rows:.2%}, allowed {spec.max_null_ratio:.0%})"
         for c, n in counts.items()
         if n / n_rows > spec.max_null_ratio
-    ]
-    if lines:
-        raise errors.HighNullRatioError(f"More than {spec.max_null_ratio:.0%} of a column is NULL.", "\n".join(lines))
+    }
+    if found:
+        raise errors.HighNullRatioError(found)
 
 
 def validate_null_ratio(df: DataFrame, spec: TableSpec) -> None:
@@ -100,7 +104,7 @@ def validate_null_ratio(df: DataFrame, spec: TableSpec) -> None:
 
 
 def range_tests(df: DataFrame, spec: TableSpec) -> dict[str, Column]:
-    return {c: out_of_range(F.col(c), *spec.ranges[c]) for c in present(df, spec.ranges)}
+    return {c: out_of_range(column(c), *spec.ranges[c]) for c in present(df, spec.ranges)}
 
 
 def range_profile(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -109,9 +113,9 @@ def range_profile(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def check_ranges(counts: Mapping[str, int], spec: TableSpec) -> None:
-    lines = [f"{c}: {n} values outside {list(spec.ranges[c])}" for c, n in counts.items() if n > 0]
-    if lines:
-        raise errors.InvalidNumericRangeError("Measurements lie outside their range.", "\n".join(lines))
+    found = {c: f"{n} values outside {list(spec.ranges[c])}" for c, n in counts.items() if n > 0}
+    if found:
+        raise errors.InvalidNumericRangeError(found)
 
 
 def validate_numeric_ranges(df: DataFrame, spec: TableSpec) -> None:
@@ -132,9 +136,7 @@ def validate_unique_primary_key(df: DataFrame, spec: TableSpec) -> None:
     require_frame(df, "validate_unique_primary_key")
     found = duplicate_keys(df, spec.key).agg(F.count("*").alias("keys"), F.sum("n_rows").alias("rows")).first()
     if found["keys"]:
-        raise errors.DuplicateKeyError(
-            f"Key '{spec.key}' is not unique.", f"{found['keys']} values on {found['rows']} rows"
-        )
+        raise errors.DuplicateKeyError({spec.key: f"{found['keys']} values on {found['rows']} rows"})
 
 
 def future_dates(df: DataFrame, spec: TableSpec, as_of: datetime) -> DataFrame:
@@ -147,8 +149,7 @@ def validate_future_dates(df: DataFrame, spec: TableSpec, as_of: datetime) -> No
     require_frame(df, "validate_future_dates")
     found = {c: n for c, n in _measured(future_dates(df, spec, as_of), "future_count").items() if n}
     if found:
-        lines = [f"{c}: {n} after {as_of}" for c, n in found.items()]
-        raise errors.FutureDateError("Rows are dated in the future.", "\n".join(lines))
+        raise errors.FutureDateError({c: f"{n} after {as_of}" for c, n in found.items()})
 
 
 def flag_domain(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -160,18 +161,16 @@ def validate_binary_values(df: DataFrame, spec: TableSpec) -> None:
     require_frame(df, "validate_binary_values")
     found = {c: n for c, n in _measured(flag_domain(df, spec), "invalid_count").items() if n}
     if found:
-        lines = [f"{c}: {n} values other than 0 and 1" for c, n in found.items()]
-        raise errors.InvalidFlagError("Flags hold other values than 0 and 1.", "\n".join(lines))
+        raise errors.InvalidFlagError({c: f"{n} values other than 0 and 1" for c, n in found.items()})
 
 
 def text_length(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     """Report `(column_name, n_rows, too_long_count)` of texts longer than their limit, in characters."""
-    return _profile(df, {c: F.char_length(F.col(c)) > limits[c] for c in present(df, limits)}, "too_long_count")
+    return _profile(df, {c: F.char_length(column(c)) > limits[c] for c in present(df, limits)}, "too_long_count")
 
 
 def validate_string_length(df: DataFrame, limits: Mapping[str, int]) -> None:
     require_frame(df, "validate_string_length")
     found = {c: n for c, n in _measured(text_length(df, limits), "too_long_count").items() if n}
     if found:
-        lines = [f"{c}: {n} texts longer than {limits[c]}" for c, n in found.items()]
-        raise errors.TextTooLongError("Texts exceed their column's length.", "\n".join(lines))
+        raise errors.TextTooLongError({c: f"{n} texts longer than {limits[c]}" for c, n in found.items()})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import UTC, date, datetime
 
@@ -22,12 +23,18 @@ class BronzeResult:
 
 
 def ingest(
-    df: DataFrame, bronze_root: str, table: str, *, day: date | None = None, layout: str = "ingest_date"
+    df: DataFrame,
+    bronze_root: str,
+    table: str,
+    *,
+    day: date | None = None,
+    layout: str = "ingest_date",
+    date_columns: Sequence[str] = ("date",),
 ) -> BronzeResult:
     """Store `df` as the snapshot of `day`, whatever Spark source it comes from."""
     day = day or datetime.now(UTC).date()
     path = snapshot_path(table, day, layout)
-    return BronzeResult(path, write_bronze(parse_dates(df), bronze_root, table, day, layout))
+    return BronzeResult(path, write_bronze(parse_dates(df, date_columns), bronze_root, table, day, layout))
 
 
 def extract(
@@ -38,7 +45,9 @@ def extract(
     *,
     day: date | None = None,
     layout: str = "ingest_date",
+    date_columns: Sequence[str] = ("date",),
     **read_options,
 ) -> BronzeResult:
     """Scan a database table in parallel and store it as the snapshot of `day`."""
-    return ingest(read_table(spark, url, table, **read_options), bronze_root, table, day=day, layout=layout)
+    rows = read_table(spark, url, table, date_columns=(), **read_options)
+    return ingest(rows, bronze_root, table, day=day, layout=layout, date_columns=date_columns)

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import LOSS, clean, clean_missing_values, fill_defaults, label_losses, loss_counts
-from ..operators.dedup import BROADCAST_HASHES, COPIES, count_copies, count_copies_apart, repeated_hashes
+from ..operators.dedup import COPIES, count_copies
 from ..operators.features import enrich
 from ..operators.quality import (
     check_null_ratio,
@@ -20,22 +20,19 @@ from ..operators.quality import (
     validate_schema,
 )
 from ..operators.standardize import standardize_column_names, standardize_data_types, standardize_text_values
-from ..session import sized_for, staging_path
 from ..sources.lake import (
     check_target,
     delete_path,
     latest_snapshot,
+    may_write,
+    publish_staged,
     read_bronze_parquet,
-    write_parquet,
-    write_silver_parquet,
+    stage_silver,
 )
 from ..spec import INSPECTION, TableSpec
 
 _NULL, _RANGE = "_null_", "_range_"
 
-HASH_FIRST_BYTES = 100 << 30
-"""Parquet size from which `transform` looks for duplicates by hash first."""
-
 
 @dataclass(frozen=True)
 class SilverResult:
@@ -45,6 +42,10 @@ class SilverResult:
     """Input rows, rows lost per reason, rows kept (see `row_loss`)."""
     nulls: Mapping[str, int]
     """NULLs per gated column, before the casts."""
+    ranges: Mapping[str, int]
+    """Values out of range per measurement."""
+    written: bool = True
+    """False if mode `ignore` found a table; there are no figures then."""
 
 
 def _checked_names(bronze: DataFrame, spec: TableSpec) -> DataFrame:
@@ -70,26 +71,11 @@ def _marks(tests: Mapping[str, Column], prefix: str) -> dict[str, Column]:
     return {f"{prefix}{c}": F.when(test, F.lit(True)) for c, test in tests.items()}
 
 
-def _counted(staged: DataFrame, spec: TableSpec) -> dict[str, int]:
-    """Every figure the gates and the row account need, in one pass over the marks."""
+def _figures(marked: DataFrame, spec: TableSpec) -> dict[str, Column]:
+    """Aggregates over the marks: every figure of the gates and of the row account."""
     kept = F.col(LOSS).isNull()
-    marks = [c for c in staged.columns if c.startswith((_NULL, _RANGE))]
-    figures = loss_counts(spec) | {m: F.count_if(kept & F.col(m)) for m in marks}
-    return staged.agg(*[figure.alias(name) for name, figure in figures.items()]).first().asDict()
-
-
-def distinct_by_hash(rows: DataFrame, folder: str) -> DataFrame:
-    """Distinct rows and `_copies`, shuffling whole rows only where hashes repeat.
-
-    The repeated hashes are stored at `folder`, so that they are found once
-    and counted before they are broadcast.
-    """
-    write_parquet(repeated_hashes(rows), folder)
-    repeated = rows.sparkSession.read.parquet(folder)
-    n_repeated = repeated.count()
-    if n_repeated == 0:
-        return rows.withColumn(COPIES, F.lit(1).cast("bigint"))
-    return count_copies_apart(rows, repeated) if n_repeated <= BROADCAST_HASHES else count_copies(rows)
+    marks = [c for c in marked.columns if c.startswith((_NULL, _RANGE))]
+    return loss_counts(spec) | {m: F.count_if(kept & F.col(m)) for m in marks}
 
 
 def build_silver(
@@ -99,47 +85,50 @@ def build_silver(
     *,
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
-    hash_first: bool = False,
+    replace_partitions: bool = False,
 ) -> SilverResult:
     """Transform a Bronze frame, pass the gates, publish at `silver_path`.
 
-    1. Deduplicate, standardise, and stage the rows as Parquet in the folder
-       the cluster shares. Each row carries its copies, its reason to go, and
-       marks for NULLs before the casts and for values out of range.
-    2. Count the marks: a scan of columns that are nearly all NULL.
-    3. If the gates pass, derive the features and write them to `silver_path`.
+    1. Look at the target: `ignore` stops at one that exists, `error` raises.
+    2. Deduplicate, standardise, enrich, and write the rows that stay, once, beside
+       the target. All figures are observed in that pass: rows carry their copies,
+       their reason to go, and marks for NULLs before the casts and for values out
+       of range. Should a lost executor's task have been observed twice (then the
+       files hold other than the observed number of rows), they are counted anew.
+    3. If the gates pass, swap the new table in.
 
-    A failing run leaves the target untouched, and later steps repeat neither
-    the scan nor the shuffle. By default step 1 shuffles whole rows once; with
-    `hash_first` it reads the input again to shuffle only row hashes, unless
-    these show more duplicates than can be handled apart.
+    A failing run leaves the target as it is. A table is replaced whole; with
+    `replace_partitions` only the partitions that the rows fall into.
     """
     spark = bronze.sparkSession
     mode = check_target(silver_path, mode)
     rows = _checked_names(bronze, spec)
-    folder = staging_path(spark, f"silver-{spec.name}")
+    if not may_write(spark, silver_path, mode):
+        return SilverResult(silver_path, 0, {}, {}, {}, written=False)
+    filled = fill_defaults(label_losses(count_copies(rows), spec), spec)
+    nulls = {c: test for c, test in null_tests(filled, spec).items() if c not in (LOSS, COPIES)}
+    typed = _standardize(filled.withColumns(_marks(nulls, _NULL)), spec)
+    ranges = range_tests(typed, spec)
+    marked = typed.withColumns(_marks(ranges, _RANGE))
+    figures = [figure.alias(name) for name, figure in _figures(marked, spec).items()]
+
+    seen = Observation()
+    kept = marked.observe(seen, *figures).filter(F.col(LOSS).isNull())
+    silver = enrich(kept.select([c for c in kept.columns if not c.startswith("_")]), spec)
+    staged = stage_silver(silver, silver_path, partition_by)
     try:
-        distinct = distinct_by_hash(rows, f"{folder}/repeated") if hash_first else count_copies(rows)
-        filled = fill_defaults(label_losses(distinct, spec), spec)
-        nulls = {c: test for c, test in null_tests(filled, spec).items() if c not in (LOSS, COPIES)}
-        typed = _standardize(filled.withColumns(_marks(nulls, _NULL)), spec)
-        ranges = range_tests(typed, spec)
-        marked = typed.withColumns(_marks(ranges, _RANGE))
-        write_parquet(marked, f"{folder}/rows")
-
-        staged = spark.read.schema(marked.schema).parquet(f"{folder}/rows")
-        counts = _counted(staged, spec)
+        counts = seen.get
+        if counts.get("kept") != spark.read.schema(silver.schema).parquet(staged).count():
+            counts = marked.agg(*figures).first().asDict()
         null_counts = {c: counts[_NULL + c] for c in nulls}
+        range_counts = {c: counts[_RANGE + c] for c in ranges}
         check_null_ratio(counts["kept"], null_counts, spec)
-        check_ranges({c: counts[_RANGE + c] for c in ranges}, spec)
-
-        kept = staged.filter(F.col(LOSS).isNull())
-        silver = enrich(kept.select([c for c in kept.columns if not c.startswith("_")]), spec)
-        write_silver_parquet(silver, silver_path, mode, partition_by)
+        check_ranges(range_counts, spec)
+        publish_staged(spark, staged, silver_path, mode, partition_by, replace_partitions)
     finally:
-        delete_path(spark, folder)
+        delete_path(spark, staged)
     losses = {name: counts[name] for name in loss_counts(spec)}
-    return SilverResult(silver_path, losses["kept"], losses, null_counts)
+    return SilverResult(silver_path, losses["kept"], losses, null_counts, range_counts)
 
 
 def transform(
@@ -155,12 +144,4 @@ def transform(
     """Build Silver from the latest Bronze snapshot, at the same path under `silver_root`."""
     snapshot = latest_snapshot(spark, bronze_root, spec.name, layout)
     bronze = read_bronze_parquet(spark, snapshot.under(bronze_root))
-    with sized_for(spark, snapshot.n_bytes):
-        return build_silver(
-            bronze,
-            snapshot.under(silver_root),
-            spec,
-            mode=mode,
-            partition_by=partition_by,
-            hash_first=snapshot.n_bytes >= HASH_FIRST_BYTES,
-        )
+    return build_silver(bronze, snapshot.under(silver_root), spec, mode=mode, partition_by=partition_by)

@@ -1,12 +1,11 @@
-"""Session construction and the settings a run takes from its session."""
+"""Session construction, and the folder for intermediate tables."""
 
 from __future__ import annotations
 
 import functools
 import tempfile
 import uuid
-from collections.abc import Iterator, Mapping
-from contextlib import contextmanager
+from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
@@ -21,10 +20,6 @@ _DEFAULTS = {
 }
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
-_SPLIT = "spark.sql.files.maxPartitionBytes"
-_MERGED = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-_SHUFFLE_WIDTH = "spark.sql.shuffle.partitions"
-_INITIAL_WIDTH = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def session_settings(
@@ -72,51 +67,11 @@ def _local_folder() -> str:
 def staging_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the folder the cluster shares (`spark.checkpoint.dir`).
 
-    Only a local-mode session may do without that setting; it gets a temporary
-    folder, which on a cluster other executors could not see.
+    Only a local-mode session may do without that setting, or give it a `file:`
+    path: on a cluster other executors could not see those files.
     """
     root = spark.conf.get(_CHECKPOINT_DIR, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise DataLakeConfigurationError(f"Set {_CHECKPOINT_DIR} to a folder all executors share.")
-        root = _local_folder()
+    if (not root or root.startswith("file:")) and not spark.sparkContext.master.startswith("local"):
+        raise DataLakeConfigurationError({_CHECKPOINT_DIR: f"{root or 'unset'}; it must be a folder all executors share"})
+    root = root or _local_folder()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
-def task_bytes(input_bytes: int, minimum: int) -> int:
-    """Bytes for one task: as configured, or more, so that 100 000 tasks cover the input."""
-    return max(minimum, -(-input_bytes // 100_000))
-
-
-def shuffle_width(input_bytes: int, minimum: int) -> int:
-    """Reduce partitions for a full-row shuffle of `input_bytes` of Parquet.
-
-    Decoded rows take about three times their Parquet size; a partition should
-    hold 512 MiB of them. Scan tasks times partitions is the number of shuffle
-    blocks, so from 32768 on partitions grow, and spill, instead.
-    """
-    wanted = -(-3 * input_bytes // (512 << 20))
-    return max(minimum, min(wanted, 32768))
-
-
-@contextmanager
-def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
-    """Within the block, plan scans and shuffles for `input_bytes` of Parquet.
-
-    Scan tasks, shuffle width, and the size to which AQE merges or splits
-    shuffle partitions grow with the input; none falls below what is configured.
-    """
-    before = {key: spark.conf.get(key, None) for key in (_SPLIT, _MERGED, _INITIAL_WIDTH)}
-    in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
-    for key in (_SPLIT, _MERGED):
-        spark.conf.set(key, task_bytes(input_bytes, in_bytes(spark.conf.get(key))))
-    width = int(before[_INITIAL_WIDTH] or spark.conf.get(_SHUFFLE_WIDTH))
-    spark.conf.set(_INITIAL_WIDTH, shuffle_width(input_bytes, width))
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date
 
 from py4j.java_gateway import is_instance_of
 from py4j.protocol import Py4JJavaError
@@ -27,16 +28,25 @@ def bounds_query(url: str, table_name: str, column: str) -> str:
     return f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {quoted(url, table_name)}"
 
 
-def range_options(column: str, low, high, num_partitions: int) -> dict[str, str]:
-    """Reader options that split [low, high] of `column` over parallel queries; none for an empty table."""
+def range_predicates(column: str, low, high, num_partitions: int) -> list[str]:
+    """Conditions that split [low, high] of a number or date column over queries, and one for NULL; NULL only if there are no bounds.
+
+    The outer ranges are open, so rows written since the bounds were read are not lost.
+    """
+    nulls = f"{column} IS NULL"
     if low is None:
-        return {}
-    return {
-        "partitionColumn": column,
-        "lowerBound": str(low),
-        "upperBound": str(high),
-        "numPartitions": str(num_partitions),
-    }
+        return [nulls]
+    if isinstance(low, date):
+        cuts = [f"'{c}'" for c in sorted({low + (high - low) * k / num_partitions for k in range(1, num_partitions)} - {low})]
+    else:
+        low, span = int(low), int(high) - int(low) + 1
+        cuts = sorted({low + span * k // num_partitions for k in range(1, num_partitions)} - {low})
+    edges = [None, *cuts, None]
+    ranges = []
+    for a, b in zip(edges, edges[1:], strict=False):
+        parts = [f"{column} >= {a}"] * (a is not None) + [f"{column} < {b}"] * (b is not None)
+        ranges.append(" AND ".join(parts) or f"{column} IS NOT NULL")
+    return [*ranges, nulls]
 
 
 def read_table(
@@ -54,10 +64,11 @@ def read_table(
     """Scan a whole table in `num_partitions` parallel range queries.
 
     The ranges split [min, max] of `partition_column` evenly, which suits a
-    primary key. Where values crowd, or many are NULL (they join the first
-    range), pass `predicates` instead: disjoint WHERE conditions that cover
-    the table, one per task. `partition_column=None` reads in a single query,
-    which is also the only way to see one instant of a table being written to.
+    primary key; rows where it is NULL are a query of their own. Where values
+    crowd, or there are many NULLs, pass `predicates` instead: disjoint WHERE
+    conditions that cover the table, one per task. `partition_column=None` reads
+    in a single query, which is also the only way to see one instant of a table
+    being written to.
 
     MySQL streams rows only with `useCursorFetch=true` in the URL; without it
     the driver buffers each range whole whatever `fetch_size` says.
@@ -71,14 +82,14 @@ def read_table(
         elif partition_column:
             bounds = bounds_query(url, table_name, partition_column)
             low, high = spark.read.options(url=url, query=bounds, **options).format("jdbc").load().first()
-            split = range_options(partition_column, low, high, num_partitions)
-            df = reader.options(dbtable=table, **split).format("jdbc").load()
+            split = range_predicates(quoted(url, partition_column, "column"), low, high, num_partitions)
+            df = spark.read.jdbc(url, table, predicates=split, properties=options)
         else:
             df = reader.options(dbtable=table).format("jdbc").load()
     except (PySparkException, Py4JJavaError) as e:
         unreachable = _sql_state(spark, e).startswith("08")
         error = SourceDBConnectionError if unreachable else SourceDBQueryError
-        raise error(f"Cannot read table '{table_name}'.", str(e)) from e
+        raise error({table_name: e}) from e
     return parse_dates(df, date_columns)
 
 

@@ -7,13 +7,14 @@ layouts: `table/ingest_date=YYYY-MM-DD` (the default) or `table/YYYY/MM/DD`.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import UTC, date, datetime
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import DataLakeBucketNotFoundError, DataLakeReadError, DataLakeWriteError, NoPartitionFoundError
@@ -92,12 +93,12 @@ def latest_snapshot(spark: SparkSession, root: str, table: str, layout: str = "i
     """The latest snapshot that holds a file; `NoPartitionFoundError` if there is none."""
     top, files = _file_system(spark, root)
     if not files.exists(top):
-        raise DataLakeBucketNotFoundError(f"'{root}' does not exist.")
+        raise DataLakeBucketNotFoundError({root: None})
     for day, path in snapshot_days(spark, root, table, layout):
         n_files, n_bytes = snapshot_size(spark, root, path)
         if n_files:
             return Snapshot(day, path, n_files, n_bytes)
-    raise NoPartitionFoundError(f"No snapshot of '{table}' under '{root}'.")
+    raise NoPartitionFoundError({table: f"none under '{root}'"})
 
 
 def write_bronze(
@@ -105,22 +106,21 @@ def write_bronze(
 ) -> int:
     """Write one day's snapshot, replacing that day only; return the rows written.
 
-    An empty frame, found by asking for one row, writes nothing and leaves an
-    earlier snapshot of the day in place. In the `ingest_date` layout so does a
-    write that fails: the day is swapped when the job commits.
+    The rows are written beside the day and swapped in once they are complete: a
+    write that fails, or has no rows, leaves an earlier snapshot in place. The
+    source is read once; the rows are counted from the files' footers.
     """
-    _layout(layout)
-    day = day or datetime.now(UTC).date()
-    if df.isEmpty():
-        return 0
-    seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("n_rows"))
-    if layout == "ingest_date":
-        dated = counted.withColumn(DATE_COLUMN, F.lit(day))
-        write_parquet(dated, f"{root.rstrip('/')}/{table}", partition_by=[DATE_COLUMN])
-    else:
-        write_parquet(counted, f"{root.rstrip('/')}/{snapshot_path(table, day, layout)}")
-    return seen.get["n_rows"]
+    target = f"{root.rstrip('/')}/{snapshot_path(table, day, layout)}"
+    staged = beside(target)
+    spark = df.sparkSession
+    try:
+        write_parquet(df, staged)
+        n_rows = spark.read.schema(df.schema).parquet(staged).count()
+        if n_rows:
+            swap_in(spark, staged, target)
+    finally:
+        delete_path(spark, staged)
+    return n_rows
 
 
 def read_bronze_parquet(spark: SparkSession, bronze_path: str) -> DataFrame:
@@ -129,7 +129,7 @@ def read_bronze_parquet(spark: SparkSession, bronze_path: str) -> DataFrame:
     try:
         return spark.read.parquet(bronze_path)
     except AnalysisException as e:
-        raise DataLakeReadError("Cannot read the Bronze data.", str(e)) from e
+        raise DataLakeReadError({bronze_path: e}) from e
 
 
 def check_target(path: str, mode: str) -> str:
@@ -141,19 +141,74 @@ def check_target(path: str, mode: str) -> str:
     return mode.lower()
 
 
+def may_write(spark: SparkSession, path: str, mode: str) -> bool:
+    """Whether a target is to be written: not if it exists and the mode is `ignore`; `error` then raises."""
+    if mode not in ("error", "ignore") or not path_exists(spark, path):
+        return True
+    if mode == "error":
+        raise DataLakeWriteError({path: "it exists"})
+    return False
+
+
 def write_silver_parquet(
-    df: DataFrame, silver_path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
-) -> None:
-    """Write a Parquet table; with `partition_by`, overwriting replaces only the partitions present in `df`.
+    df: DataFrame,
+    silver_path: str,
+    mode: str = "overwrite",
+    partition_by: Sequence[str] = (),
+    *,
+    replace_partitions: bool = False,
+) -> bool:
+    """Write a Parquet table; say whether anything was written.
+
+    `overwrite` replaces the whole table: rows are written beside it and swapped
+    in once complete, so a failure leaves the old table. With
+    `replace_partitions` it replaces only the partitions present in `df`, which
+    are swapped when the job commits.
 
     Partitioned rows are first rebalanced on the partition columns: AQE merges
     small partitions into few files and splits one that holds most of the rows
     over many tasks.
     """
     mode = check_target(silver_path, mode)
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    write_parquet(df, silver_path, mode, partition_by)
+    spark = df.sparkSession
+    if not may_write(spark, silver_path, mode):
+        return False
+    if mode == "append" or replace_partitions:
+        write_parquet(_balanced(df, partition_by), silver_path, mode, partition_by)
+        return True
+    staged = beside(silver_path)
+    try:
+        write_parquet(_balanced(df, partition_by), staged, "error", partition_by)
+        swap_in(spark, staged, silver_path)
+    finally:
+        delete_path(spark, staged)
+    return True
+
+
+def stage_silver(df: DataFrame, silver_path: str, partition_by: Sequence[str] = ()) -> str:
+    """Write the rows of a table to come beside its place; `publish_staged` puts them there."""
+    staged = beside(silver_path)
+    try:
+        write_parquet(_balanced(df, partition_by), staged, "error", partition_by)
+    except DataLakeWriteError:
+        delete_path(df.sparkSession, staged)
+        raise
+    return staged
+
+
+def publish_staged(
+    spark: SparkSession, staged: str, silver_path: str, mode: str, partition_by: Sequence[str] = (), replace_partitions: bool = False
+) -> None:
+    """Swap staged rows in; where they join a table that exists, copy them into it."""
+    if (mode == "append" or replace_partitions) and path_exists(spark, silver_path):
+        rows = spark.read.parquet(staged)
+        write_parquet(_balanced(rows, partition_by), silver_path, mode, partition_by)
+    else:
+        swap_in(spark, staged, silver_path)
+
+
+def _balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    return df.hint("rebalance", *partition_by) if partition_by else df
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
@@ -163,10 +218,47 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
             writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
         writer.parquet(path)
     except (PySparkException, Py4JJavaError) as e:
-        raise DataLakeWriteError(f"Cannot write '{path}'.", str(e)) from e
+        raise DataLakeWriteError({path: e}) from e
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target, files = _file_system(spark, path)
+    return files.exists(target)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    """Remove a table this run has staged."""
+    """Remove what this run has staged, if it is still there."""
     target, files = _file_system(spark, path)
     files.delete(target, True)
+
+
+def beside(path: str) -> str:
+    """A new path in the same folder, which readers of that folder pass over."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{folder}/_{uuid.uuid4().hex}.{name}" if folder else f"_{uuid.uuid4().hex}.{name}"
+
+
+def swap_in(spark: SparkSession, staged: str, path: str) -> None:
+    """Move a staged folder to its place. What was there is moved aside first, and back if that fails.
+
+    Renames are atomic on HDFS-like file systems, and for an instant nothing is
+    there; object stores copy instead.
+    """
+    new, files = _file_system(spark, staged)
+    target, _ = _file_system(spark, path)
+    aside, _ = _file_system(spark, beside(path))
+    files.mkdirs(target.getParent())
+    had = files.exists(target)
+    if had and not files.rename(target, aside):
+        raise DataLakeWriteError({path: "the table there can't be moved"})
+    try:
+        moved = files.rename(new, target)
+    except Py4JJavaError as e:
+        moved, cause = False, e
+    else:
+        cause = None
+    if not moved:
+        if had:
+            files.rename(aside, target)
+        raise DataLakeWriteError({path: "the new table can't be moved there"}) from cause
+    files.delete(aside, True)

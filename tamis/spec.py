@@ -9,7 +9,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -45,11 +46,17 @@ def present(df: DataFrame, columns: Iterable[str]) -> list[str]:
     return [c for c in columns if c in have]
 
 
+def column(name: str) -> Column:
+    """The column of exactly this name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def require_frame(df: DataFrame | None, step: str) -> None:
     if df is None:
         raise ValueError(f"{step}: the DataFrame is None.")
 
 
+# Fixed values, to the end of the file: names, types, defaults, ranges and the NULL limit of inspections.
 _INT, _DOUBLE, _STRING, _TIMESTAMP = T.IntegerType(), T.DoubleType(), T.StringType(), T.TimestampType()
 
 _FLAGS = ("p_produit", "huile_graisse", "ailette", "boulonneries", "cable", "plaque_a_borne", "graisseur")
@@ -76,7 +83,6 @@ INSPECTION = TableSpec(
     text=("zone", "instal", "observation", "action", "utilisateur"),
     upper=("instal",),
     flags=_FLAGS,
-    # Fixed values.
     text_defaults={
         "observation": "non renseignee",
         "action": "aucune action renseignee",

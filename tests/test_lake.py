@@ -138,6 +138,15 @@ def test_hive_layout_reads_as_a_partitioned_table(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(ingest_date" in table._jdf.queryExecution().toString()
 
 
+def test_a_bronze_source_is_read_once_and_dates_are_optional(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+    rows = spark.sparkContext.parallelize([("2026-07-29 08:30:00",)], 1).map(lambda r: reads.add(1) or r)
+    df = spark.createDataFrame(rows, "date string")
+    result = ingest(df, str(tmp_path), "inspection", day=DAY, date_columns=())
+    assert reads.value == 1
+    assert dict(lake.read_bronze_parquet(spark, f"{tmp_path}/{result.path}").dtypes)["date"] == "string"
+
+
 def test_read_errors(spark, tmp_path):
     for path in ("", "  ", None):
         with pytest.raises(ValueError):
@@ -168,9 +177,12 @@ def test_write_arguments(spark, tmp_path):
 def test_partitioned_write_replaces_only_its_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     lake.write_silver_parquet(spark.range(9).withColumn("p", F.col("id") % 3), path, partition_by=["p"])
-    lake.write_silver_parquet(spark.range(1).withColumn("p", F.lit(2)), path, partition_by=["p"])
+    one = spark.range(1).withColumn("p", F.lit(2))
+    lake.write_silver_parquet(one, path, partition_by=["p"], replace_partitions=True)
     counts = {r["p"]: r["count"] for r in spark.read.parquet(path).groupBy("p").count().collect()}
     assert counts == {0: 3, 1: 3, 2: 1}
+    lake.write_silver_parquet(one, path, partition_by=["p"])
+    assert spark.read.parquet(path).count() == 1
 
 
 def test_a_partition_holding_most_rows_is_written_by_several_tasks(spark, tmp_path):
@@ -207,14 +219,19 @@ def test_bounds_query():
     assert jdbc.bounds_query("jdbc:postgresql://db/x", "t", "id") == "SELECT MIN(id) AS lo, MAX(id) AS hi FROM t"
 
 
-def test_range_options():
-    assert jdbc.range_options("id", None, None, 8) == {}
-    assert jdbc.range_options("id", 1, 900, 8) == {
-        "partitionColumn": "id",
-        "lowerBound": "1",
-        "upperBound": "900",
-        "numPartitions": "8",
-    }
+def test_range_predicates():
+    assert jdbc.range_predicates("id", None, None, 8) == ["id IS NULL"]
+    assert jdbc.range_predicates("id", 5, 5, 8) == ["id IS NOT NULL", "id IS NULL"]
+    assert jdbc.range_predicates("id", 1, 900, 3) == ["id < 301", "id >= 301 AND id < 601", "id >= 601", "id IS NULL"]
+    days = jdbc.range_predicates("day", date(2026, 1, 1), date(2026, 1, 5), 2)
+    assert days == ["day < '2026-01-03'", "day >= '2026-01-03'", "day IS NULL"]
+
+
+@pytest.mark.parametrize("parts", [1, 2, 7, 50])
+def test_every_row_is_in_one_range(spark, parts):
+    rows = spark.createDataFrame([(i,) for i in [*range(-3, 30), None]], "id int")
+    conditions = jdbc.range_predicates("id", -2, 25, parts)
+    assert sorted(r.n for r in rows.selectExpr(" + ".join(f"int(coalesce({c}, false))" for c in conditions) + " AS n").collect()) == [1] * 34
 
 
 def test_dates_are_parsed_on_ingest(spark):
@@ -234,7 +251,7 @@ def test_extract_stores_what_the_table_holds(spark, tmp_path, monkeypatch):
 
     monkeypatch.setattr("tamis.plans.bronze.read_table", table)
     result = extract(spark, "jdbc:mysql://db/x", "inspection", str(tmp_path), day=DAY, num_partitions=4)
-    assert asked == {"url": "jdbc:mysql://db/x", "name": "inspection", "num_partitions": 4}
+    assert asked == {"url": "jdbc:mysql://db/x", "name": "inspection", "num_partitions": 4, "date_columns": ()}
     assert result.n_rows == lake.read_bronze_parquet(spark, f"{tmp_path}/{result.path}").count() == 2
 
 

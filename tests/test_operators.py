@@ -35,28 +35,6 @@ def test_duplicates_treat_null_nan_and_zero_signs_as_equal(spark):
     df = inspection(spark, *rows)
     assert clean.clean(df, INSPECTION).count() == 3
     assert sorted(r["_copies"] for r in dedup.count_copies(df).collect()) == [2, 2, 2]
-    repeated = dedup.repeated_hashes(df)
-    assert repeated.count() == 3
-    assert sorted(r["_copies"] for r in dedup.count_copies_apart(df, repeated).collect()) == [2, 2, 2]
-
-
-def test_counting_copies_apart_gives_the_same(spark, inspections):
-    plain = dedup.count_copies(inspections)
-    apart = dedup.count_copies_apart(inspections, dedup.repeated_hashes(inspections))
-    assert plain.columns == apart.columns
-    assert plain.exceptAll(apart).isEmpty() and apart.exceptAll(plain).isEmpty()
-
-
-def test_rows_sharing_a_hash_stay_apart(spark):
-    """A hash skips NULLs, so these three rows share one."""
-    df = spark.createDataFrame([("a", None), (None, "a"), (None, "a"), ("b", "c")], "x string, y string")
-    repeated = dedup.repeated_hashes(df)
-    assert repeated.count() == 1
-    assert sorted(map(str, dedup.count_copies_apart(df, repeated).collect())) == [
-        "Row(x='a', y=None, _copies=1)",
-        "Row(x='b', y='c', _copies=1)",
-        "Row(x=None, y='a', _copies=2)",
-    ]
 
 
 def test_missing_critical_rows_go_and_gaps_are_filled(spark):

@@ -28,7 +28,7 @@ def test_schema(spark, inspections):
     wrong = df.withColumn("id", F.col("id").cast("bigint")).withColumn("date", F.col("date").cast("timestamp_ntz"))
     with pytest.raises(errors.InvalidSchemaError) as e:
         quality.validate_schema(wrong, INSPECTION)
-    assert e.value.details.splitlines() == [
+    assert str(e.value).splitlines()[1:] == [
         "id : attendu=IntegerType | actuel=LongType",
         "date : attendu=TimestampType | actuel=TimestampNTZType",
     ]
@@ -55,7 +55,7 @@ def test_all_bad_columns_are_reported_together(spark):
     df = inspection(spark, {"t_av": None, "ar_v": None})
     with pytest.raises(errors.HighNullRatioError) as e:
         quality.validate_null_ratio(df, INSPECTION)
-    assert len(e.value.details.splitlines()) == 2
+    assert len(e.value.offenders) == 2
 
 
 @pytest.mark.parametrize("value", [0.0, 120.0, None])
@@ -128,9 +128,10 @@ def test_no_frame_is_refused(gate):
 
 
 def test_errors_carry_message_and_details():
-    assert str(errors.InvalidSchemaError("message", "why")) == "message (why)"
-    assert str(errors.InvalidSchemaError("message")) == "message"
-    assert issubclass(errors.NoPartitionFoundError, errors.PlatformError)
+    error = errors.InvalidSchemaError({"a": "attendu=x | actuel=y"})
+    assert error.offenders == {"a": "attendu=x | actuel=y"} and str(error).endswith("\na : attendu=x | actuel=y")
+    assert str(errors.MissingRequiredColumnError({"a": None, "b": None})).endswith(": a, b")
+    assert issubclass(errors.NoPartitionFoundError, errors.TamisError)
 
 
 def test_limits_come_from_the_spec(spark):
@@ -139,3 +140,11 @@ def test_limits_come_from_the_spec(spark):
         quality.validate_null_ratio(with_nulls(spark, "t_av", 1, 10), strict)
     with pytest.raises(errors.InvalidNumericRangeError, match=r"\[5, 6\]"):
         quality.validate_numeric_ranges(inspection(spark, {}), strict)
+
+
+def test_profiles_of_any_column_name(spark):
+    spec = replace(INSPECTION, null_exempt=(), ranges={"a.b": (0, 1), "n_rows": (0, 1)})
+    df = spark.createDataFrame([(None, 2, 1), (1, 0, 5)], "n_rows int, `a.b` int, `x``y` int")
+    nulls = {r["column_name"]: (r["n_rows"], r["null_count"]) for r in quality.null_profile(df, spec).collect()}
+    assert nulls == {"n_rows": (2, 1), "a.b": (2, 0), "x`y": (2, 0)}
+    assert {r["column_name"]: r["invalid_count"] for r in quality.range_profile(df, spec).collect()} == {"a.b": 1, "n_rows": 0}

@@ -3,7 +3,7 @@ import os
 import pytest
 
 from tamis.errors import DataLakeConfigurationError
-from tamis.session import session_settings, shuffle_width, sized_for, staging_path, task_bytes
+from tamis.session import session_settings, staging_path
 
 
 def test_session_settings():
@@ -16,29 +16,6 @@ def test_session_settings():
     assert not any("s3a" in key for key in session_settings())
 
 
-def test_shuffle_width_grows_with_the_input():
-    assert shuffle_width(0, 8) == 8
-    assert shuffle_width(10 << 30, 200) == 200
-    assert shuffle_width(1 << 40, 200) == 6144
-    assert shuffle_width(100 << 40, 200) == 32768
-
-
-def test_task_bytes_grow_with_the_input():
-    assert task_bytes(1 << 40, 128 << 20) == 128 << 20
-    assert task_bytes(100 << 40, 128 << 20) > 1 << 30
-
-
-def test_sizes_hold_within_the_block(spark):
-    width = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    sizes = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    before = [spark.conf.get(key) for key in sizes]
-    with sized_for(spark, 100 << 40):
-        assert spark.conf.get(width) == "32768"
-        assert all(int(spark.conf.get(key).rstrip("b")) > 1 << 30 for key in sizes)
-    assert spark.conf.get(width, None) is None
-    assert [spark.conf.get(key) for key in sizes] == before
-
-
 def test_staging_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
     class Context:
         master = "spark://host:7077"
@@ -53,6 +30,12 @@ def test_staging_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(DataLakeConfigurationError):
         staging_path(Session, "x")
+    Conf.get = staticmethod(lambda key, default=None: "file:///tmp/x")
+    with pytest.raises(DataLakeConfigurationError, match="file:///tmp/x"):
+        staging_path(Session, "x")
+    Conf.get = staticmethod(lambda key, default=None: "hdfs://host/x")
+    assert staging_path(Session, "x").startswith("hdfs://host/x/x-")
+    Conf.get = staticmethod(lambda key, default=None: default)
     assert staging_path(spark, "x") != staging_path(spark, "x")
     Context.master = "local[2]"
     assert os.path.isdir(os.path.dirname(staging_path(Session, "x")))

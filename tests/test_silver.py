@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import inspection_fixtures as fixtures
 from tamis import INSPECTION, build_silver, ingest, silver_rows, transform
 from tamis.errors import (
+    DataLakeWriteError,
     HighNullRatioError,
     InvalidNumericRangeError,
     MissingRequiredColumnError,
@@ -36,6 +37,11 @@ def staged(spark):
     return [d for d in os.listdir(root) if d.startswith("silver-")]
 
 
+def beside(path):
+    """What a run has left next to its target."""
+    return [d for d in os.listdir(os.path.dirname(path)) if d.startswith("_")]
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -64,6 +70,7 @@ def test_figures_match_the_reports(spark, bronze, tmp_path):
     filled = clean.clean_missing_values(clean.clean(bronze, INSPECTION), INSPECTION)
     assert result.nulls["t_av"] == filled.filter("t_av IS NULL").count() > 0
     assert set(result.nulls) == set(INSPECTION.columns) - {"observation", "action"}
+    assert result.ranges == dict.fromkeys(INSPECTION.ranges, 0)
 
 
 def test_raw_names_and_extra_columns(spark, tmp_path):
@@ -93,7 +100,7 @@ def fails(spark, df, path, error, match):
     with pytest.raises(error, match=match):
         build_silver(df, path)
     assert [r["id"] for r in spark.read.parquet(path).collect()] == [99]
-    assert staged(spark) == []
+    assert staged(spark) == [] and beside(path) == []
 
 
 def test_failing_gates_leave_the_target_and_no_staged_rows(spark, tmp_path):
@@ -120,15 +127,83 @@ def test_null_gate_sees_values_before_the_casts(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "silver")).first()["t_av"] is None
 
 
-def test_partitioned_silver_replaces_only_its_months(spark, bronze, tmp_path):
+def test_a_run_may_replace_only_its_months(spark, bronze, tmp_path):
     path, months = str(tmp_path / "silver"), ("inspection_year", "inspection_month")
     earlier = bronze.withColumn("date", F.expr("date - INTERVAL 31 DAYS"))
     for part in (bronze, earlier, bronze):
-        build_silver(part, path, partition_by=months)
+        build_silver(part, path, partition_by=months, replace_partitions=True)
     both = silver_rows(bronze).union(silver_rows(earlier))
     assert same_rows(spark.read.parquet(path).select(both.columns), both)
 
 
+def test_a_day_is_replaced_whole(spark, bronze, tmp_path):
+    path, months = str(tmp_path / "silver"), ("inspection_year", "inspection_month")
+    earlier = bronze.withColumn("date", F.expr("date - INTERVAL 31 DAYS"))
+    for part in (bronze, earlier):
+        build_silver(part, path, partition_by=months)
+    again = silver_rows(earlier)
+    assert same_rows(spark.read.parquet(path).select(again.columns), again)
+
+
+def test_modes(spark, tmp_path):
+    path, one, two = str(tmp_path / "silver"), inspection(spark, {"id": 1}), inspection(spark, {"id": 2})
+    ids = lambda: sorted(r["id"] for r in spark.read.parquet(path).collect())
+    assert build_silver(one, path, mode="error").written and ids() == [1]
+    with pytest.raises(DataLakeWriteError, match="exists"):
+        build_silver(two, path, mode="error")
+    ignored = build_silver(two, path, mode="ignore")
+    assert (ignored.written, ignored.n_rows, ids()) == (False, 0, [1])
+    assert build_silver(two, path, mode="append").n_rows == 1 and ids() == [1, 2]
+    assert build_silver(two, path, mode="overwrite").n_rows == 1 and ids() == [2]
+    other = str(tmp_path / "new")
+    assert all(build_silver(one, f"{other}-{mode}", mode=mode).written for mode in ("append", "ignore", "overwrite"))
+
+
+@pytest.mark.parametrize("step", ["write_parquet", "swap_in"])
+def test_a_failed_publish_leaves_the_old_table(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "silver")
+    build_silver(inspection(spark, {"id": 1}), path)
+
+    def fail(*args, **kwargs):
+        raise DataLakeWriteError({path: "no space"})
+
+    monkeypatch.setattr(f"tamis.sources.lake.{step}", fail)
+    with pytest.raises(DataLakeWriteError, match="no space"):
+        build_silver(inspection(spark, {"id": 2}), path)
+    assert [r["id"] for r in spark.read.parquet(path).collect()] == [1]
+    assert os.listdir(tmp_path) == ["silver"]
+
+
+def test_a_swap_that_fails_moves_the_old_table_back(spark, tmp_path):
+    from tamis.sources.lake import swap_in
+
+    path = str(tmp_path / "silver")
+    build_silver(inspection(spark, {"id": 1}), path)
+    with pytest.raises(DataLakeWriteError):
+        swap_in(spark, str(tmp_path / "absent"), path)
+    assert [r["id"] for r in spark.read.parquet(path).collect()] == [1]
+
+
+def test_figures_observed_twice_are_counted_anew(spark, bronze, tmp_path, monkeypatch):
+    expected = build_silver(bronze, str(tmp_path / "one"))
+
+    class Twice:
+        def __init__(self):
+            from pyspark.sql import Observation
+
+            self.inner = Observation()
+
+        @property
+        def get(self):
+            return {name: 2 * n for name, n in self.inner.get.items()}
+
+    real = type(bronze).observe
+    monkeypatch.setattr("tamis.plans.silver.Observation", Twice)
+    monkeypatch.setattr(type(bronze), "observe", lambda self, seen, *figures: real(self, seen.inner, *figures))
+    again = build_silver(bronze, str(tmp_path / "two"))
+    assert (again.losses, again.nulls, again.ranges) == (expected.losses, expected.nulls, expected.ranges)
+
+
 def test_wrong_mode_is_refused_before_any_work(spark, bronze, tmp_path):
     with pytest.raises(ValueError, match="upsert"):
         build_silver(bronze, str(tmp_path / "silver"), mode="upsert")
@@ -174,56 +249,34 @@ def test_copies_are_combined_before_the_shuffle(bronze):
     assert text.count("partial_count(1)") == 1
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_looking_by_hash_first_gives_the_same(spark, bronze, tmp_path, monkeypatch, limit):
-    monkeypatch.setattr("tamis.plans.silver.BROADCAST_HASHES", limit)
-    plain = build_silver(bronze, str(tmp_path / "plain"))
-    hashed = build_silver(bronze, str(tmp_path / "hashed"), hash_first=True)
-    assert hashed.losses == plain.losses and hashed.nulls == plain.nulls
-    assert same_rows(spark.read.parquet(hashed.path), spark.read.parquet(plain.path))
-    assert staged(spark) == []
-
-
-def test_large_snapshots_are_looked_at_by_hash_first(spark, bronze, tmp_path, monkeypatch):
-    from tamis.plans import silver
-
-    seen, find = [], silver.repeated_hashes
-    monkeypatch.setattr(silver, "repeated_hashes", lambda rows: seen.append(rows) or find(rows))
-    ingest(bronze, f"{tmp_path}/bronze", "inspection")
-    transform(spark, f"{tmp_path}/bronze", f"{tmp_path}/silver")
-    assert not seen
-    monkeypatch.setattr(silver, "HASH_FIRST_BYTES", 1)
-    transform(spark, f"{tmp_path}/bronze", f"{tmp_path}/silver")
-    assert len(seen) == 1
-
-
-def test_without_duplicates_no_row_is_shuffled(spark, bronze, tmp_path):
-    from tamis.plans.silver import distinct_by_hash
+def test_collated_and_map_columns_pass_through(spark, bronze, tmp_path):
+    """Rows that differ by case in a collated column are one; the lazy and the published rows agree."""
+    rows = bronze.dropDuplicates()
+    kept = silver_rows(rows).count()
+    for name, one, two in (
+        ("lcase", "'A' COLLATE UTF8_LCASE", "'a' COLLATE UTF8_LCASE"),
+        ("trim", "'A' COLLATE UTF8_BINARY_RTRIM", "'A ' COLLATE UTF8_BINARY_RTRIM"),
+        ("pairs", "map('x', 1, 'y', 2)", "map('y', 2, 'x', 1)"),
+    ):
+        both = rows.withColumn("extra", F.expr(one)).union(rows.withColumn("extra", F.expr(two)))
+        result = build_silver(both, str(tmp_path / name))
+        assert result.losses["duplicates"] == rows.count()
+        assert result.n_rows == silver_rows(both).count() == kept
 
-    bronze.dropDuplicates().write.parquet(str(tmp_path / "distinct"))
-    distinct = spark.read.parquet(str(tmp_path / "distinct"))
-    text = plan(distinct_by_hash(distinct, str(tmp_path / "hashes")))
-    assert "Exchange" not in text
-    result = build_silver(distinct, str(tmp_path / "silver"), hash_first=True)
-    assert result.losses["duplicates"] == 0
-    assert same_rows(spark.read.parquet(result.path), silver_rows(bronze))
 
+def test_collated_texts_are_cleaned(spark, tmp_path):
+    df = inspection(spark, {"instal": " "}, {"instal": "x"}).withColumn("instal", F.expr("instal COLLATE UTF8_LCASE"))
+    assert silver_rows(df).count() == build_silver(df, str(tmp_path / "silver")).n_rows == 1
 
-def test_only_repeated_rows_are_shuffled(bronze):
-    text = plan(dedup.count_copies_apart(bronze, dedup.repeated_hashes(bronze)))
-    assert text.count("LeftAnti") == text.count("LeftSemi") == 1
-    assert "SortMergeJoin" not in text and "Cartesian" not in text and "NestedLoop" not in text
 
-
-@pytest.mark.parametrize("hash_first", [False, True])
-def test_a_row_making_up_a_third_of_the_table(spark, bronze, tmp_path, hash_first):
+def test_a_row_making_up_a_third_of_the_table(spark, bronze, tmp_path):
     distinct = bronze.dropDuplicates().filter("id IS NOT NULL")
     n = distinct.count()
     copies = inspection(spark, {"id": -1}).withColumn("date", F.col("date").cast("timestamp_ntz"))
     for c in INSPECTION.flags:
         copies = copies.withColumn(c, F.col(c).cast("bigint"))
     hot = distinct.unionByName(copies.select(F.explode(F.sequence(F.lit(1), F.lit(n // 2))), "*").drop("col"))
-    result = build_silver(hot, str(tmp_path / "silver"), hash_first=hash_first)
+    result = build_silver(hot, str(tmp_path / "silver"))
     assert result.losses["duplicates"] == n // 2 - 1
     assert spark.read.parquet(str(tmp_path / "silver")).filter("id = -1").count() == 1
 
@@ -243,22 +296,10 @@ def test_profiles_read_the_table_once(bronze):
     assert text.count("Scan parquet") == 1 and "zone" not in text
 
 
-def test_counting_reads_only_the_marks(spark, bronze, monkeypatch, tmp_path):
-    from tamis.plans import silver
-
-    seen = []
-    counted = silver._counted
-    monkeypatch.setattr(silver, "_counted", lambda staged, spec: seen.append(staged) or counted(staged, spec))
-    silver.build_silver(bronze, str(tmp_path / "silver"))
-    figures = [f.alias(n) for n, f in clean.loss_counts(INSPECTION).items()]
-    (schema,) = re.findall("ReadSchema: struct<(.*)>", plan(seen[0].agg(*figures, F.count("_null_id"))))
-    assert schema == "_copies:bigint,_loss:string,_null_id:boolean"
-
-
 def test_silver_run_takes_few_jobs(spark, bronze, tmp_path):
     group = "silver-run"
     spark.sparkContext.setJobGroup(group, "counted")
     build_silver(bronze, str(tmp_path / "silver"))
     spark.sparkContext.setJobGroup("", "")
-    # Stage (shuffle, write), count (partial, total), publish.
-    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) <= 5
+    # Shuffle and write, count by footers.
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) <= 4
