@@ -1,0 +1,134 @@
+"""Top-k against brute force, page extraction against known articles, and the pipeline."""
+
+import html
+import math
+import random
+
+import numpy as np
+import pytest
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from tamis.llm import dom, html_extraction, topk
+from tests.conftest import SF_DIR
+from tests.llm.conftest import prose
+
+
+def best(rows, every, k):
+    """Highest floor(64 x) inner products by brute force."""
+    sound = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for q, a in sound:
+        if q % every == 0:
+            scores = sorted((-sum(x * y for x, y in zip(a, b, strict=False)), i) for i, b in sound if i != q)
+            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block, spread", [(8, 1.0), (8, 50.0), (4096, 1.0)])
+def test_top_k_equals_brute_force(frame, monkeypatch, block, spread):
+    monkeypatch.setattr(topk, "BLOCK", block)
+    monkeypatch.setattr(topk, "QUERIES", 4)
+    rng = np.random.default_rng(1)
+    vectors = rng.standard_normal((150, 12)) * rng.lognormal(0, math.log(spread) / 2 + 1e-9, (150, 1))
+    rows = [(7 * i - 70, [float(x) for x in v]) for i, v in enumerate(vectors.astype(np.float32))]
+    rows += [(10_000 + i, rows[5][1]) for i in range(40)]
+    found = topk.top_k(frame("vec_id long, embedding array<float>", rows), every=5, k=6)
+    assert sorted(map(tuple, found.collect())) == best(rows, 5, 6)
+
+
+def test_top_k_awkward_rows(frame):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 2.0]), (2, [1.0]), (4, []), (6, None), (8, [1.0, None]), (10, [nan, 1.0]), (12, [inf, 1.0]), (None, [1.0, 1.0]), (1, [0.5, -0.01])]
+    docs = frame("vec_id long, embedding array<float>, rank int, score string", [(i, v, 1, "x") for i, v in rows])
+    assert sorted(map(tuple, topk.top_k(docs, every=2, k=20).collect())) == best(rows, 2, 20)
+    assert topk.top_k(docs.limit(0), every=2).count() == 0
+    assert topk.top_k(docs.where("vec_id = 4"), every=2).count() == 0
+    twice = docs.where("vec_id IN (0, 1)").union(docs.where("vec_id = 0"))
+    assert sorted(map(tuple, topk.top_k(twice, every=2).collect())) == [(0, 1, 1, best(rows, 2, 9)[0][3])] * 0 + sorted(
+        [(0, 1, 1, s) for q, _, i, s in best(rows, 2, 9) if (q, i) == (0, 1)] * 2
+    )
+
+
+LAYOUTS = [
+    "<body><nav><ul><li><a href=/x>{n1}</a></ul></nav><div class=ad>{n2}</div><article><h1>{t}</h1>{b}</article><footer>{n3}</footer></body>",
+    "<body><header><h2>{n1}</h2></header><div id=content><h1>{t}</h1>{b}</div><div class='sidebar box'>{n2}</div><div class=cookie-notice>ok {n3}</div>"
+    "<section class=comments><p>{n1}</p></section></body>",
+    "<body><div id=top>Same on all pages</div><main><h1>{t}</h1>{b}<form><button>{n1}</button></form><aside>{n2}</aside></main><p>Imprint of the site</p></body>",
+]
+
+
+def page(layout, seed):
+    rng = random.Random(seed)
+    noise = {f"n{k}": prose(seed * 10 + k, rng.randint(1, 8)) for k in (1, 2, 3)}
+    parts = [prose(seed * 100 + k, rng.randint(5, 60)) + " & <é>" for k in range(rng.randint(2, 6))]
+    body = "".join(f"<p>{html.escape(p).replace(' ', chr(10), 1)}{'</p>' if rng.random() < 0.7 else '<br>'}" for p in parts)
+    title = prose(seed + 5000, 5)
+    full = f"<!DOCTYPE html><html><head><title>{title}</title><script>var a='</p>';</script></head><!-- c --><style>p{{}}</style>"
+    return full + layout.format(t=title, b=body, **noise) + "</html>", "\n".join([title, *parts])
+
+
+def test_articles_of_three_layouts(frame):
+    rows, expected = [], {}
+    for site, layout in enumerate(LAYOUTS):
+        for k in range(12):
+            text, expected[site * 100 + k] = page(layout, site * 100 + k)
+            rows.append((site * 100 + k, f"https://site{site}.example/{k}", text))
+    found = html_extraction.extract(frame("page_id long, url string, html string", rows)).collect()
+    assert {r.page_id: r.text for r in found} == expected
+    assert all(r.n_chars == len(r.text) for r in found)
+
+
+def test_pages_of_the_test_data(spark):
+    found = entry.queries()["op9_html_extraction"](spark, SF_DIR).collect()
+    raw = {r.page_id: r.html for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
+    assert len(found) == len(raw)
+    for r in found:
+        article = raw[r.page_id].split("<article>")[1].split("</article>")[0]
+        marked = article.replace("</b>", "").replace("<b>", "").replace("<br>", " ")
+        blocks = [" ".join(html.unescape(x.split(">", 1)[1]).split()) for x in (">" + marked).split("<")]
+        assert r.text == "\n".join(b for b in blocks if b)
+
+
+def test_awkward_pages(frame):
+    odd = ["<p>a<p>b</div></p><b>c", "just text &amp; more &#233;", "<", "<!-- open", "<article></article>", "<div " * 50, "<ul><li>x<li>y</ul>" * 200, "<div>" * 3000 + "deep"]
+    rows = [(k, "http://h/x" if k % 2 else None, t, "x", 5) for k, t in enumerate([*odd, None, "", *odd[:1] * 3])]
+    found = html_extraction.extract(frame("page_id long, url string, html string, text string, n_chars int", rows))
+    assert found.columns == ["page_id", "url", "text", "n_chars"]
+    texts = {r.page_id: r.text for r in found.collect()}
+    assert texts[0] == "a\nb\nc" and texts[1] == "just text & more é" and texts[8] == texts[9] == texts[4] == ""
+    assert texts[6].count("\n") == 399 and texts[7] == "deep"
+    assert html_extraction.extract(found.selectExpr("page_id", "url", "text AS html").limit(0)).count() == 0
+
+
+def test_simple_tree_matching():
+    one, two = dom.parse("<div><h1>a</h1><p>x</p><ul><li>1</li></ul></div>"), dom.parse("<div><p>y</p><p>z</p><ul><li>1</li><li>2</li></ul></div>")
+    size, pairs = dom.match_trees(one, two)
+    assert size == 5 and [(a.tag, b.tag) for a, b in pairs].count(("p", "p")) == 1
+
+
+def test_pipeline(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    columns, ids = docs.columns, {r.doc_id for r in docs.collect()}
+    near = {r.doc_id for r in entry.queries()["op10_minhash_dedup"](spark, SF_DIR).where("kept").collect()}
+    leaked = {r.doc_id for r in entry.queries()["op5_decontamination"](spark, SF_DIR).collect()}
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        path = f"{spark.conf.get('spark.checkpoint.dir')}/stage-{name}"
+        stage(spark, docs, SF_DIR).write.parquet(path)
+        docs = spark.read.parquet(path)
+        assert docs.columns == columns
+        left = {r.doc_id for r in docs.select("doc_id").collect()}
+        assert left == {"language": ids, "near_duplicates": near}.get(name, near - leaked)
+    mixed = corpus_pipeline.run(spark, SF_DIR).collect()
+    assert {r.doc_id for r in mixed} <= left and all(len(r.text.split()) == r.words for r in mixed)
+
+
+def test_pipeline_of_awkward_rows(awkward, nothing, spark, tmp_path):
+    path = str(tmp_path)
+    spark.read.parquet(f"{SF_DIR}/benchmark.parquet").write.parquet(f"{path}/benchmark.parquet")
+    awkward.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{path}/documents.parquet")
+    assert {r.doc_id for r in corpus_pipeline.run(spark, path).collect()} <= {None, 1, 2, 3, 7, 8, 9, 10, 11, 13}
+    empty = f"{path}/empty"
+    nothing.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{empty}/documents.parquet")
+    spark.read.parquet(f"{path}/benchmark.parquet").write.parquet(f"{empty}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, empty).count() == 0
