@@ -6,11 +6,13 @@
 3. In each band bucket every class is compared with one only, that whose bands
    are the most crowded: the text from which a family of copies stems, if there
    is one, agrees with more of them than they with each other.
-4. Components of the links found. Buckets that lie in one component are done; in
-   the others pairs across components are compared, and no others. Pairs within
-   a bucket's largest component are never formed.
-5. A comparison looks at set sizes, then at the signatures' bits, then at the
-   full sets, which are made for classes in some candidate pair only.
+4. Components of the links found. Buckets that lie in one component are done. In
+   the others, classes are picked whose sizes and signature bits allow a link to
+   another component: a semi-join, so no pairs come out. Those outside the
+   bucket's largest component are looked up, on full sets, in an index of the
+   others' shingles, by tiles of at most `TILE` by `TILE` classes; only links come
+   out, one per class and component.
+5. Full sets are made for classes in some candidate pair only.
 
 Two documents at similarity 0.75 share no band with probability 5e-6; the bits
 reject such a pair with probability 2e-6.
@@ -27,13 +29,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamis.llm.arrays import concat, mix, window_hashes, word_bounds, word_hashes
+from tamis.llm.arrays import concat, mix, spread, window_hashes, word_bounds, word_hashes
+from tamis.llm.bits import listed
 from tamis.llm.components import connected
 from tamis.llm.scratch import written
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 75, 32, 4
 # Of 128 pairs of bits 24 differ on average at similarity 0.75, with a deviation of 4.4.
 MOST_APART = 45
+TILE = 2048
 NULL_ID = -(1 << 63)
 
 _N = BANDS * ROWS
@@ -151,10 +155,17 @@ def _pairs(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b"), *named).dropDuplicates(["a", "b"])
 
 
+def _full_sets(classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """The shingle sets of classes (digest, id of a text); most other texts are dropped before the join."""
+    classes = written(classes.select("digest", "id").distinct(), "ends")
+    found = texts.where(listed(F.col("id"), classes, "id")).join(classes, "id").select("digest", "text")
+    return written(found.mapInArrow(_sets, _SETS).dropDuplicates(["digest"]), "sets")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Those of the pairs whose full sets are similar enough."""
     ends = pairs.select(F.col("a").alias("digest"), F.col("id_a").alias("id")).union(pairs.select("b", "id_b")).distinct()
-    sets = written(ends.join(texts, "id").select("digest", "text").mapInArrow(_sets, _SETS).dropDuplicates(["digest"]), "sets")
+    sets = _full_sets(ends, texts)
     shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
     for end in ("a", "b"):
         pairs = pairs.join(sets.select(F.col("digest").alias(end), F.col("shingles").alias(f"shingles_{end}")), end)
@@ -162,18 +173,51 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.where(similar).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
-def _across(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Plausible pairs of a bucket whose ends lie in different components."""
-    labelled = members.join(labels.select(F.col("u").alias("digest"), F.col("v").alias("label")), "digest", "left")
+def _across(members: DataFrame, stars: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (u, v) between classes of a bucket in different components, at least one per class and component."""
+    labelled = members.join(stars.select(F.col("u").alias("digest"), F.col("v").alias("label")), "digest", "left")
     labelled = labelled.withColumn("label", F.coalesce("label", "digest"))
     sizes = labelled.groupBy("key", "label").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1")
     left = written(labelled.join(mixed.select("key", "main"), "key"), "mixed")
     main, rest = left.where("label = main"), left.where("label != main")
-    same = F.col("a.key") == F.col("b.key")
-    one = main.alias("a").join(rest.alias("b"), same & _near("a", "b"))
-    two = rest.alias("a").join(rest.alias("b"), same & (F.col("a.label") < F.col("b.label")) & _near("a", "b"))
-    return _pairs(one).union(_pairs(two)).dropDuplicates(["a", "b"])
+    same = (F.col("a.key") == F.col("b.key")) & (F.col("a.label") != F.col("b.label")) & _near("a", "b")
+    asking = rest.alias("a").join(left.alias("b"), same, "left_semi").withColumn("asks", F.lit(True))
+    asked = main.alias("a").join(rest.alias("b"), same, "left_semi").withColumn("asks", F.lit(False))
+    live = written(asking.union(asked).select("key", "digest", "id", "label", "asks"), "live")
+
+    tiles = live.groupBy("key").agg(F.ceil(F.count_if("asks") / TILE).alias("rows"), F.ceil(F.count("*") / TILE).alias("columns"))
+    live = live.join(_full_sets(live, texts), "digest").join(tiles, "key")
+    place = F.xxhash64("digest")
+    others = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    own = ["key", "digest", "label", "shingles"]
+    queries = live.where("asks").select(*own, F.pmod(place, F.col("rows")).alias("r"), others("columns").alias("c"), F.lit(True).alias("asks"))
+    targets = live.select(*own, others("rows").alias("r"), F.pmod(place, F.col("columns")).alias("c"), F.lit(False).alias("asks"))
+    return queries.unionByName(targets).groupBy("key", "r", "c").applyInArrow(_links, "u binary, v binary").distinct()
+
+
+def _links(table: pa.Table) -> pa.Table:
+    """One tile: each asking class against the shingle index of the others."""
+    asks = np.array(table.column("asks").to_pylist(), bool)
+    digests, labels = table.column("digest").to_pylist(), table.column("label").to_pylist()
+    sets = [np.array(x, np.int64) for x in table.column("shingles").to_numpy()]
+    targets = np.flatnonzero(~asks)
+    out: list[tuple[bytes, bytes]] = []
+    if len(targets):
+        size = np.array([len(sets[t]) for t in targets])
+        shingles, owner = np.concatenate([sets[t] for t in targets]), np.repeat(np.arange(len(targets)), size)
+        order = np.argsort(shingles, kind="stable")
+        owner = owner[order]
+        values, first, count = np.unique(shingles[order], return_index=True, return_counts=True)
+        for q in np.flatnonzero(asks).tolist():
+            at = np.minimum(np.searchsorted(values, sets[q]), len(values) - 1)
+            at = at[values[at] == sets[q]]
+            shared = np.bincount(owner[spread(first[at], count[at])], minlength=len(targets))
+            linked = targets[100 * shared >= THRESHOLD * (len(sets[q]) + size - shared)]
+            found = {labels[t]: digests[t] for t in linked.tolist() if labels[t] != labels[q]}
+            out += [(digests[q], d) for d in found.values()]
+    schema = pa.schema([("u", pa.binary()), ("v", pa.binary())])
+    return pa.table({"u": [u for u, _ in out], "v": [v for _, v in out]}, schema)
 
 
 def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -184,9 +228,9 @@ def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     of_class = [F.first(c).alias(c) for c in ("n_shingles", "bands", "bits")]
     classes = written(sketch.where("n_shingles > 0").groupBy("digest").agg(F.min("id").alias("id"), *of_class), "classes")
 
-    spread = classes.select(F.explode("bands").alias("key"), "digest")
-    crowds = spread.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    crowded = written(spread.join(crowds, "key"), "crowded")
+    in_bands = classes.select(F.explode("bands").alias("key"), "digest")
+    crowds = in_bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    crowded = written(in_bands.join(crowds, "key"), "crowded")
     known = crowded.groupBy("digest").agg(F.sum("n").alias("crowd")).join(classes.drop("bands"), "digest")
     members = written(crowded.select("key", "digest").join(known, "digest"), "members")
     whole = F.struct("crowd", "digest", "id", "n_shingles", "bits")
@@ -196,9 +240,7 @@ def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     links = written(_verified(first, texts), "links")
     stars = connected(links)
 
-    rest = _across(members, stars).join(first, ["a", "b"], "left_anti")
-    more = written(_verified(written(rest, "pairs"), texts), "links")
-    stars = connected(stars.union(more))
+    stars = connected(stars.union(written(_across(members, stars, texts), "links")))
 
     nodes = classes.select("digest", "id").join(stars.select(F.col("u").alias("digest"), "v"), "digest", "left")
     nodes = nodes.withColumn("v", F.coalesce("v", "digest"))
