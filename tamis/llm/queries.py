@@ -94,4 +94,80 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
-ORACLE_SQL: dict[str, str] = {"op8_top_k": _OP8}
+_WORDS = """list_filter(regexp_split_to_array({text}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"""
+
+# Runs of positions that windows starting at `i` cover: a new one begins where a gap is left.
+_RUNS = """
+marked AS (
+    SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {width} THEN 0 ELSE 1 END AS fresh FROM bad
+), numbered AS (
+    SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked
+), runs AS (
+    SELECT doc_id, min(i) AS a, max(i) + {width} - 1 AS b FROM numbered GROUP BY doc_id, run
+), pieces AS (
+    SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) + 1 AS lo, a - 1 AS hi FROM runs
+    UNION ALL SELECT d.doc_id, coalesce(max(b), 0) + 1, max(d.n) FROM d LEFT JOIN runs USING (doc_id) GROUP BY d.doc_id
+), totals AS (
+    SELECT doc_id, sum(b - a + 1) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id
+)"""
+
+_OP3 = f"""
+WITH d AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, len(hex(encode(coalesce(text, '')))) // 2 AS n FROM documents
+), windows AS (
+    SELECT doc_id, i, md5(substr(x, 2 * i - 1, 200)) AS h FROM (SELECT doc_id, x, unnest(generate_series(1, n - 99)) AS i FROM d) w
+), bad AS (
+    SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS k FROM windows) o WHERE k > 1
+), {_RUNS.format(width=100)}, kept AS (
+    SELECT doc_id, string_agg(substr(x, 2 * lo - 1, greatest(0, 2 * (hi - lo + 1))), '' ORDER BY lo) AS x
+    FROM pieces JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(kept.x)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN totals USING (doc_id)
+"""
+
+_OP6 = f"""
+WITH d AS (
+    SELECT doc_id, w, len(w) AS n FROM (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS w FROM documents) s
+), windows AS (
+    SELECT doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) AS h FROM (SELECT doc_id, w, unnest(generate_series(1, n - 49)) AS i FROM d) s
+), firsts AS (
+    SELECT h, min(doc_id) AS first_doc FROM windows GROUP BY h
+), bad AS (
+    SELECT doc_id, i FROM windows JOIN firsts USING (h) WHERE first_doc < doc_id
+), {_RUNS.format(width=50)}, kept AS (
+    SELECT doc_id, string_agg(array_to_string(w[lo : hi], ' '), ' ' ORDER BY lo) FILTER (WHERE hi >= lo) AS x
+    FROM pieces JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.x, '')) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN totals USING (doc_id)
+"""
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_OP10 = f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, {_WORDS.format(text=_LOWER)} AS w FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, md5(array_to_string(w[i : i + 4], ' ')) AS h
+    FROM (SELECT doc_id, w, unnest(generate_series(1, CASE WHEN len(w) = 0 THEN 0 ELSE greatest(1, len(w) - 4) END)) AS i FROM d) x
+), n AS (
+    SELECT d.doc_id, count(h) AS n FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id
+), shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY 1, 2
+), one_way AS (
+    SELECT x, y FROM shared JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * k >= 75 * (p.n + q.n - k)
+), links AS (
+    SELECT x, y FROM one_way UNION ALL SELECT y, x FROM one_way
+), reach(a, b) AS (
+    SELECT doc_id, doc_id FROM d UNION SELECT a, y FROM reach JOIN links ON b = x
+)
+SELECT doc_id, n AS n_shingles, min(b) AS component_id, doc_id = min(b) AS kept FROM reach JOIN n ON doc_id = a GROUP BY doc_id, n
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_suffix_dedup": _OP3,
+    "op6_substring_dedup": _OP6,
+    "op8_top_k": _OP8,
+    "op10_minhash_dedup": _OP10,
+}
