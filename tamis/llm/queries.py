@@ -144,6 +144,48 @@ SELECT d.doc_id, CAST(n AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BI
 FROM d JOIN kept USING (doc_id) LEFT JOIN totals USING (doc_id)
 """
 
+# The slots of a source are numbered through whatever shards they fall into, so shards don't matter here.
+_OP2 = f"""
+WITH sized AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{mixing.WORD}')) AS size,
+      ((coalesce(doc_id, 0) % {mixing.CHUNKS}) + {mixing.CHUNKS}) % {mixing.CHUNKS} AS chunk
+    FROM documents
+), sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS ordinal FROM sized GROUP BY source
+), weighed AS (
+    SELECT *, [3, 1, 2][ordinal % 3 + 1] AS weight, 2 * source_size / [3, 1, 2][ordinal % 3 + 1] AS filled FROM sources
+), levelled AS (
+    SELECT *, (1.5 * sum(source_size) OVER () - coalesce(sum(2 * source_size) OVER up, 0))
+      / (sum(weight) OVER () - coalesce(sum(weight) OVER up, 0)) AS level
+    FROM weighed WINDOW up AS (ORDER BY filled, ordinal ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), targets AS (
+    SELECT *, least(CAST(2 * source_size AS DOUBLE), (SELECT level FROM levelled WHERE level <= filled ORDER BY filled, ordinal LIMIT 1) * weight) AS target
+    FROM levelled
+), rounded AS (
+    SELECT *, CAST(ceil(source_size / {mixing.BLOCK}) AS BIGINT) AS blocks, CAST(floor(target / greatest(source_size, 1)) AS BIGINT) AS rounds FROM targets
+), planned AS (
+    SELECT *, least(rounds * blocks + CAST(floor((target - rounds * source_size) / {mixing.BLOCK} + 0.5) AS BIGINT), 2 * blocks) AS slots FROM rounded
+), slots AS (
+    SELECT ordinal, blocks, unnest(range(slots)) AS slot FROM planned
+), times AS (
+    SELECT ordinal, block, count(*) AS times FROM (
+      SELECT ordinal, CAST((CAST(slot % blocks AS HUGEINT) * CAST(CASE WHEN (slot // blocks) % 2 = 0 THEN {mixing.PRIMES[0]} % blocks ELSE {mixing.PRIMES[1]} % blocks END AS HUGEINT)
+        + ordinal * 7919 + (slot // blocks) * 104729 + 1) % blocks AS BIGINT) AS block
+      FROM slots) s GROUP BY ALL
+), placed AS (
+    SELECT *, CAST(sum(size) OVER (PARTITION BY source ORDER BY chunk, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS start, row_number() OVER () AS k
+    FROM sized
+), parts AS (
+    SELECT k, ordinal, start, size, unnest(range(start // {mixing.BLOCK}, (start + size - 1) // {mixing.BLOCK} + 1)) AS block
+    FROM placed JOIN sources ON placed.source IS NOT DISTINCT FROM sources.source WHERE size > 0
+), taken AS (
+    SELECT k, sum((least(start + size, (block + 1) * {mixing.BLOCK}) - greatest(start, block * {mixing.BLOCK})) * times) AS taken
+    FROM parts JOIN times USING (ordinal, block) GROUP BY k
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken
+FROM placed JOIN planned ON placed.source IS NOT DISTINCT FROM planned.source LEFT JOIN taken USING (k)
+"""
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _OP10 = f"""
 WITH RECURSIVE d AS (
@@ -166,6 +208,7 @@ SELECT doc_id, n AS n_shingles, min(b) AS component_id, doc_id = min(b) AS kept
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_mixing": _OP2,
     "op3_suffix_dedup": _OP3,
     "op6_substring_dedup": _OP6,
     "op8_top_k": _OP8,
