@@ -163,10 +163,10 @@ def mixed_texts(docs: DataFrame, pieces: DataFrame, id_column: str = "doc_id", t
     A document's pieces meet in one row beside its text, so each text is split
     into words once.
     """
-    own = pieces.groupBy("doc_id", "text_id").agg(F.collect_list(F.struct("shard", "slot", "block", "first", "words")).alias("pieces"))
+    key = F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key")
+    own = pieces.groupBy(key, "text_id").agg(F.collect_list(F.struct("shard", "slot", "block", "first", "words")).alias("pieces"))
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), F.xxhash64(text_column).alias("text_id"))
-    own = own.withColumnRenamed("doc_id", "id").withColumnRenamed("text_id", "hash")
-    found = texts.dropDuplicates(["doc_id", "text_id"]).join(own, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_id") == F.col("hash")))
+    found = texts.select("doc_id", "text", "text_id", key).dropDuplicates(["key", "text_id"]).join(own, ["key", "text_id"])
     split = found.select("doc_id", "pieces", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("all"))
     split = split.select("doc_id", "all", F.explode("pieces").alias("p"))
     text = F.array_join(F.slice("all", (F.col("p.first") + 1).cast("int"), F.col("p.words").cast("int")), " ")
