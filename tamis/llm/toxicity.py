@@ -63,11 +63,11 @@ def split_words(texts: list[bytes]) -> Words:
     for n in SPANS:
         many = np.maximum(length - n + 1, 1 if n == SPANS[0] else 0)
         hashed = np.concatenate([window_hashes(symbols, n), np.zeros(n, np.uint64)])
-        parts.append(hashed[spread(begin, many)])
-        owners.append(np.repeat(np.arange(len(sizes)), many))
+        parts.append((hashed[spread(begin, many)] % np.uint64(GRAMS)).astype(np.int32))
+        owners.append(np.repeat(np.arange(len(sizes), dtype=np.int32), many))
     owner = np.concatenate(owners)
     order = np.argsort(owner, kind="stable")
-    grams = (np.concatenate(parts)[order] % np.uint64(GRAMS)).astype(np.int64)
+    grams = np.concatenate(parts)[order]
     gram_at = np.searchsorted(owner[order], np.arange(len(sizes) + 1))
     return Words(index, np.searchsorted(starts, bounds), (values % np.uint64(WORDS)).astype(np.int64), grams, gram_at)
 
