@@ -2,10 +2,11 @@
 
 Built-in expressions only.
 
-1. A window that is similar to an item shares most of its 5-word shingles. Where
-   document shingles meet item shingles, each meeting proposes the window of the
-   item's size that lines the two up; shingles of no item are dropped by a bit
-   table of fixed size before anything is shuffled.
+1. A window that is similar to an item shares most of its 5-word shingles, so it
+   holds that many places where a document shingle is one of the item's. Every
+   window of the item's size that holds enough of them is proposed, lined up with
+   the item or not; shingles of no item are dropped by a bit table of fixed size
+   before anything is shuffled.
 2. Proposed windows get a 63-bit SimHash of their weighted shingles. `BLOCKS` =
    `RADIUS` + 1 blocks of 3 bits: two fingerprints within the radius agree in a
    whole block, so the join by block and size loses none of them.
@@ -76,6 +77,23 @@ def similarity(a: Column, b: Column) -> Column:
     return shared / (F.size(a) + F.size(b) - shared)
 
 
+def _starts() -> Column:
+    """Starts of all windows that hold enough of `places`, which are ascending, to be similar to the item of `n` shingles.
+
+    A window holds `least` places if it begins at or before one of them and ends
+    at or after the one `least` - 1 further on. A text shorter than the item is
+    its only window.
+    """
+    least = F.ceil(2 * THRESHOLD / (1 + THRESHOLD) * F.col("n") - 1e-6).cast("int")
+
+    def around(p: Column, i: Column) -> Column:
+        low = F.greatest(F.get("places", i + least - 1) - F.col("n") + 1, F.lit(0))
+        high = F.least(p, F.col("last"))
+        return F.when((i + least <= F.size("places")) & (low <= high), F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    return F.when(F.col("last") <= 0, F.array(F.lit(0))).otherwise(F.array_distinct(F.flatten(F.transform("places", around))))
+
+
 def matches(docs: DataFrame, items: DataFrame, text_column: str = "text", item_column: str = "item_id", item_text: str = "text") -> DataFrame:
     """Windows of texts that match an item: `text_id` (hash of the text), `item_id`, `first_word`, `n_words`, `distance`, `similarity`."""
     texts = docs.select(F.col(text_column).cast("string").alias("text"))
@@ -95,25 +113,28 @@ def matches(docs: DataFrame, items: DataFrame, text_column: str = "text", item_c
     if found is None:
         return docs.sparkSession.createDataFrame([], "text_id long, item_id long, first_word int, n_words int, distance int, similarity double")
     near = found.groupBy("text_id", "item_id", "n_words", "k", "n").agg(
-        F.count_distinct("at").alias("shared"), F.collect_set(F.col("p") - F.col("at")).alias("starts")
+        F.count_distinct("at").alias("shared"), F.array_sort(F.collect_set("p")).alias("places")
     )
     near = written(near.where(F.col("shared") >= THRESHOLD * F.col("n")).drop("shared"), "near")
 
     held = texts.join(near.select("text_id").distinct(), "text_id", "left_semi").dropDuplicates(["text_id"])
     held = held.select("text_id", words_of(F.col("text")).alias("words"))
-    proposed = near.join(held, "text_id").withColumn("last", F.greatest(F.lit(0), F.size("words") - F.col("n_words")))
-    starts = F.array_distinct(F.transform("starts", lambda s: F.least(F.greatest(s, F.lit(0)), F.col("last"))))
-    proposed = proposed.select("text_id", "n_words", "k", "words", F.explode(starts).alias("first_word")).dropDuplicates(["text_id", "n_words", "k", "first_word"])
+    proposed = near.join(held, "text_id").withColumn("last", F.size("words") - F.col("n_words"))
+    proposed = proposed.select("text_id", "n_words", "k", "words", F.explode(_starts()).alias("first_word")).dropDuplicates(["text_id", "n_words", "k", "first_word"])
     window = F.slice("words", F.col("first_word") + 1, F.col("n_words"))
     cut = F.coalesce(*[F.when(F.col("k") == k, shingles_of(window, k)) for k in range(1, SHINGLE + 1)])
     windows = proposed.select("text_id", "n_words", "k", "first_word", cut.alias("cut")).where("size(cut) > 0")
     windows = written(windows.withColumn("print", simhash(F.col("cut"))), "windows")
 
-    left = windows.select("text_id", "n_words", "first_word", "cut", F.col("print").alias("p1"), F.explode(_blocks(F.col("print"))).alias("block"))
-    right = items.select("item_id", "n_words", "shingles", F.col("print").alias("p2"), F.explode(_blocks(F.col("print"))).alias("block"))
+    # Only fingerprints go through the blocks; the shingles come back for the few pairs within the radius.
+    left = windows.select("text_id", "n_words", "first_word", F.col("print").alias("p1"), F.explode(_blocks(F.col("print"))).alias("block"))
+    right = items.select("item_id", "n_words", F.xxhash64("shingles").alias("item"), F.col("print").alias("p2"), F.explode(_blocks(F.col("print"))).alias("block"))
     distance = F.bit_count(F.col("p1").bitwiseXOR(F.col("p2")))
     pairs = left.join(right, ["n_words", "block"]).withColumn("distance", distance).where(F.col("distance") <= RADIUS)
-    pairs = pairs.dropDuplicates(["text_id", "n_words", "first_word", "item_id"]).withColumn("similarity", similarity(F.col("cut"), F.col("shingles")))
+    pairs = pairs.select("text_id", "n_words", "first_word", "item_id", "item", "distance").dropDuplicates(["text_id", "n_words", "first_word", "item_id", "item"])
+    own = items.select("n_words", "shingles", F.xxhash64("shingles").alias("item")).dropDuplicates(["n_words", "item"])
+    pairs = pairs.join(windows.select("text_id", "n_words", "first_word", "cut"), ["text_id", "n_words", "first_word"]).join(own, ["n_words", "item"])
+    pairs = pairs.withColumn("similarity", similarity(F.col("cut"), F.col("shingles")))
     return pairs.where(F.col("similarity") >= THRESHOLD).select("text_id", "item_id", "first_word", "n_words", "distance", "similarity")
 
 

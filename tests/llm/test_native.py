@@ -189,6 +189,27 @@ def test_leaks_equal_brute_force(frame):
     assert all(r.similarity >= 0.75 and r.distance <= decontamination.RADIUS for r in rows)
 
 
+def test_leaks_between_aligned_starts(frame):
+    """Words put in and taken out in the middle: the best window lines up with neither half of the item."""
+    items = [(1, prose(901, 59)), (2, prose(902, 52)), (3, prose(903, 132))]
+    docs = []
+    for k, (edge, more) in enumerate([(1, 3), (1, 2), (5, 10)]):
+        own = items[k][1].split()
+        n = len(own)
+        own[:edge], own[n - edge :] = ["first"] * edge, ["last"] * edge
+        docs.append((k, " ".join([*prose(k, 40).split(), *own[: n // 2], *[f"new{j}" for j in range(more)], *own[n // 2 :], *prose(50 + k, 40).split()])))
+    rng = random.Random(11)
+    for d in range(60):
+        own = items[d % 3][1].split()
+        for _ in range(rng.choice((1, 1, 2))):
+            at, many = rng.randrange(len(own)), rng.randint(1, 4)
+            own[at : at + rng.choice((0, many))] = ["x"] * rng.choice((0, many))
+        docs.append((10 + d, " ".join([*prose(d, 30).split(), *own, *prose(200 + d, 30).split()])))
+    found = decontamination.contaminations(frame("doc_id long, text string", docs), frame("item_id long, text string", items)).collect()
+    assert leaks(docs, items) >= {(0, 1), (1, 2), (2, 3)}
+    assert {(r.doc_id, r.item_id) for r in found} == leaks(docs, items)
+
+
 def test_decontaminate_awkward_rows(awkward, nothing, frame):
     items = frame("item_id long, text string, extra int", [(1, prose(4, 30), 1), (2, None, 2), (None, prose(1, 20), 3)])
     kept = decontamination.decontaminate(awkward, items)
