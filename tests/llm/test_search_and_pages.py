@@ -79,6 +79,26 @@ def test_articles_of_three_layouts(frame):
     assert all(r.n_chars == len(r.text) for r in found)
 
 
+def test_constant_blocks_go_and_varying_ones_stay_by_any_name(frame):
+    rows, expected = [], {}
+    for k in range(10):
+        a, b, c, d, e = (prose(k * 10 + j + 7000, 20) for j in range(5))
+        body = f"<p>{a}</p><div class=box><p>Every page says this</p></div><h2 id=related-work>{b}</h2><section id=search-algorithms><p>{c}</p></section>"
+        body += f"<p id=notice-period>{d}</p><div class=social-science>{e}</div><p>Written by hand</p><div class='ad related-posts'>{prose(k + 9000, 3)}</div>"
+        for site, tag in enumerate(("div", "article")):
+            rows.append((site * 100 + k, f"https://n{site}.example/{k}", f"<html><body><{tag} id=x>{body}</{tag}></body></html>"))
+            expected[site * 100 + k] = "\n".join([a, b, c, d, e])
+    found = html_extraction.extract(frame("page_id long, url string, html string", rows)).collect()
+    assert {r.page_id: r.text for r in found} == expected
+
+
+def test_copies_of_one_article_are_no_template(frame):
+    text = prose(7700, 200)
+    rows = [(k, f"https://one.example/{k}", f"<html><body><nav>{prose(k, 4)}</nav><div><p>{text}</p><p>{prose(k + 50, 5)}</p></div></body></html>") for k in range(3)]
+    found = html_extraction.extract(frame("page_id long, url string, html string", rows)).collect()
+    assert {r.page_id: r.text for r in found} == {k: f"{text}\n{prose(k + 50, 5)}" for k in range(3)}
+
+
 def test_pages_of_the_test_data(spark):
     found = entry.queries()["op9_html_extraction"](spark, SF_DIR).collect()
     raw = {r.page_id: r.html for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
