@@ -2,14 +2,16 @@
 
 Built-in expressions only. Emails, IP addresses, card and phone numbers are found
 by pattern; each value found is a protected entity. Corpus-wide co-occurrence then
-estimates what a nearby term reveals: of the -log2 P(e) bits that identify entity
-e, a term t gives log2 P(e|t) / P(e). Terms that give `GENERALISE` of the bits or
+estimates what a term of the same text reveals, wherever it stands outside of the
+values themselves: of the -log2 P(e) bits that identify entity e, a term t gives log2 P(e|t) / P(e). Terms that give `GENERALISE` of the bits or
 more are generalised, from `REMOVE` on removed, in every document that holds e.
-Documents with the same text count once, and a pair needs `SUPPORT` texts.
+Documents with the same text count once, and a pair needs `SUPPORT` texts. Terms
+are runs of three or more letters and digits; shorter ones are mostly function words.
 
 Rows are scanned once for patterns and once for the frequencies of the terms in
 question; the latter drops all other words by a bit table of fixed size before
-anything is shuffled. Only documents with entities take part in the joins.
+anything is shuffled. So does the pairing of entities and terms with terms too rare
+or too common to reveal any entity. Only documents with entities take part in the joins.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ _HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.", "card": r"[0-9](?:[\
 ADDED = ("generalised", "removed")
 PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "generalised": "[TERM]", "removed": ""}
 
-CONTEXT, SUPPORT, GENERALISE, REMOVE = 64, 3, 0.85, 0.95
+SUPPORT, GENERALISE, REMOVE = 3, 0.85, 0.95
 _SPAN = "struct<kind:string,start:int,end:int,value:string>"
 
 
@@ -94,8 +96,10 @@ def base_spans(text: Column) -> Column:
     return F.concat(*found)
 
 
-def _terms(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda t: F.length(t) >= 3)
+def _terms(text: Column, spans: Column) -> Column:
+    """The different terms of a text outside of its spans."""
+    rest = F.when(F.size(spans) == 0, text).otherwise(_replaced(text, spans, lambda kind: F.lit(" ")))
+    return F.array_distinct(F.filter(F.split(F.lower(rest), r"[^\p{L}\p{N}]+"), lambda t: F.length(t) >= 3))
 
 
 def disclosures(found: DataFrame) -> DataFrame:
@@ -103,25 +107,30 @@ def disclosures(found: DataFrame) -> DataFrame:
 
     `found` has `text`, its hash `text_id` and its `spans`.
     """
-    entity = found.select("text_id", "text", F.explode("spans").alias("s"))
-    low = F.greatest(F.col("s.start") - CONTEXT, F.lit(0))
-    near = F.concat_ws(" ", F.substring("text", low + 1, F.col("s.start") - low), F.substring("text", F.col("s.end") + 1, F.lit(CONTEXT)))
-    entity = entity.select("text_id", "s.kind", F.lower("s.value").alias("value"), F.array_distinct(_terms(near)).alias("terms"))
-    texts = entity.groupBy("kind", "value").agg(F.count_distinct("text_id").alias("n_e"))
-    near_terms = written(entity.select("text_id", "kind", "value", F.explode("terms").alias("term")).distinct(), "near")
-    pairs = near_terms.groupBy("kind", "value", "term").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= SUPPORT)
-    pairs = pairs.join(texts, ["kind", "value"])
-    n = F.lit(float(max(1, found.select("text_id").distinct().count())))
+    held = found.where(F.size("spans") > 0).select("text_id", "text", "spans").dropDuplicates(["text_id"])
+    values = F.array_distinct(F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), F.lower(s["value"]).alias("value"))))
+    held = written(held.select("text_id", values.alias("values"), _terms(F.col("text"), F.col("spans")).alias("terms")), "held")
+    entity = held.select("text_id", F.explode("values").alias("e")).select("text_id", "e.*")
+    texts = written(entity.groupBy("kind", "value").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= SUPPORT), "entities")
+    n = float(max(1, found.select("text_id").distinct().count()))
+    most = float(texts.agg(F.max("n_e")).first()[0] or 0)
 
     def share(n_t: str) -> Column:
         """Of the entity's bits, those that a term in n_t texts gives."""
-        bits = -F.log2(F.col("n_e") / n)
-        return F.when(bits > 0, F.log2(F.col("n_et") * n / (F.col("n_e") * F.col(n_t))) / bits).otherwise(0.0)
-
-    # A term is in as many texts at least as it is near any entity: most terms are out before texts are searched.
-    seen = near_terms.groupBy("term").agg(F.count_distinct("text_id").alias("n_near"))
-    pairs = written(pairs.join(seen, "term").where(share("n_near") >= GENERALISE).drop("n_near"), "pairs")
-    words = found.select("text_id", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
+        bits = -F.log2(F.col("n_e") / F.lit(n))
+        return F.when(bits > 0, F.log2(F.col("n_et") * F.lit(n) / (F.col("n_e") * F.col(n_t))) / bits).otherwise(0.0)
+
+    # A term is in as many texts at least as in texts with entities, and n_et is n_e at most: most terms are out before pairs are formed.
+    bound = 1 + most**GENERALISE * n ** (1 - GENERALISE)
+    seen = held.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_held"))
+    seen = written(seen.where(F.col("n_held").between(SUPPORT, bound)), "terms")
+    # Pairs are counted before they move; only the terms' frequencies are joined by term, to one row per pair.
+    known = entity.join(texts.select("kind", "value"), ["kind", "value"])
+    terms = held.select("text_id", F.explode("terms").alias("term")).where(listed(F.col("term"), seen, "term"))
+    pairs = terms.join(known, "text_id").groupBy("kind", "value", "term").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= SUPPORT)
+    pairs = pairs.join(texts, ["kind", "value"]).join(seen, "term")
+    pairs = written(pairs.where(share("n_held") >= GENERALISE).drop("n_held"), "pairs")
+    words = found.select("text_id", F.explode(_terms(F.col("text"), F.col("spans"))).alias("term"))
     words = words.where(listed(F.col("term"), pairs, "term")).distinct()
     scored = pairs.join(words.groupBy("term").agg(F.count("*").alias("n_t")), "term")
     return scored.select("kind", "value", "term", share("n_t").alias("share")).where(F.col("share") >= GENERALISE)
@@ -136,13 +145,12 @@ def _ordered(spans: Column) -> Column:
     return F.transform(F.array_sort(keyed), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
 
 
-def _sanitised(text: Column, spans: Column) -> Column:
-    """The text with every span replaced; overlapping spans are replaced as one, by the first."""
+def _replaced(text: Column, spans: Column, mark: Callable[[Column], Column]) -> Column:
+    """The text with every span replaced by the mark of its kind; overlapping spans are replaced as one, by the first."""
     by_start = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    marks = F.create_map(*[F.lit(x) for pair in PLACEHOLDERS.items() for x in pair])
 
     def cut(done: Column, s: Column) -> Column:
-        piece = F.concat(done["out"], F.substring(text, done["at"] + 1, s["start"] - done["at"]), marks[s["kind"]])
+        piece = F.concat(done["out"], F.substring(text, done["at"] + 1, s["start"] - done["at"]), mark(s["kind"]))
         out = F.when(s["start"] >= done["at"], piece).otherwise(done["out"])
         return F.struct(F.greatest(done["at"], s["end"]).alias("at"), out.alias("out"))
 
@@ -150,6 +158,11 @@ def _sanitised(text: Column, spans: Column) -> Column:
     return F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
 
 
+def _sanitised(text: Column, spans: Column) -> Column:
+    marks = F.create_map(*[F.lit(x) for pair in PLACEHOLDERS.items() for x in pair])
+    return _replaced(text, spans, lambda kind: marks[kind])
+
+
 def sanitise(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """All columns of docs, with `_spans` (kind, start, end; base kinds first) and `_sanitised`, the text without them.
 
@@ -175,7 +188,7 @@ def sanitise(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     terms = terms.groupBy("text_id").agg(F.map_from_entries(F.collect_list(F.struct("term", kind))).alias("terms"))
 
     joined = held.join(terms, "text_id", "left")
-    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.map_keys("terms"), "|"), F.lit(r")(?!\p{L})"))
+    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(F.map_keys("terms"), "|"), F.lit(r")(?![\p{L}\p{N}])"))
     added = _find_all(F.col("text"), pattern, "removed")
     clear = lambda s: ~F.exists("spans", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
     named = F.transform(

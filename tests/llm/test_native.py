@@ -74,6 +74,19 @@ def test_terms_that_reveal_an_entity(frame):
     assert found[1]._sanitised == "common words here  wrote to [EMAIL] about number 1"
 
 
+def test_terms_far_from_an_entity_reveal_it(frame):
+    """A name in the heading and one with digits; the address stands at the end, now and then near."""
+    rows = []
+    for i in range(6):
+        gap = "" if i < 3 else " ".join(["filler text goes on"] * 30)
+        rows.append((i, f"Zyxident unit77b {gap} number {i} wrote to ann@x.org"))
+    rows += [(i, f"filler text goes on, number {i} wrote to nobody") for i in range(10, 200)]
+    found = {r.doc_id: r for r in pii.sanitise(frame("doc_id long, text string", rows)).collect()}
+    for i, text in rows:
+        spans = {(s.kind, text[s.start : s.end]) for s in found[i]._spans}
+        assert spans == ({("email", "ann@x.org")} | {("removed", t) for t in ("Zyxident", "unit77b")} if i < 6 else set())
+
+
 def test_copies_of_one_text_reveal_nothing(frame):
     rows = [(i, "zyxident wrote to ann@x.org") for i in range(20)] + [(100 + i, f"plain {i}") for i in range(50)]
     assert {len(r._spans) for r in pii.sanitise(frame("doc_id long, text string", rows)).where("doc_id < 100").collect()} == {1}
