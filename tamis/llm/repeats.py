@@ -206,8 +206,8 @@ def _slices(values: np.ndarray, buckets: int, keep: int) -> Iterator[tuple[int,
     lead = buckets.bit_length() - 1
     owner = (values >> np.uint64(64 - lead)).astype(np.int64)
     short = (values >> np.uint64(max(0, 64 - lead - keep))) & np.uint64((1 << keep) - 1)
-    found, at = np.unique(owner, return_index=True)
-    for bucket, a, b in zip(found.tolist(), at.tolist(), [*at[1:].tolist(), len(values)], strict=True):
+    found, at, many = np.unique(owner, return_index=True, return_counts=True)
+    for bucket, a, b in zip(found.tolist(), at.tolist(), (at + many).tolist(), strict=True):
         yield bucket, slice(a, b), short[a:b]
 
 

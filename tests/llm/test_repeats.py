@@ -88,6 +88,22 @@ def test_rows_that_share_an_id(awkward):
     assert {r.n_removed for r in substring_dedup.remove_repeated_passages(twice).collect()} == {0}
 
 
+@pytest.mark.parametrize("lengths", [[1], [300], [300, 2, 90, 400], [40] * 30], ids=str)
+def test_corpus_without_a_repeat(frame, blocks, lengths):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(n))) for i, n in enumerate(lengths)]
+    docs = frame("doc_id long, text string", rows)
+    assert {tuple(r)[2:4] for r in suffix_dedup.remove_repeated_bytes(docs).collect()} == {(0, 0)}
+    assert {r.n_removed for r in substring_dedup.remove_repeated_passages(docs).collect()} == {0}
+
+
+def test_blocks_some_of_which_hold_no_repeat(frame, monkeypatch):
+    monkeypatch.setattr(repeats, "BLOCK_BYTES", 1 << 10)
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(200))) for i in range(12)] + [(20, prose(3, 200)), (30, prose(3, 200))]
+    docs = frame("doc_id long, text string", rows)
+    assert sorted(map(tuple, suffix_dedup.remove_repeated_bytes(docs).collect())) == sorted(removed_bytes(rows))
+    assert sorted(map(tuple, substring_dedup.remove_repeated_passages(docs).collect())) == sorted(removed_words(rows))
+
+
 def test_empty_tables(nothing):
     assert suffix_dedup.remove_repeated_bytes(nothing).count() == substring_dedup.remove_repeated_passages(nothing).count() == 0
 
