@@ -1,16 +1,14 @@
 """Exact top-k by inner product: vectors by descending length, rotated partial sums, Cauchy-Schwarz bounds.
 
 1. Components become integers, floor(scale * x). Vectors are sorted by length,
-   descending, into blocks; a rotation from the singular vectors of a bounded
-   sample puts most of the weight into the leading coordinates.
-2. Each query takes the k-th best score in the first block, the longest vectors,
-   as a floor that its results can't fall below.
-3. Queries, in blocks, meet every candidate block. A block is passed over where
-   the product of lengths stays under the floor; within a block partial sums over
-   growing prefixes of the rotated coordinates, plus the product of the lengths of
-   the rests, drop candidates; what is left is scored exactly, in integers.
-4. Each pair of blocks returns at most k rows per query; the best k of all follow
-   from a window per query.
+   descending, into blocks of a fixed number; a rotation from the singular vectors of a
+   bounded sample puts most of the weight into the leading coordinates.
+2. Blocks of queries walk along the candidate blocks, longest vectors first, in growing
+   waves. After each wave a query's floor is its k-th best score so far. A query block
+   stops where no query of it has a floor under its length times the longest left.
+3. Where two blocks meet, partial sums over a prefix of the rotated coordinates, plus
+   the product of the lengths of the rests, drop pairs that can't reach the floor; the
+   rest is scored exactly, in integers.
 
 The rotation only decides what is skipped, with a margin for rounding: results
 do not depend on it.
@@ -18,57 +16,19 @@ do not depend on it.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tamis.llm.scratch import written
+from tamis.llm.vectors import _each, as_long, best_of, blocks_in_order, fits, integral, kth, matrix, products, usable, walk
 
-SAMPLE_ROWS, BLOCK, QUERIES, GROUP = 4096, 4096, 1024, 16
+SAMPLE_ROWS, BLOCK, QUERIES = 4096, 4096, 1024
 _STEPS = (0.25, 0.5)
-_BLOCKS = "block long, ids binary, vectors binary"
-
-
-def _packed(size: int, dims: int):
-    """Rows (vec_id, vector) into blocks of up to `size` rows."""
-
-    def pack(batches):
-        part, seq, ids, vectors, held = TaskContext.get().partitionId(), 0, [], [], 0
-
-        def block(count):
-            nonlocal seq, ids, vectors, held
-            all_ids, all_vectors = np.concatenate(ids), np.vstack(vectors)
-            row = {"block": (part << 24) + seq, "ids": all_ids[:count].tobytes(), "vectors": all_vectors[:count].tobytes()}
-            seq, ids, vectors, held = seq + 1, [all_ids[count:]], [all_vectors[count:]], max(0, held - count)
-            return pa.RecordBatch.from_pylist([row], pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("vectors", pa.binary())]))
-
-        for batch in batches:
-            ids.append(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))
-            vectors.append(_padded(batch.column(1), dims))
-            held += batch.num_rows
-            while held >= size:
-                yield block(size)
-        if held:
-            yield block(held)
-
-    return pack
-
-
-def _padded(column: pa.Array, dims: int) -> np.ndarray:
-    """Vectors as rows of `dims` integers, shorter ones filled up with zeros."""
-    lengths = pa.compute.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    out = np.zeros((len(lengths), dims), np.int64)
-    out[np.arange(dims) < lengths[:, None]] = flat
-    return out
-
-
-def _unpacked(row: dict, prefix: str, dims: int) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.frombuffer(row[f"{prefix}ids"], np.int64)
-    return ids, np.frombuffer(row[f"{prefix}vectors"], np.int64).reshape(len(ids), dims)
+_SPARSE = 0.05
 
 
 class _Search:
@@ -78,51 +38,58 @@ class _Search:
         self.rotation, self.k = rotation, k
         self.cuts = sorted({max(1, int(len(rotation) * s)) for s in _STEPS}) if len(rotation) else []
 
-    def floors(self, queries: np.ndarray, ids: np.ndarray, first: np.ndarray, first_ids: np.ndarray) -> np.ndarray:
-        """The k-th best score of each query in the first block; none where that has fewer than k others."""
-        scores = (queries.astype(float) @ first.astype(float).T) if len(first) else np.empty((len(queries), 0))
-        scores[ids[:, None] == first_ids[None, :]] = -np.inf
-        if scores.shape[1] < self.k:
-            return np.full(len(queries), -np.inf)
-        return np.partition(scores, scores.shape[1] - self.k, axis=1)[:, scores.shape[1] - self.k]
-
-    def pairs(self, queries, ids, floor, vectors, vector_ids):
-        """Row numbers of queries and candidates that may reach the floor."""
-        q, c = queries @ self.rotation, vectors @ self.rotation
-        lengths = np.linalg.norm(c, axis=1)
-        live = np.flatnonzero(np.linalg.norm(q, axis=1) * (lengths.max() if len(lengths) else 0) * (1 + 1e-9) + 1e-6 >= floor)
-        a, b, done, partial = live, None, 0, None
+    def hits(self, q: np.ndarray, ids: np.ndarray, floor: np.ndarray, c: np.ndarray, c_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of queries, ids and exact scores of the best k candidates that reach the floor."""
+        length_q, length_c = np.linalg.norm(q, axis=1), np.linalg.norm(c, axis=1)
+        with np.errstate(invalid="ignore", over="ignore"):
+            live = np.flatnonzero(~(length_q * length_c.max(initial=0) * (1 + 1e-9) + 1e-6 < floor))
+        pairs = self._few(q[live], floor[live], c, length_q[live], length_c) if len(live) and fits(q, c) else None
+        if pairs is None:
+            score = products(q[live], c)
+            own = ids[live][:, None] == c_ids[None, :]
+            keep = (score >= floor[live][:, None]) & ~own
+            if score.dtype != object and keep.sum() > 4 * self.k * len(live) and score.shape[1] > self.k:
+                score[own] = -np.inf
+                keep &= score >= np.partition(score, -self.k, axis=1)[:, [-self.k]]
+            a, b = np.nonzero(keep)
+            score = integral(score[a, b])
+        else:
+            a, b = pairs
+            score = integral(np.einsum("ij,ij->i", q[live][a], c[b]))
+            keep = (score >= floor[live][a]) & (ids[live][a] != c_ids[b])
+            a, b, score = a[keep], b[keep], score[keep]
+        top = best_of(a, score, c_ids[b], self.k)
+        return live[a[top]], c_ids[b[top]], score[top]
+
+    def _few(self, q, floor, c, length_q, length_c):
+        """Pairs that may reach the floor, if the bounds leave few of them."""
+        rq, rc = q @ self.rotation, c @ self.rotation
+        margin = 1e-9 * length_q[:, None] * length_c[None, :] + 1e-6
         for cut in self.cuts:
-            rest_q, rest_c = np.linalg.norm(q[:, cut:], axis=1), np.linalg.norm(c[:, cut:], axis=1)
-            if b is None:
-                partial = q[live, :cut] @ c[:, :cut].T
-                keep = partial + rest_q[live, None] * rest_c * (1 + 1e-9) + 1e-6 >= floor[live, None]
-                rows, b = np.nonzero(keep)
-                a, partial = live[rows], partial[keep]
-            else:
-                partial = partial + np.einsum("ij,ij->i", q[a, done:cut], c[b, done:cut])
-                keep = partial + rest_q[a] * rest_c[b] * (1 + 1e-9) + 1e-6 >= floor[a]
-                a, b, partial = a[keep], b[keep], partial[keep]
-            done = cut
-        if b is None:  # vectors without components: all scores are 0
-            a, b = np.repeat(live, len(vectors)), np.tile(np.arange(len(vectors)), len(live))
-        other = ids[a] != vector_ids[b]
-        return a[other], b[other]
-
-    def best(self, queries, ids, floor, vectors, vector_ids):
-        """For each query up to k of the best: rows of queries, ids and exact scores of candidates."""
-        a, b = self.pairs(queries, ids, floor, vectors, vector_ids)
-        score = np.empty(len(a), np.int64)
-        for at in range(0, len(a), 1 << 16):
-            part = slice(at, at + (1 << 16))
-            score[part] = np.einsum("ij,ij->i", queries[a[part]], vectors[b[part]])
-        reach = score >= floor[a]
-        a, b, score = a[reach], b[reach], score[reach]
-        order = np.lexsort((vector_ids[b], -score, a))
-        a, b, score = a[order], b[order], score[order]
-        rank = np.arange(len(a)) - np.searchsorted(a, a)
-        top = rank < self.k
-        return a[top], vector_ids[b[top]], score[top]
+            bound = rq[:, :cut] @ rc[:, :cut].T
+            bound += np.linalg.norm(rq[:, cut:], axis=1)[:, None] * np.linalg.norm(rc[:, cut:], axis=1)[None, :]
+            keep = bound + margin >= floor[:, None]
+            if np.count_nonzero(keep) <= _SPARSE * keep.size:
+                return np.nonzero(keep)
+        return None
+
+    def meet(self, state: dict, block: tuple):
+        row, ids, score = self.hits(state["q"], state["ids"], state["floor"], block[1], block[0])
+        return (row, ids, score) if len(row) else None
+
+    def merge(self, state: dict, found: tuple) -> dict:
+        row, ids, score = (np.concatenate([state[n], f]) for n, f in zip(("row", "found", "score"), found, strict=True))
+        top = best_of(row, score, ids, self.k)
+        state |= {"row": row[top], "found": ids[top], "score": score[top]}
+        state["floor"] = kth(state["row"], state["score"], len(state["ids"]), self.k)
+        return state
+
+    def need(self, state: dict) -> float:
+        """The least length with which a candidate can reach the floor of any query."""
+        if np.isneginf(state["floor"]).any():
+            return -np.inf
+        lengths = np.linalg.norm(state["q"], axis=1) * (1 + 1e-9) + 1e-9
+        return float(((state["floor"] - 1e-6) / lengths).min(initial=np.inf))
 
 
 def top_k(
@@ -130,61 +97,47 @@ def top_k(
 ) -> DataFrame:
     """For each vector whose id is divisible by `every`, the k others with the highest scores: `query_id`, `rank`, `vec_id`, `score`.
 
-    The score is the inner product of the vectors' floor(scale * x). Equal scores
-    go by smaller id; fewer than k candidates are all returned.
+    The score is the inner product of the vectors' floor(scale * x), exact at any
+    magnitude; one beyond 64 bits ranks by its true value and is returned as the
+    nearest long. Equal scores go by smaller id; fewer than k candidates are all returned.
 
-    Rows with a NULL id, a NULL vector, or a NULL or non-finite component take no
-    part. Rows that share a query's id count as the query's own; repeated query
-    rows are answered one by one. Of vectors of different lengths the shorter
-    counts as filled up with zeros; one without components scores 0. Further
+    Rows with a NULL id, a NULL vector, or a NULL or non-finite component (also
+    once scaled) take no part. Rows that share a query's id count as the query's own;
+    repeated query rows are answered one by one. Of vectors of different lengths the
+    shorter counts as filled up with zeros; one without components scores 0. Further
     columns are ignored. An empty table gives an empty result.
     """
-    big = float(1 << 24)
-    sound = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < big)
-    rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).cast("array<double>").alias("v"))
-    rows = rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & F.forall("v", sound))
-    whole = F.transform("v", lambda x: F.floor(scale * x).cast("long"))
-    rows = rows.select("vec_id", whole.alias("vector"))
-    length = F.aggregate("vector", F.lit(0).cast("double"), lambda a, x: a + x * x)
+    rows = usable(vectors, id_column, vector_column)
+    rows = rows.withColumn("v", F.transform("v", lambda x: F.lit(float(scale)) * x)).where(F.forall("v", lambda x: F.abs(x) != float("inf")))
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + F.floor(x).cast("double") * F.floor(x).cast("double")))
     rows = written(rows.withColumn("length", length), "vectors")
-    dims = rows.agg(F.max(F.size("vector"))).first()[0] or 0
-
-    ordered = rows.repartitionByRange(F.desc("length"), F.xxhash64("vec_id")).sortWithinPartitions(F.desc("length"), F.xxhash64("vec_id"))
-    blocks = written(ordered.select("vec_id", "vector").mapInArrow(_packed(BLOCK, dims), _BLOCKS), "blocks")
-    longest = blocks.orderBy("block").limit(1).collect()  # one block, a bounded number of vectors
-    first_ids, first = _unpacked(longest[0].asDict(), "", dims) if longest else (np.empty(0, np.int64), np.zeros((0, dims), np.int64))
-    drawn = rows.orderBy(F.xxhash64("vec_id")).limit(SAMPLE_ROWS).select("vec_id", "vector").collect()
+    dims = rows.agg(F.max(F.size("v"))).first()[0] or 0
+    drawn = rows.orderBy(F.xxhash64("vec_id")).limit(SAMPLE_ROWS).select("v").collect()  # bounded
     sample = np.zeros((max(1, len(drawn)), dims))
     for i, r in enumerate(drawn):
-        sample[i, : len(r["vector"])] = r["vector"]
+        sample[i, : len(r["v"])] = np.floor(r["v"])
+    sample /= np.maximum(1, np.abs(sample).max(initial=0))
     search = _Search(np.linalg.svd(sample, full_matrices=True)[2].T if dims else np.zeros((0, 0)), k)
 
-    asked = rows.where(F.col("vec_id") % every == 0).select("vec_id", "vector").mapInArrow(_packed(QUERIES, dims), _BLOCKS)
-
-    def with_floor(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                ids, q = _unpacked(row, "", dims)
-                out = [row | {"floors": search.floors(q, ids, first, first_ids).tobytes()}]
-                yield pa.RecordBatch.from_pylist(out, pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("vectors", pa.binary()), ("floors", pa.binary())]))
-
-    asked = written(asked.mapInArrow(with_floor, _BLOCKS + ", floors binary"), "queries")
-    groups = max(1, -(-blocks.count() // GROUP))
-    spread = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
-    asked = asked.select(*[F.col(c).alias(f"q_{c}") for c in asked.columns], spread.alias("group"))
-    met = asked.join(blocks.withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int")), "group").drop("group")
-
-    def scored(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                ids, q = _unpacked(row, "q_", dims)
-                vector_ids, c = _unpacked(row, "", dims)
-                a, found, score = search.best(q, ids, np.frombuffer(row["q_floors"]), c, vector_ids)
-                columns = [np.full(len(a), row["q_block"]), a, ids[a], found, score]
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["block", "row", "query_id", "vec_id", "score"])
-
-    found = met.mapInArrow(scored, "block long, row long, query_id long, vec_id long, score long")
-    best = Window.partitionBy("block", "row").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    def candidates(table: pa.Table):
+        c = np.floor(matrix(table.column("v"), dims))
+        return float(np.linalg.norm(c, axis=1).max(initial=0)), (table.column("vec_id").to_numpy(), c)
+
+    def questions(table: pa.Table):
+        top, (ids, q) = candidates(table)
+        none = {"row": np.empty(0, np.int64), "found": np.empty(0, np.int64), "score": np.empty(0, np.int64)}
+        return top, {"ids": ids, "q": q, "floor": np.full(len(ids), -np.inf)} | none
+
+    order = [F.desc("length"), F.xxhash64("vec_id")]
+    blocks = blocks_in_order(rows, order, BLOCK, candidates, "blocks")
+    asked = blocks_in_order(rows.where(F.col("vec_id") % every == 0), order, QUERIES, questions, "queries")
+    states = walk(asked, blocks, search.meet, search.merge, search.need)
+
+    def ranked(batches):
+        for line in _each(batches):
+            s = pickle.loads(line["data"])
+            rank = np.arange(len(s["row"])) - np.searchsorted(s["row"], s["row"]) + 1
+            columns = [s["ids"][s["row"]], rank.astype(np.int32), s["found"], as_long(s["score"])]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["query_id", "rank", "vec_id", "score"])
+
+    return states.select("data").mapInArrow(ranked, "query_id long, rank int, vec_id long, score long")

@@ -37,6 +37,30 @@ def test_top_k_equals_brute_force(frame, monkeypatch, block, spread):
     assert sorted(map(tuple, found.collect())) == best(rows, 5, 6)
 
 
+@pytest.mark.parametrize("size", [1e6, 3e7, 1e12, 1e200])
+def test_top_k_of_large_values(frame, monkeypatch, size):
+    monkeypatch.setattr(topk, "BLOCK", 32)
+    monkeypatch.setattr(topk, "QUERIES", 8)
+    rng = np.random.default_rng(4)
+    vectors = rng.uniform(-1, 1, (120, 64)) * np.where(rng.random((120, 1)) < 0.4, size, 3.0)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    found = topk.top_k(frame("vec_id long, embedding array<double>", rows), every=6, k=20)
+    near = lambda s: max(-(1 << 63), min((1 << 63) - 1, s))
+    assert sorted(map(tuple, found.collect())) == [(*r[:3], near(r[3])) for r in best(rows, 6, 20)]
+
+
+def test_top_k_stops_at_short_vectors(frame, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    met = []
+    monkeypatch.setattr(topk._Search, "need", lambda self, state, f=topk._Search.need: f(self, state))
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in v * (100 if i % 8 == 0 else 0.1)]) for i, v in enumerate(rng.random((256, 6)))]
+    walked = topk.walk
+    monkeypatch.setattr(topk, "walk", lambda *a: met.append(walked(*a)) or met[-1])
+    assert sorted(map(tuple, topk.top_k(frame("vec_id long, embedding array<double>", rows), every=8, k=3).collect())) == best(rows, 8, 3)
+    assert met[0].agg({"need": "min"}).first()[0] > 64 * 6**0.5
+
+
 def test_top_k_awkward_rows(frame):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 2.0]), (2, [1.0]), (4, []), (6, None), (8, [1.0, None]), (10, [nan, 1.0]), (12, [inf, 1.0]), (None, [1.0, 1.0]), (1, [0.5, -0.01])]
