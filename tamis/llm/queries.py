@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import decontamination, html_extraction, language_id, minhash_dedup, mixing, pii, substring_dedup, suffix_dedup, topk, toxicity
+from tamis.llm import (
+    decontamination,
+    hard_negatives,
+    html_extraction,
+    language_id,
+    minhash_dedup,
+    mixing,
+    nearest,
+    pii,
+    substring_dedup,
+    suffix_dedup,
+    topk,
+    toxicity,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +78,15 @@ def op10_minhash_dedup(spark, sf_dir):
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), every=100, label=label)
+
+
+def op13_nearest(spark, sf_dir):
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), every=100)
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_mixing": op2_mixing,
@@ -76,6 +98,8 @@ QUERIES = {
     "op8_top_k": op8_top_k,
     "op9_html_extraction": op9_html_extraction,
     "op10_minhash_dedup": op10_minhash_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_nearest": op13_nearest,
 }
 
 _OP8 = """
@@ -94,6 +118,29 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+_OP12 = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+      list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS anchor_id, c.vec_id, q.label = c.label AS same, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id != c.vec_id
+    WHERE q.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), fitting AS (
+    SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+      CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM fitting WHERE rank <= 5
+"""
+
 _WORDS = """list_filter(regexp_split_to_array({text}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"""
 
 # Runs of positions that windows starting at `i` cover: a new one begins where a gap is left.
@@ -213,4 +260,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_substring_dedup": _OP6,
     "op8_top_k": _OP8,
     "op10_minhash_dedup": _OP10,
+    "op12_hard_negatives": _OP12,
 }

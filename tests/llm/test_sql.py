@@ -20,6 +20,10 @@ CONTRACT = {
     "op8_top_k": "query_id bigint, rank int, vec_id bigint, score bigint",
     "op9_html_extraction": "page_id bigint, url string, text string, n_chars bigint",
     "op10_minhash_dedup": "doc_id bigint, n_shingles bigint, component_id bigint, kept boolean",
+    "op11_conversation_repair": "conv_id bigint, gaps bigint, blank bigint, duplicate bigint, truncated bigint, illegal bigint, cost bigint, "
+    "audit string, repaired_sha256 string",
+    "op12_hard_negatives": "anchor_id bigint, positive_id bigint, rank int, negative_id bigint, positive_score bigint, negative_score bigint",
+    "op13_nearest": "query_id bigint, rank int, vec_id bigint, score double",
 }
 
 
@@ -42,4 +46,4 @@ def test_columns(spark, name):
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
