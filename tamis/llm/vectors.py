@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ def usable(vectors: DataFrame, id_column: str, vector_column: str, *more: Column
 def matrix(column: pa.ChunkedArray, dims: int) -> np.ndarray:
     """Vectors as rows of `dims` doubles, shorter ones filled up with zeros."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    lengths = pa.compute.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+    lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
     out = np.zeros((len(lengths), dims))
     out[np.arange(dims) < lengths[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
     return out

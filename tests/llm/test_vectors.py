@@ -109,7 +109,8 @@ def close(rows, every, k):
 def _distance(a, b):
     total = 0.0
     for d in range(max(len(a), len(b))):
-        total += ((a[d] if d < len(a) else 0.0) - (b[d] if d < len(b) else 0.0)) ** 2
+        gap = (a[d] if d < len(a) else 0.0) - (b[d] if d < len(b) else 0.0)
+        total += gap * gap
     return math.sqrt(total)
 
 
@@ -190,5 +191,5 @@ def test_buckets_are_visited_in_order_of_success():
     assert all(v[0] == hashing.buckets(q[None, :], 0)[0] for v in visits[:1]) and len(visits[0]) < len(visits[2])
     near = q + rng.standard_normal((4000, 16)) * 4.0 / 4
     radius = np.linalg.norm(near - q, axis=1).mean()
-    share = np.isin(hashing.buckets(near, 0), hashing.probes(q, radius, 0)).mean()
-    assert share == pytest.approx(1 - (1 - nearest.SUCCESS) ** (1 / nearest.TABLES), abs=0.12)
+    shares = [np.isin(hashing.buckets(near, t), hashing.probes(q, radius, t)).mean() for t in range(nearest.TABLES)]
+    assert np.mean(shares) == pytest.approx(1 - (1 - nearest.SUCCESS) ** (1 / nearest.TABLES), abs=0.15)
