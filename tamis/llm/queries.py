@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamis.llm import (
+    conversation_repair,
     decontamination,
     hard_negatives,
     html_extraction,
@@ -78,6 +79,29 @@ def op10_minhash_dedup(spark, sf_dir):
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def damaged(rows):
+    """Conversations with known faults: a checksum of conversation and turn says what happens to a row."""
+    space = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    fate, text = F.crc32(key) % 20, F.coalesce("text", space)
+    text = F.when(F.col("fate") == 1, "").when(F.col("fate") == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    role = F.when(F.col("fate") == 4, "user").otherwise(F.coalesce("role", space))
+    times = F.explode(F.array_repeat(F.lit(0), F.when(F.col("fate") == 3, 2).otherwise(1)))
+    return rows.withColumn("fate", fate).where("fate != 0").select("conv_id", "turn", role.alias("role"), text.alias("text"), times.alias("copy"))
+
+
+def op11_conversation_repair(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    repair = conversation_repair.repair(damaged(rows))
+    hashes = conversation_repair.digests(repair.parts).withColumnRenamed("conv_id", "hashed")
+    every = rows.select(F.col("conv_id").alias("asked")).distinct()
+    found = every.join(repair.verdicts, F.col("asked").eqNullSafe(F.col("conv_id")), "left").drop("conv_id")
+    found = found.join(hashes, F.col("asked").eqNullSafe(F.col("hashed")), "left")
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    digest = F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256")
+    return found.select(F.col("asked").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"), digest)
+
+
 def op12_hard_negatives(spark, sf_dir):
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"), every=100, label=label)
@@ -98,6 +122,7 @@ QUERIES = {
     "op8_top_k": op8_top_k,
     "op9_html_extraction": op9_html_extraction,
     "op10_minhash_dedup": op10_minhash_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_nearest": op13_nearest,
 }
