@@ -28,6 +28,7 @@ def parser() -> argparse.ArgumentParser:
     common = argparse.ArgumentParser(add_help=False)
     common.add_argument("--bronze", required=True, help="root of the Bronze layer")
     common.add_argument("--layout", choices=("ingest_date", "ymd"), default="ingest_date")
+    common.add_argument("--versioned", action="store_true", help="publish a version of the table instead of swapping it")
     common.add_argument("--s3-endpoint")
     common.add_argument("--hive", action="store_true", help="use the Hive catalog")
     common.add_argument("--conf", action="append", default=[], metavar="KEY=VALUE", help="a Spark setting")
@@ -74,11 +75,12 @@ def main(arguments: Sequence[str] | None = None) -> None:
             layout=args.layout,
             partition_column=args.partition_column or None,
             num_partitions=args.num_partitions,
+            versioned=args.versioned,
             properties=credentials(),
         )
     else:
         result = transform(
-            spark, args.bronze, args.silver, layout=args.layout, mode=args.mode, partition_by=args.partition_by
+            spark, args.bronze, args.silver, layout=args.layout, mode=args.mode, partition_by=args.partition_by, versioned=args.versioned
         )
     print(json.dumps(asdict(result)))
 

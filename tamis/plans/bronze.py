@@ -30,11 +30,12 @@ def ingest(
     day: date | None = None,
     layout: str = "ingest_date",
     date_columns: Sequence[str] = ("date",),
+    versioned: bool = False,
 ) -> BronzeResult:
     """Store `df` as the snapshot of `day`, whatever Spark source it comes from."""
     day = day or datetime.now(UTC).date()
     path = snapshot_path(table, day, layout)
-    return BronzeResult(path, write_bronze(parse_dates(df, date_columns), bronze_root, table, day, layout))
+    return BronzeResult(path, write_bronze(parse_dates(df, date_columns), bronze_root, table, day, layout, versioned=versioned))
 
 
 def extract(
@@ -46,8 +47,9 @@ def extract(
     day: date | None = None,
     layout: str = "ingest_date",
     date_columns: Sequence[str] = ("date",),
+    versioned: bool = False,
     **read_options,
 ) -> BronzeResult:
     """Scan a database table in parallel and store it as the snapshot of `day`."""
     rows = read_table(spark, url, table, date_columns=(), **read_options)
-    return ingest(rows, bronze_root, table, day=day, layout=layout, date_columns=date_columns)
+    return ingest(rows, bronze_root, table, day=day, layout=layout, date_columns=date_columns, versioned=versioned)
