@@ -19,11 +19,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import inspection_fixtures as fixtures  # noqa: E402
 from tamis.functions.text import repair_encoding  # noqa: E402
-from tamis.operators import clean, features, quality, standardize  # noqa: E402
+from tamis.operators import alerts, clean, features, indicators, quality, standardize  # noqa: E402
 from tamis.plans.bronze import ingest  # noqa: E402
 from tamis.operators.dedup import count_copies  # noqa: E402
-from tamis.plans.silver import build_silver, silver_rows, transform  # noqa: E402
+from tamis.plans.silver import build_silver, rejected_rows, silver_rows, transform  # noqa: E402
 from tamis.session import staging_path  # noqa: E402
+from tamis.sources import versions  # noqa: E402
 from tamis.sources.lake import (  # noqa: E402
     DATE_COLUMN,
     latest_snapshot,
@@ -54,6 +55,7 @@ TIGHT = replace(
     INSPECTION,
     ranges={c: (0, 60) if c in ("t_av", "t_ar") else (0, 4) for c in INSPECTION.ranges},
 )
+ALARMS = {"temperature": 60.0, "vibration": 4.0}
 AS_OF = datetime(2024, 1, 20, 12)
 TEXT_LIMITS = {"zone": 8, "instal": 7, "observation": 8, "action": 6, "utilisateur": 6}
 OLD_DAY, DAY = date(2025, 12, 31), date(2026, 7, 29)
@@ -236,6 +238,35 @@ def latest_partition_ymd(spark, sf_dir):
     return rows.withColumns({"snapshot_path": F.lit(newest.path), "n_snapshots": F.lit(n_snapshots).cast("bigint")})
 
 
+def silver_versions(spark, sf_dir):
+    """A versioned Silver table that is built, replaced, added to and changed by month: what each of its versions holds."""
+    lake, months = staging_path(spark, "query-versions"), ("inspection_year", "inspection_month")
+    bronze, path = fixtures.inspection(spark, sf_dir), f"{lake}/inspection"
+    earlier = _month_earlier(bronze)
+    build_silver(earlier, path, partition_by=months, versioned=True)
+    build_silver(bronze, path, partition_by=months)
+    build_silver(earlier, path, mode="append", partition_by=months)
+    build_silver(bronze.where("id % 2 = 0"), path, partition_by=months, replace_partitions=True)
+    held = [versions.read_version(spark, path, n).select(F.lit(n).alias("version"), "inspection_month", "temperature_max") for n in (1, 2, 3, 4)]
+    rows = held[0].union(held[1]).union(held[2]).union(held[3])
+    return rows.groupBy("version", "inspection_month").agg(F.count("*").alias("n_rows"), F.sum("temperature_max").alias("temperatures"))
+
+
+def rejected(spark, sf_dir):
+    """What a versioned Silver run has rejected, and why."""
+    path = f"{staging_path(spark, 'query-rejected')}/inspection"
+    build_silver(fixtures.inspection(spark, sf_dir), path, versioned=True)
+    return rejected_rows(spark, path).select("id", "date", "zone", "instal", "reason", "copies")
+
+
+def maintenance_indicators(spark, sf_dir):
+    return indicators.indicators(silver(spark, sf_dir), limits=ALARMS)
+
+
+def equipment_alerts(spark, sf_dir):
+    return alerts.alerts(silver(spark, sf_dir), limits=ALARMS)
+
+
 def pk_duplicates(spark, sf_dir):
     return quality.duplicate_keys(fixtures.inspection(spark, sf_dir), INSPECTION.key)
 
@@ -286,6 +317,10 @@ def core_queries() -> dict[str, Query]:
         "bronze_roundtrip": bronze_roundtrip,
         "latest_partition": latest_partition,
         "latest_partition_ymd": latest_partition_ymd,
+        "silver_versions": silver_versions,
+        "rejected": rejected,
+        "maintenance_indicators": maintenance_indicators,
+        "alerts": equipment_alerts,
         "pk_duplicates": pk_duplicates,
         "future_dates": future_dates,
         "flag_domain": flag_domain,
@@ -412,6 +447,64 @@ UNION ALL SELECT 'missing_critical', critical FROM counts
 UNION ALL SELECT 'kept', distinct_rows - missing_id - missing_date - critical FROM counts"""
 
 
+def _moved(condition: str = "true", days: int = 0) -> str:
+    """Silver rows of the inspections that meet a condition, dated some days earlier."""
+    raw = f"(SELECT * REPLACE (date - INTERVAL {days} DAY AS date) FROM ({_RAW}) r WHERE {condition}) raw"
+    return _SILVER.replace(f"({_RAW}) raw", raw)
+
+
+_REJECTED = f"""
+WITH judged AS (
+  SELECT *, CASE WHEN id IS NULL THEN 'missing_id' WHEN date IS NULL THEN 'missing_date'
+    WHEN zone IS NULL OR instal IS NULL THEN 'missing_critical' END AS reason
+  FROM (SELECT {_columns(_trimmed())}, copies FROM (SELECT *, count(*) AS copies FROM ({_RAW}) raw GROUP BY ALL) counted) trimmed
+)
+SELECT id, date, zone, upper(instal) AS instal, reason, copies FROM judged WHERE reason IS NOT NULL"""
+
+_HOT, _SHAKING = f"coalesce(temperature_max > {ALARMS['temperature']}, false)", f"coalesce(vibration_max > {ALARMS['vibration']}, false)"
+_FLAGGED = f"({' OR '.join(f'{c} = 1' for c in _FLAGS)})"
+_INDICATORS = f"""
+WITH rows AS (SELECT *, instal AS equipment, CAST(date_trunc('month', date) AS DATE) AS month FROM ({_SILVER}) silver)
+SELECT ['equipment_month', 'equipment', 'month', 'all'][1 + grouping(equipment, month)] AS level, equipment, month,
+  count(*) AS n_inspections, count(*) FILTER (WHERE {_HOT}) AS n_hot, count(*) FILTER (WHERE {_SHAKING}) AS n_shaking,
+  count(*) FILTER (WHERE {_FLAGGED}) AS n_flagged, count(*) FILTER (WHERE {_HOT} OR {_SHAKING} OR {_FLAGGED}) AS n_alarming,
+  CAST(count(*) FILTER (WHERE {_HOT} OR {_SHAKING} OR {_FLAGGED}) AS DOUBLE) / count(*) AS alarm_ratio,
+  min(date) AS first_seen, max(date) AS last_seen,
+  CASE WHEN count(date) > 1 THEN CAST(epoch_us(max(date)) - epoch_us(min(date)) AS DOUBLE) / 3.6e9 / (count(date) - 1) END AS mean_gap_hours,
+  max(temperature_max) AS temperature_peak, max(vibration_max) AS vibration_peak,
+  sum(temperature_mean) / count(temperature_mean) AS temperature_mean
+FROM rows GROUP BY GROUPING SETS ((equipment, month), (equipment), (month), ())"""
+
+_ALERTS = f"""
+WITH readings AS (
+  SELECT instal AS equipment, date AS seen, id, temperature_max AS t, vibration_max AS v FROM ({_SILVER}) silver WHERE date IS NOT NULL
+), marked AS (
+  SELECT *, sum(CASE WHEN coalesce(t > {ALARMS['temperature']}, false) THEN 0 ELSE 1 END) OVER w AS t_quiet,
+    sum(CASE WHEN coalesce(v > {ALARMS['vibration']}, false) THEN 0 ELSE 1 END) OVER w AS v_quiet
+  FROM readings WINDOW w AS (PARTITION BY equipment ORDER BY seen, id NULLS FIRST, t NULLS FIRST, v NULLS FIRST ROWS UNBOUNDED PRECEDING)
+), runs AS (
+  SELECT equipment, 'temperature' AS feature, t_quiet AS quiet, seen, t AS value, {ALARMS['temperature']} AS bar FROM marked WHERE t > {ALARMS['temperature']}
+  UNION ALL SELECT equipment, 'vibration', v_quiet, seen, v, {ALARMS['vibration']} FROM marked WHERE v > {ALARMS['vibration']}
+)
+SELECT equipment, feature, min(seen) AS started, max(seen) AS ended, count(*) AS n_inspections, max(value) AS peak,
+  CASE WHEN max(value) >= max(bar) * CAST(1.1 AS DOUBLE) THEN 'critical' ELSE 'warning' END AS severity
+FROM runs GROUP BY equipment, feature, quiet"""
+
+
+def _versions_rows() -> str:
+    """By version the rows of the table: the earlier month, the month, both, and both with half the month's rows."""
+    held = [
+        (1, _moved(days=31)),
+        (2, _moved()),
+        (3, f"SELECT * FROM ({_moved()}) a UNION ALL SELECT * FROM ({_moved(days=31)}) b"),
+    ]
+    half = _moved("id % 2 = 0")
+    kept = f"SELECT * FROM ({held[2][1]}) whole WHERE (inspection_year, inspection_month) NOT IN (SELECT (inspection_year, inspection_month) FROM ({half}) h)"
+    held.append((4, f"{kept} UNION ALL SELECT * FROM ({half}) changed"))
+    rows = " UNION ALL ".join(f"SELECT {n} AS version, inspection_month, temperature_max FROM ({sql}) v{n}" for n, sql in held)
+    return f"SELECT version, inspection_month, count(*) AS n_rows, sum(temperature_max) AS temperatures FROM ({rows}) held GROUP BY ALL"
+
+
 def core_oracle_sql() -> dict[str, str]:
     profiled = [c for c in INSPECTION.columns if c not in INSPECTION.null_exempt]
     measures = ", ".join(c for c in _MEASURES if c not in ("t_av", "t_ar"))
@@ -460,6 +553,10 @@ FROM (
         "FROM events WHERE CAST(ts AS DATE) = (SELECT CAST(max(ts) AS DATE) FROM events)",
         "latest_partition_ymd": "SELECT *, CAST(3 AS BIGINT) AS n_snapshots, 'orders/2026/07/29' AS snapshot_path "
         "FROM orders WHERE o_orderstatus = 'P'",
+        "silver_versions": _versions_rows(),
+        "rejected": _REJECTED,
+        "maintenance_indicators": _INDICATORS,
+        "alerts": _ALERTS,
         "pk_duplicates": f"SELECT id, count(*) AS n_rows FROM ({_RAW}) raw "
         "WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1",
         "future_dates": _report(_RAW, {"date": _count(f"date > TIMESTAMP '{AS_OF}'", "future_count")}),

@@ -41,6 +41,8 @@ def parser() -> argparse.ArgumentParser:
     bronze.add_argument("--table", default=INSPECTION.name)
     bronze.add_argument("--partition-column", default="id", help="'' reads in a single query")
     bronze.add_argument("--num-partitions", type=int, default=16)
+    bronze.add_argument("--split", choices=("even", "equi_depth"), default="even", help="how the partition column is cut into ranges")
+    bronze.add_argument("--high-water", action="store_true", help="stop all ranges at the highest key found first")
     bronze.add_argument("--day", type=date.fromisoformat, help="snapshot date, today in UTC by default")
 
     silver = commands.add_parser("transform", parents=[common], help="latest Bronze snapshot to Silver")
@@ -75,6 +77,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
             layout=args.layout,
             partition_column=args.partition_column or None,
             num_partitions=args.num_partitions,
+            split=args.split,
+            high_water=args.high_water,
             versioned=args.versioned,
             properties=credentials(),
         )
