@@ -135,7 +135,7 @@ def train(docs: DataFrame, text_column: str = "text", lang_column: str = "lang",
     each = max(1, sample_rows // len(sizes))
     rate = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, each / n))])
     draw = F.pmod(F.xxhash64("text", F.lit("language")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    picked = rows.where(draw <= rate[F.col("lang")]).dropDuplicates().mapInArrow(_featurised, "lang string, features binary").limit(2 * sample_rows)
+    picked = rows.where(draw <= rate[F.col("lang")]).dropDuplicates().mapInArrow(_featurised, "lang string, features binary")
     found = sorted((r["lang"], bytes(r["features"])) for r in picked.collect())
     if not found:
         return None

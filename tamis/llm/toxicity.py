@@ -4,9 +4,10 @@ A word enters as a trained vector of its hash and the maximum, by dimension, of
 trained vectors of its character 3- to 7-grams (in UTF-8). Forward and backward GRUs run over windows of `WIDTH`
 words, every `STRIDE` words; attention pools the states of a window into a
 logit. A document takes its highest window, mapped to a probability by a logistic
-fit. Training takes at most `SAMPLE_DOCS` documents of each label and
-`SAMPLE_WINDOWS` windows of each (documented bounds); scoring takes all windows of
-all texts. A toxic document need not be toxic throughout: it trains with its
+fit. Training takes at most `SAMPLE_DOCS` documents of each label (a documented
+bound), counts word odds over their whole texts, and of longer ones trains with
+`SAMPLE_WINDOWS` windows, the strongest and others from all over the text; scoring takes
+all windows of all texts. A toxic document need not be toxic throughout: it trains with its
 highest window only, found first by word odds, later by the network itself.
 """
 
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamis.llm.arrays import concat, mix, spread, window_hashes, word_bounds, word_hashes
+from tamis.llm.scratch import written
 
 SAMPLE_DOCS, SAMPLE_WINDOWS = 1500, 48
 WIDTH, STRIDE = 32, 16
@@ -240,7 +242,7 @@ def fit(texts: list[bytes], labels: np.ndarray, toxic_share: float) -> ToxicityM
 
     doc, place = windows(words)
     place = np.append(words.index, len(words.buckets)).astype(np.int32)[place]
-    strength = np.append(np.maximum(odds[words.buckets], _per_word(gram_odds[words.grams], words)), 0)[place].max(axis=1)
+    strength = _strength(words, odds, gram_odds)
     network, rng = Network.fresh(odds, gram_odds), np.random.default_rng(3)
     adam, squares = _Adam(), {"word": np.full((WORDS + 1, 1), 1e-3), "gram": np.full((GRAMS, 1), 1e-3)}
     order = np.arange(len(doc))
@@ -271,21 +273,26 @@ def fit(texts: list[bytes], labels: np.ndarray, toxic_share: float) -> ToxicityM
     return ToxicityModel(network, *_calibrated(top, labels, toxic_share))
 
 
-def _odds(words: Words, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """By bucket of words and of n-grams, how much likelier toxic texts hold one than others; 0 without several texts to show it."""
+def _counts(words: Words, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """By label and bucket of words and of n-grams, how many texts hold one."""
     size = np.diff(words.gram_at)
-    tables = [np.zeros((2, WORDS + 1)), np.zeros((2, GRAMS))]
+    tables = np.zeros((2, WORDS + 1)), np.zeros((2, GRAMS))
     for label, a, b in zip((labels > 0).astype(int).tolist(), words.at[:-1].tolist(), words.at[1:].tolist(), strict=True):
         own = np.unique(words.index[a:b])
         tables[0][label, np.unique(words.buckets[own])] += 1
         tables[1][label, np.unique(words.grams[spread(words.gram_at[own], size[own])])] += 1
-    total = [max(1, int((labels > 0).sum())), max(1, int((labels == 0).sum()))]
+    return tables
+
+
+def _log_odds(without: np.ndarray, with_it: np.ndarray, n_fine: int, n_toxic: int) -> np.ndarray:
+    """By bucket, how much likelier toxic texts hold one than others; 0 without several texts to show it."""
+    found = np.log((with_it + 1) / (max(1, n_toxic) + 2)) - np.log((without + 1) / (max(1, n_fine) + 2))
+    return np.maximum(found, 0) * np.minimum(1, with_it / 8)
 
-    def odds(without: np.ndarray, with_it: np.ndarray) -> np.ndarray:
-        found = np.log((with_it + 1) / (total[0] + 2)) - np.log((without + 1) / (total[1] + 2))
-        return np.maximum(found, 0) * np.minimum(1, with_it / 8)
 
-    return odds(*tables[0]), odds(*tables[1])
+def _odds(words: Words, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    n_toxic = int((labels > 0).sum())
+    return tuple(_log_odds(*table, len(labels) - n_toxic, n_toxic) for table in _counts(words, labels))
 
 
 def _subset(words: Words, used: np.ndarray) -> Words:
@@ -319,33 +326,90 @@ def _calibrated(top: np.ndarray, labels: np.ndarray, toxic_share: float) -> tupl
     return a / scale, b - a * centre / scale
 
 
-def _sampled(batches):
-    """Of each text the words of up to `SAMPLE_WINDOWS` windows from a place that its hash chooses."""
-    most = STRIDE * (SAMPLE_WINDOWS + 1)
+def _strength(words: Words, odds: np.ndarray, gram_odds: np.ndarray) -> np.ndarray:
+    """The strongest sign of toxicity in each window, by the odds of its words and n-grams."""
+    best = np.maximum(odds[words.buckets], _per_word(gram_odds[words.grams], words))
+    return np.append(best, 0)[np.append(words.index, len(words.buckets))[windows(words)[1]]].max(axis=1)
+
+
+def _counted(batches):
+    """How many texts of each label hold a bucket of words (kind 0) or n-grams (kind 1), summed up within the task."""
+    totals = {0: np.zeros((2, WORDS + 1), np.int64), 1: np.zeros((2, GRAMS), np.int64)}
     for batch in batches:
-        out = []
-        for text in batch.column(1).to_pylist():
-            words = (text or "").encode().split()
-            start = hash(len(words)) * 7919 % max(1, len(words) - most + 1)
-            out.append(b" ".join(words[start : start + most]))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["toxic", "text"])
+        labels = batch.column(0).to_numpy(zero_copy_only=False)
+        words = split_words([x.as_buffer().to_pybytes() for x in batch.column(1)])
+        for kind, counts in enumerate(_counts(words, labels)):
+            totals[kind] += counts.astype(np.int64)
+    for kind, counts in totals.items():
+        label, bucket = np.nonzero(counts)
+        columns = [np.full(len(label), kind), label, bucket, counts[label, bucket]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["kind", "toxic", "bucket", "n"])
+
+
+def _excerpts(odds: np.ndarray, gram_odds: np.ndarray):
+    """Of a text of more than `SAMPLE_WINDOWS` windows the strongest half of that many, and others spread over all of it, in order."""
+
+    def cut(batches):
+        for batch in batches:
+            out = []
+            for text in (x.as_buffer().to_pybytes() for x in batch.column(1)):
+                words = split_words([text])
+                many = len(windows(words)[0])
+                if many > SAMPLE_WINDOWS:
+                    strong = np.argsort(-_strength(words, odds, gram_odds), kind="stable")[: SAMPLE_WINDOWS // 2]
+                    even = np.linspace(0, many - 1, SAMPLE_WINDOWS - len(strong)).astype(np.int64)
+                    chosen = np.union1d(strong, even)
+                    place = np.unique((chosen[:, None] * STRIDE + np.arange(WIDTH)).ravel())
+                    data, bounds = concat([text])
+                    starts, ends = word_bounds(data, bounds[:-1], _NOT_WORD)
+                    text = b" ".join(text[starts[p] : ends[p]] for p in place[place < len(starts)].tolist())
+                out.append(text)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["toxic", "text"])
+
+    return cut
+
+
+def drawn(labels: DataFrame, id_column: str = "doc_id", label_column: str = "toxic", sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """Ids to learn from, at most `sample_docs` of each label, 0 or 1, drawn by a hash: `doc_id`, `toxic`, and `share`, that of toxic rows among all."""
+    rows = labels.select(F.col(id_column).alias("doc_id"), F.col(label_column).cast("int").alias("toxic")).where("doc_id IS NOT NULL AND toxic IN (0, 1)")
+    place = F.xxhash64("doc_id", F.lit("toxicity"))
+    some = [rows.where(F.col("toxic") == t).dropDuplicates().orderBy(place, "doc_id").limit(sample_docs) for t in (0, 1)]
+    return some[0].union(some[1]).crossJoin(F.broadcast(rows.agg(F.avg("toxic").alias("share"))))  # one row
 
 
 def train(labelled: DataFrame, text_column: str = "text", label_column: str = "toxic", sample_docs: int = SAMPLE_DOCS) -> ToxicityModel | None:
-    """Learn from rows with a text and label 0 or 1; None unless both labels occur."""
-    rows = labelled.select(F.col(label_column).cast("int").alias("toxic"), F.col(text_column).alias("text"))
+    """Learn from rows with a text and label 0 or 1; None unless both labels occur.
+
+    Takes `sample_docs` different texts of each label, by a hash. Where `labelled` is itself
+    a sample, a column `share` says which share of all labelled rows is toxic. Long texts
+    train with windows from all over them (`_excerpts`), found by odds that count whole texts.
+    """
+    rows = labelled.select(
+        F.col(label_column).cast("int").alias("toxic"),
+        F.col(text_column).cast("string").alias("text"),
+        (F.col("share") if "share" in labelled.columns else F.lit(None)).cast("double").alias("share"),
+    )
     rows = rows.where("toxic IN (0, 1) AND length(text) > 0")
-    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["toxic"]: (r["n"], r["share"]) for r in rows.groupBy("toxic").agg(F.count("*").alias("n"), F.max("share").alias("share")).collect()}
     if len(sizes) < 2:
         return None
-    draw = F.pmod(F.xxhash64("text", F.lit("toxicity")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    rate = F.when(F.col("toxic") == 1, min(1.0, sample_docs / sizes[1])).otherwise(min(1.0, sample_docs / sizes[0]))
-    picked = rows.where(draw <= rate).dropDuplicates().mapInArrow(_sampled, "toxic int, text binary").limit(4 * sample_docs)
-    found = sorted((int(r["toxic"]), bytes(r["text"])) for r in picked.collect())
-    labels = np.array([toxic for toxic, _ in found])
-    if len(set(labels.tolist())) < 2:
+    share = sizes[1][1] if sizes[1][1] is not None else sizes[1][0] / (sizes[0][0] + sizes[1][0])
+    place = F.xxhash64("text", F.lit("toxicity"))
+    rate = F.create_map(*[F.lit(x) for t, (n, _) in sizes.items() for x in (t, min(1.0, 1.5 * sample_docs / n))])
+    likely = F.pmod(place, F.lit(1 << 20)) / F.lit(float(1 << 20)) <= rate[F.col("toxic")]
+    some = [rows.where((F.col("toxic") == t) & likely).select("toxic", "text").dropDuplicates().orderBy(place, "text").limit(sample_docs) for t in (0, 1)]
+    picked = written(some[0].union(some[1]).select("toxic", F.col("text").cast("binary").alias("text")), "labelled")
+
+    counts = picked.mapInArrow(_counted, "kind long, toxic long, bucket long, n long").groupBy("kind", "toxic", "bucket").agg(F.sum("n").alias("n"))
+    tables = [np.zeros((2, WORDS + 1)), np.zeros((2, GRAMS))]  # of fixed size
+    for r in counts.collect():
+        tables[r["kind"]][r["toxic"], r["bucket"]] = r["n"]
+    taken = {r["toxic"]: r["n"] for r in picked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    if len(taken) < 2:
         return None
-    return fit([text for _, text in found], labels, sizes[1] / (sizes[0] + sizes[1]))
+    odds = [_log_odds(*table, taken[0], taken[1]) for table in tables]
+    found = sorted((int(r["toxic"]), bytes(r["text"])) for r in picked.mapInArrow(_excerpts(*odds), "toxic int, text binary").collect())
+    return fit([text for _, text in found], np.array([toxic for toxic, _ in found]), share)
 
 
 def score(docs: DataFrame, model: ToxicityModel | None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -76,6 +76,40 @@ def test_toxicity_edge_cases(frame, awkward, nothing):
     assert toxicity.score(nothing, model).count() == 0
 
 
+def test_long_texts_train_with_windows_from_all_over(frame):
+    """The only toxic passage of a long text stands anywhere in it."""
+    rng, rows = random.Random(4), []
+    for i in range(240):
+        words = text_of("aa", rng, 4000 if i % 6 == 0 else 120).split()
+        if i % 3 == 0:
+            at = rng.randrange(len(words) - 3)
+            words[at : at + 3] = ["vileword", "nasty!", "grubbex"]
+        rows.append((i, " ".join(words), int(i % 3 == 0)))
+    docs = frame("doc_id long, text string, toxic int", rows)
+    strong = toxicity._excerpts(np.zeros(toxicity.WORDS + 1), np.zeros(toxicity.GRAMS))
+    model = toxicity.train(docs.where(~toxicity.held_out()))
+    found = {r.doc_id: r.predicted for r in toxicity.score(docs, model).collect()}
+    assert np.mean([found[i] == label for i, _, label in rows]) >= 0.95
+    import pyarrow as pa
+
+    long = " ".join(f"w{k}" for k in range(5000)).encode()
+    cut = next(strong(iter([pa.RecordBatch.from_arrays([pa.array([0, 0], pa.int32()), pa.array([long, b"short text!"])], names=["toxic", "text"])])))
+    kept = cut.column(1).to_pylist()
+    places = sorted(int(w[1:]) for w in kept[0].split())
+    assert kept[1] == b"short text!" and len(places) <= 48 * 32 and places[0] == 0 and places[-1] == 4999
+    assert max(b - a for a, b in zip(places, places[1:], strict=False)) < 250
+
+
+def test_drawn_labels_are_bounded_and_say_the_share(frame):
+    rows = [(i, int(i % 10 == 0)) for i in range(500)] + [(None, 1), (7, None), (8, 5), (3, 0), (3, 0)]
+    labels = frame("doc_id long, toxic int, share string", [(*r, "x") for r in rows])
+    found = toxicity.drawn(labels, sample_docs=30).collect()
+    assert sorted(r.toxic for r in found) == [0] * 30 + [1] * 30
+    assert {r.share for r in found} == {50 / 502}
+    assert {tuple(r) for r in toxicity.drawn(labels.repartition(5), sample_docs=30).collect()} == {tuple(r) for r in found}
+    assert toxicity.drawn(labels.limit(0)).count() == 0
+
+
 def test_gradients():
     """Backward against differences, in double precision."""
     words = toxicity.split_words([b"some words of which three words repeat", b"more of some others"])
