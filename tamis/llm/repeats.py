@@ -16,7 +16,7 @@ Shared by the suffix-array operator (bytes) and the substring operator (words).
 
 A task holds one block, or one bucket; the number of buckets grows with the
 corpus. No group of equal windows meets anywhere but as one entry per block.
-Names have the bucket's bits and 48 more of a 64-bit hash.
+Window names are compared in all of their 64 bits, the bucket's and the rest.
 """
 
 from __future__ import annotations
@@ -198,7 +198,8 @@ class Block:
         return gone | np.repeat(self.copy & (self.sizes >= self.rule.width), self.sizes)
 
 
-_SAMPLE_BITS, _NAME_BITS = 32, 48
+# of a sample's name so many bits that few others agree: those only make candidates; of a window's all that the bucket leaves
+_SAMPLE_BITS, _NAME_BITS = 24, 54
 
 
 def _slices(values: np.ndarray, buckets: int, keep: int) -> Iterator[tuple[int, slice, np.ndarray]]:
