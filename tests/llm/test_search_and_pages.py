@@ -116,6 +116,32 @@ def test_constant_blocks_go_and_varying_ones_stay_by_any_name(frame):
     assert {r.page_id: r.text for r in found} == expected
 
 
+@pytest.mark.parametrize("tag", ["article", "div", "main"])
+def test_headings_that_all_articles_have_stay(frame, tag):
+    rows, expected = [], {}
+    for k in range(6):
+        a, b = prose(k + 300, 30), prose(k + 400, 25)
+        rows.append((k, "https://heads.example/x", f"<html><body><nav>{prose(k, 4)}</nav><{tag} id=x><h2>Introduction</h2><p>{a}</p><h3>Results</h3><p>{b}</p></{tag}></body></html>"))
+        expected[k] = f"Introduction\n{a}\nResults\n{b}"
+    found = html_extraction.extract(frame("page_id long, url string, html string", rows)).collect()
+    assert {r.page_id: r.text for r in found} == expected
+
+
+def test_what_is_apart_stays_so_however_deep(frame):
+    deep = "<div>" * 250
+    rows = [(1, "https://deep.example/1", f"<body>{deep}<p>kept</p><nav>menu <b>bold</b></nav><div class=ad>advert<p>more</p></div>also kept</div></body>after")]
+    assert html_extraction.extract(frame("page_id long, url string, html string", rows)).first().text == "kept\nalso kept\nafter"
+
+
+def test_long_lists_are_aligned_in_linear_time():
+    import time
+
+    lists = ["<ul>" + "".join(f"<li class=c{k % 3}><a>{site} {k}</a></li>" for k in range(4000)) + "</ul>" for site in "ab"]
+    start = time.time()
+    size, pairs = dom.match_trees(dom.parse(lists[0]), dom.parse(lists[1]))
+    assert size == 2 + 8000 and all(a.sign == b.sign for a, b in pairs) and time.time() - start < 5
+
+
 def test_copies_of_one_article_are_no_template(frame):
     text = prose(7700, 200)
     rows = [(k, f"https://one.example/{k}", f"<html><body><nav>{prose(k, 4)}</nav><div><p>{text}</p><p>{prose(k + 50, 5)}</p></div></body></html>") for k in range(3)]
