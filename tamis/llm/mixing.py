@@ -9,8 +9,9 @@ Built-in expressions only.
    of the targets. The few draws by which a source misses its number of slots
    are passed on to sources that lack some.
 3. Slot j of a source takes the block at j of a pseudorandom permutation of its
-   blocks, a new one for each round through the source. Slots and documents meet
-   in a join by source and block.
+   blocks, a new one for each round through the source: `ROUNDS` rounds of
+   swap-or-not, each of which mirrors about half the places at a keyed centre. Slots
+   and documents meet in a join by source and block.
 
 Only ids, sizes and block numbers are shuffled; a source with a third of all
 words is spread over chunks, shards and blocks like any other.
@@ -22,13 +23,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tamis.llm.bits import let
 from tamis.llm.scratch import written
 
 WEIGHTS = (3, 1, 2)
 SHARE, MOST = 1.5, 2
 BLOCK, CHUNKS, SHARDS = 64, 1024, 256
-# Two primes, larger than any number of blocks, that make the permutations.
-PRIMES = (2**61 - 1, 2**59 - 55)
+# Rounds of the permutations; a number of slots that one task numbers.
+ROUNDS, CELL = 16, 1 << 16
+# A prime for arithmetic that fits 64 bits, and multipliers.
+PRIME, FACTORS = (1 << 31) - 1, (48271, 69621)
 WORD = r"[^\x20\x09-\x0D]+"
 
 def _before(value: Column, part: list[str], *order: Column) -> Column:
@@ -99,13 +103,29 @@ def draws(sources: DataFrame, shards: int = SHARDS) -> DataFrame:
     return both.withColumn("first", _before(F.col("n"), ["ordinal"], F.col("shard")))
 
 
-def _block_of(slot: Column, blocks: Column, ordinal: Column) -> Column:
-    """The block that a slot takes: an affine permutation by source and round."""
-    whole = "decimal(19,0)"
-    rounds = F.floor(slot / blocks)
-    step = F.when(rounds % 2 == 0, F.lit(PRIMES[0]) % blocks).otherwise(F.lit(PRIMES[1]) % blocks)
-    moved = (slot % blocks).cast(whole) * step.cast(whole) + (ordinal * 7919 + rounds * 104729 + 1).cast(whole)
-    return (moved % blocks.cast(whole)).cast("long")
+def hashed(value: Column, key: Column) -> Column:
+    """A number from 0 to PRIME - 1 of a whole number below 2**62 and a key, in arithmetic that any SQL has."""
+    low, high = value.bitwiseAND(PRIME), F.shiftright(value, 31)
+    first = (low * FACTORS[0] + high * FACTORS[1] + key) % PRIME
+    return let(first, lambda h: (((h * h + key) % PRIME) * ((h * h + key) % PRIME) + h) % PRIME)
+
+
+def block_of(slot: Column, blocks: Column, ordinal: Column) -> Column:
+    """The block that a slot takes: a permutation of the blocks, by source and round through it."""
+    turn = F.floor(slot / blocks)
+    seed = ((ordinal * 1_000_003 + turn * 8191) % PRIME).cast("long")
+
+    def swapped(place: Column, number: Column) -> Column:
+        key = (seed + number * 7919) % PRIME
+        centre = (hashed(key, F.lit(1).cast("long")) * PRIME + hashed(key, F.lit(2).cast("long"))) % blocks
+
+        def choose(mirrored: Column) -> Column:
+            return F.when(hashed(F.greatest(place, mirrored), key) % 2 == 1, mirrored).otherwise(place)
+
+        return let((centre + blocks - place) % blocks, choose)
+
+    numbers = F.sequence(F.lit(1).cast("long"), F.lit(ROUNDS).cast("long"))
+    return F.aggregate(numbers, (slot % blocks).cast("long"), swapped)
 
 
 def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source") -> tuple[DataFrame, DataFrame]:
@@ -127,7 +147,7 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
         F.col(source_column).cast("string").alias("source"),
         F.coalesce(F.regexp_count(text_column, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
     )
-    chunk = F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(CHUNKS))
+    chunk = hashed(F.coalesce("doc_id", "size").bitwiseAND((1 << 62) - 1), F.lit(3).cast("long")) % CHUNKS
     sized = written(sized.withColumn("chunk", chunk).withColumn("key", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))), "sized")
 
     chunks = sized.groupBy("source", "key", "chunk").agg(F.sum("size").alias("chunk_size"))
@@ -145,9 +165,14 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
     parts = parts.withColumn("first", begin - F.col("start"))
     parts = parts.withColumn("words", F.least(high, (F.col("block") + 1) * BLOCK) - begin)
 
+    total = sources.agg(F.sum("slots")).first()[0] or 0
     slots = draws(sources).join(sources.select("ordinal", "blocks"), "ordinal")
-    slots = slots.select("ordinal", "shard", "blocks", F.explode(F.expr("sequence(first, first + n - 1)")).alias("slot"))
-    slots = slots.select("ordinal", "shard", "slot", _block_of(F.col("slot"), F.col("blocks"), F.col("ordinal")).alias("block"))
+    # the few rows of draws are cut into cells first, so that many tasks number the slots
+    cells = F.explode(F.expr(f"sequence(0, (n - 1) div {CELL // 64})")).alias("cell")
+    slots = slots.select("ordinal", "shard", "blocks", "first", "n", cells).repartition(max(1, -(-total // CELL)), "ordinal", "shard", "cell")
+    begin, end = F.col("first") + F.col("cell") * (CELL // 64), F.col("first") + F.least("n", (F.col("cell") + 1) * (CELL // 64)) - 1
+    slots = slots.select("ordinal", "shard", "blocks", F.explode(F.sequence(begin, end)).alias("slot"))
+    slots = slots.select("ordinal", "shard", "slot", block_of(F.col("slot"), F.col("blocks"), F.col("ordinal")).alias("block"))
     pieces = slots.join(parts, ["ordinal", "block"])
 
     taken = pieces.groupBy("ordinal", F.col("start").alias("at")).agg(F.sum("words").alias("taken"))

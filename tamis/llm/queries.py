@@ -217,12 +217,28 @@ SELECT d.doc_id, CAST(n AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BI
 FROM d JOIN kept USING (doc_id) LEFT JOIN totals USING (doc_id)
 """
 
+
+
+def _hashed(value: str, key: str) -> str:
+    """The arithmetic of `mixing.hashed`."""
+    p, (a, b) = mixing.PRIME, mixing.FACTORS
+    first = f"(((({value}) & {p}) * {a} + (({value}) >> 31) * {b} + ({key})) % {p})"
+    square = f"(({first} * {first} + ({key})) % {p})"
+    return f"(({square} * {square} + {first}) % {p})"
+
+
+def _swapped() -> str:
+    """One round of `mixing.block_of`: `x` the place, `r` the round, `seed` and `blocks` of the slot."""
+    key = f"((seed + r * 7919) % {mixing.PRIME})"
+    mirrored = f"(({_hashed(key, '1')} * {mixing.PRIME} + {_hashed(key, '2')}) % blocks + blocks - x) % blocks"
+    return f"CASE WHEN {_hashed(f'greatest(x, {mirrored})', key)} % 2 = 1 THEN {mirrored} ELSE x END"
+
+
 # The slots of a source are numbered through whatever shards they fall into, so shards don't matter here.
 _OP2 = f"""
 WITH sized AS (
-    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{mixing.WORD}')) AS size,
-      ((coalesce(doc_id, 0) % {mixing.CHUNKS}) + {mixing.CHUNKS}) % {mixing.CHUNKS} AS chunk
-    FROM documents
+    SELECT doc_id, source, size, {_hashed(f"coalesce(doc_id, size) & {(1 << 62) - 1}", "3")} % {mixing.CHUNKS} AS chunk
+    FROM (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{mixing.WORD}')) AS BIGINT) AS size FROM documents) d
 ), sources AS (
     SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS ordinal FROM sized GROUP BY source
 ), weighed AS (
@@ -242,9 +258,8 @@ WITH sized AS (
     SELECT ordinal, blocks, unnest(range(slots)) AS slot FROM planned
 ), times AS (
     SELECT ordinal, block, count(*) AS times FROM (
-      SELECT ordinal, CAST((CAST(slot % blocks AS HUGEINT) * CAST(CASE WHEN (slot // blocks) % 2 = 0 THEN {mixing.PRIMES[0]} % blocks ELSE {mixing.PRIMES[1]} % blocks END AS HUGEINT)
-        + ordinal * 7919 + (slot // blocks) * 104729 + 1) % blocks AS BIGINT) AS block
-      FROM slots) s GROUP BY ALL
+      SELECT ordinal, list_reduce(list_prepend(CAST(slot % blocks AS BIGINT), CAST(range(1, {mixing.ROUNDS + 1}) AS BIGINT[])), lambda x, r: {_swapped()}) AS block
+      FROM (SELECT *, CAST((ordinal * 1000003 + (slot // blocks) * 8191) % {mixing.PRIME} AS BIGINT) AS seed FROM slots) seeded) s GROUP BY ALL
 ), placed AS (
     SELECT *, CAST(sum(size) OVER (PARTITION BY source ORDER BY chunk, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS start, row_number() OVER () AS k
     FROM sized

@@ -151,6 +151,19 @@ def test_mixture(sources):
     assert max(slots.values()) == mixing.BLOCK
 
 
+@pytest.mark.parametrize("blocks", [1, 2, 7, 8, 64, 100, 1023, 1024, 4096])
+def test_slots_take_every_block_once_a_round_in_no_order(spark, blocks):
+    slots = spark.range(2 * blocks).select("id", mixing.block_of(F.col("id"), F.lit(blocks).cast("long"), F.lit(3).cast("long")).alias("block"))
+    taken = [r.block for r in slots.orderBy("id").collect()]
+    rounds = taken[:blocks], taken[blocks:]
+    assert all(sorted(r) == list(range(blocks)) for r in rounds)
+    if blocks >= 64:
+        steps = Counter((b - a) % blocks for a, b in zip(rounds[0], rounds[0][1:], strict=False))
+        assert max(steps.values()) < 8 + blocks / 50 and rounds[0] != rounds[1]
+        # as many places rise as fall, and neighbours are far apart
+        assert 0.3 < sum(b > a for a, b in zip(taken, taken[1:], strict=False)) / len(taken) < 0.7
+
+
 def test_mixing_awkward_rows(awkward, nothing):
     documents, pieces = mixing.mix(awkward)
     rows = documents.collect()
