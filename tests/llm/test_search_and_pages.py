@@ -193,6 +193,33 @@ def test_pipeline(spark):
     assert {r.doc_id for r in mixed} <= left and all(len(r.text.split()) == r.words for r in mixed)
 
 
+def test_runs_in_one_session_keep_their_own_tables(awkward, spark, tmp_path):
+    """Stages of two runs by turns; each deletes only what its own run has left."""
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    made = {}
+    for name in ("one", "two"):
+        awkward.select(*columns).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        made[name] = spark.read.parquet(f"{tmp_path}/{name}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    near = {name: stages["near_duplicates"](spark, docs, f"{tmp_path}/{name}") for name, docs in made.items()}
+    mixed = stages["mixture"](spark, made["two"], f"{tmp_path}/two")
+    assert near["one"].count() > 0 and mixed.count() > 0
+    corpus_pipeline.scratch.delete(spark, corpus_pipeline._held.pop((__import__("threading").get_ident(), f"{tmp_path}/one")))
+
+
+def test_recorded_tables_are_deleted_from_the_catalog(spark, frame):
+    import os
+
+    from tamis.llm import scratch, substring_dedup
+
+    before = {t.name for t in spark.catalog.listTables()}
+    with scratch.recorded() as tables:
+        assert substring_dedup.remove_repeated_passages(frame("doc_id long, text string", [(1, "a b")])).count() == 1
+    assert {t.name for t in spark.catalog.listTables()} - before == {t for t in tables.values() if t}
+    scratch.delete(spark, tables)
+    assert {t.name for t in spark.catalog.listTables()} == before and not any(os.path.exists(p) for p in tables)
+
+
 def test_pipeline_of_awkward_rows(awkward, nothing, spark, tmp_path):
     path = str(tmp_path)
     spark.read.parquet(f"{SF_DIR}/benchmark.parquet").write.parquet(f"{path}/benchmark.parquet")
