@@ -2,13 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir), with docs as the stage before left them
 in Parquet, and returns a DataFrame; all but the last return the columns of
-`documents`. A stage begins by deleting the scratch tables of the stage before,
-whose result has been written by then.
+`documents`. A stage begins by deleting the scratch tables of the stage before
+in the same run, whose result has been written by then; other runs keep theirs.
 """
 
 from __future__ import annotations
 
 import functools
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,18 +18,20 @@ from tamis.llm import decontamination, language_id, minhash_dedup, mixing, pii,
 from tamis.session import staging_path
 
 
-_held: list[str] = []
+# The scratch tables of the stage before, by the run that they belong to: its thread and its folder.
+_held: dict[tuple[int, str], dict[str, str | None]] = {}
 
 
 def _staged(stage):
-    """The stage, after the scratch tables of the stage before are deleted."""
+    """The stage, after the scratch tables of the stage before in the same run are deleted."""
 
     @functools.wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        scratch.delete(spark, _held)
-        before = set(scratch.paths())
-        found = stage(spark, docs, sf_dir)
-        _held[:] = [p for p in scratch.paths() if p not in before]
+        run_key = threading.get_ident(), sf_dir
+        scratch.delete(spark, _held.pop(run_key, {}))
+        with scratch.recorded() as tables:
+            found = stage(spark, docs, sf_dir)
+        _held[run_key] = tables
         return found
 
     return run_stage
@@ -82,6 +85,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mixture of the documents of a folder; each stage but the last is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    _held.pop((threading.get_ident(), sf_dir), None)  # an earlier run's result may still be read
     for name, stage in STAGES[:-1]:
         path = staging_path(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
