@@ -23,7 +23,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tamis.llm.bits import let
 from tamis.llm.scratch import written
 
 WEIGHTS = (3, 1, 2)
@@ -105,27 +104,30 @@ def draws(sources: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 def hashed(value: Column, key: Column) -> Column:
     """A number from 0 to PRIME - 1 of a whole number below 2**62 and a key, in arithmetic that any SQL has."""
-    low, high = value.bitwiseAND(PRIME), F.shiftright(value, 31)
-    first = (low * FACTORS[0] + high * FACTORS[1] + key) % PRIME
-    return let(first, lambda h: (((h * h + key) % PRIME) * ((h * h + key) % PRIME) + h) % PRIME)
+    first = (value.bitwiseAND(PRIME) * FACTORS[0] + F.shiftright(value, 31) * FACTORS[1] + key) % PRIME
+    return (first * first + key) % PRIME
 
 
-def block_of(slot: Column, blocks: Column, ordinal: Column) -> Column:
-    """The block that a slot takes: a permutation of the blocks, by source and round through it."""
-    turn = F.floor(slot / blocks)
+def round_keys(blocks: Column, ordinal: Column, turn: Column) -> Column:
+    """The key and the centre of each round of the permutation of a source's blocks, for one turn through them."""
     seed = ((ordinal * 1_000_003 + turn * 8191) % PRIME).cast("long")
 
-    def swapped(place: Column, number: Column) -> Column:
+    def key_of(number: Column) -> Column:
         key = (seed + number * 7919) % PRIME
         centre = (hashed(key, F.lit(1).cast("long")) * PRIME + hashed(key, F.lit(2).cast("long"))) % blocks
+        return F.struct(key.alias("key"), centre.alias("centre"))
 
-        def choose(mirrored: Column) -> Column:
-            return F.when(hashed(F.greatest(place, mirrored), key) % 2 == 1, mirrored).otherwise(place)
+    return F.transform(F.sequence(F.lit(1).cast("long"), F.lit(ROUNDS).cast("long")), key_of)
 
-        return let((centre + blocks - place) % blocks, choose)
 
-    numbers = F.sequence(F.lit(1).cast("long"), F.lit(ROUNDS).cast("long"))
-    return F.aggregate(numbers, (slot % blocks).cast("long"), swapped)
+def block_of(slot: Column, blocks: Column, keys: Column) -> Column:
+    """The block that a slot takes: the place of the slot within its turn, swapped round by round."""
+
+    def swapped(place: Column, k: Column) -> Column:
+        mirrored = (k["centre"] + blocks - place) % blocks
+        return F.when(hashed(F.greatest(place, mirrored), k["key"]) % 2 == 1, mirrored).otherwise(place)
+
+    return F.aggregate(keys, (slot % blocks).cast("long"), swapped)
 
 
 def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source") -> tuple[DataFrame, DataFrame]:
@@ -171,9 +173,13 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
     cells = F.explode(F.expr(f"sequence(0, (n - 1) div {CELL // 64})")).alias("cell")
     slots = slots.select("ordinal", "shard", "blocks", "first", "n", cells).repartition(max(1, -(-total // CELL)), "ordinal", "shard", "cell")
     begin, end = F.col("first") + F.col("cell") * (CELL // 64), F.col("first") + F.least("n", (F.col("cell") + 1) * (CELL // 64)) - 1
-    slots = slots.select("ordinal", "shard", "blocks", F.explode(F.sequence(begin, end)).alias("slot"))
-    slots = slots.select("ordinal", "shard", "slot", block_of(F.col("slot"), F.col("blocks"), F.col("ordinal")).alias("block"))
-    pieces = slots.join(parts, ["ordinal", "block"])
+    keys = F.array(*[round_keys(F.col("blocks"), F.col("ordinal"), F.lit(turn)) for turn in range(MOST)])
+    slots = slots.select("ordinal", "shard", "blocks", keys.alias("keys"), F.sequence(begin, end).alias("run"))
+    slots = slots.select("ordinal", "shard", "blocks", "keys", F.explode("run").alias("slot"))
+    turn = F.get("keys", F.floor(F.col("slot") / F.col("blocks")).cast("int"))
+    slots = slots.select("ordinal", "shard", "slot", block_of(F.col("slot"), F.col("blocks"), turn).alias("block"))
+    # what the slots come to isn't seen from the few rows that they are made of: never broadcast them
+    pieces = slots.hint("merge").join(parts, ["ordinal", "block"])
 
     taken = pieces.groupBy("ordinal", F.col("start").alias("at")).agg(F.sum("words").alias("taken"))
     rows = rows.withColumn("at", F.when(F.col("size") > 0, F.col("start"))).join(taken, ["ordinal", "at"], "left")

@@ -223,8 +223,7 @@ def _hashed(value: str, key: str) -> str:
     """The arithmetic of `mixing.hashed`."""
     p, (a, b) = mixing.PRIME, mixing.FACTORS
     first = f"(((({value}) & {p}) * {a} + (({value}) >> 31) * {b} + ({key})) % {p})"
-    square = f"(({first} * {first} + ({key})) % {p})"
-    return f"(({square} * {square} + {first}) % {p})"
+    return f"(({first} * {first} + ({key})) % {p})"
 
 
 def _swapped() -> str:

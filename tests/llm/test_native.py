@@ -153,7 +153,9 @@ def test_mixture(sources):
 
 @pytest.mark.parametrize("blocks", [1, 2, 7, 8, 64, 100, 1023, 1024, 4096])
 def test_slots_take_every_block_once_a_round_in_no_order(spark, blocks):
-    slots = spark.range(2 * blocks).select("id", mixing.block_of(F.col("id"), F.lit(blocks).cast("long"), F.lit(3).cast("long")).alias("block"))
+    many = F.lit(blocks).cast("long")
+    keys = mixing.round_keys(many, F.lit(3).cast("long"), F.floor(F.col("id") / blocks))
+    slots = spark.range(2 * blocks).select("id", mixing.block_of(F.col("id"), many, keys).alias("block"))
     taken = [r.block for r in slots.orderBy("id").collect()]
     rounds = taken[:blocks], taken[blocks:]
     assert all(sorted(r) == list(range(blocks)) for r in rounds)
