@@ -136,10 +136,13 @@ def train(docs: DataFrame, text_column: str = "text", lang_column: str = "lang",
     rate = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, each / n))])
     draw = F.pmod(F.xxhash64("text", F.lit("language")), F.lit(1 << 20)) / F.lit(float(1 << 20))
     picked = rows.where(draw <= rate[F.col("lang")]).dropDuplicates().mapInArrow(_featurised, "lang string, features binary")
-    found = sorted((r["lang"], bytes(r["features"])) for r in picked.collect())
-    if not found:
+    found = picked.toArrow()  # without copies of the features as Python rows
+    if not found.num_rows:
         return None
-    return fit(np.stack([np.frombuffer(f, np.float16).astype(np.float32) for _, f in found]), [lang for lang, _ in found])
+    lang = found.column("lang").to_pylist()
+    raw = np.concatenate([np.frombuffer(x.as_buffer(), np.float16)[None, :] for x in found.column("features")])
+    order = sorted(range(len(lang)), key=lambda i: (lang[i], raw[i].tobytes()))
+    return fit(raw[order].astype(np.float32), [lang[i] for i in order])
 
 
 _PREDICTED = "doc_id long, lang_pred string, score double, ambiguous boolean"
