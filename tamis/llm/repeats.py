@@ -16,7 +16,8 @@ Shared by the suffix-array operator (bytes) and the substring operator (words).
 
 A task holds one block, or one bucket; the number of buckets grows with the
 corpus. No group of equal windows meets anywhere but as one entry per block.
-Window names are compared in all of their 64 bits, the bucket's and the rest.
+Windows are equal if their names, 64 bits, and their checks, 32 bits of a second
+hash over other symbol values, are.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamis.llm.arrays import byte_symbols, covered, spread, window_hashes, word_bounds, word_hashes
+from tamis.llm.arrays import byte_symbols, covered, mix, spread, window_hashes, word_bounds, word_hashes
 from tamis.llm.scratch import written, written_by_key
 
 BLOCK_BYTES = 2 << 20
@@ -40,7 +42,7 @@ BUCKET_BYTES = 64 << 20
 NULL_ID = -(1 << 63)
 
 _BLOCK = "block long, ids array<bigint>, sizes array<bigint>, data binary, heads array<struct<digest binary, ord int>>"
-_NAMES = "bucket int, block long, base long, names binary, owners binary"
+_NAMES = "bucket int, block long, base long, names binary, checks binary, owners binary"
 _BITS = "bucket int, block long, bits binary"
 
 
@@ -102,7 +104,8 @@ def _unpack_owners(packed: bytes, n: int) -> np.ndarray:
 # --- blocks --------------------------------------------------------------------
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(batches: Iterator[pa.RecordBatch], most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Documents in blocks of `most` bytes or a little more; a longer document is a block of its own."""
     part, seq, rows, held = TaskContext.get().partitionId(), 0, [], 0
     schema = pa.schema(
         [
@@ -129,7 +132,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = text.as_buffer().to_pybytes() if text.is_valid else b""
             rows.append((doc_id, hashlib.blake2b(raw, digest_size=16).digest(), raw))
             held += len(raw)
-            if held >= BLOCK_BYTES or len(rows) >= BLOCK_ROWS:
+            if held >= most or len(rows) >= BLOCK_ROWS:
                 yield packed()
                 seq, rows, held = seq + 1, [], 0
     if rows:
@@ -171,8 +174,8 @@ class Block:
         at = at[at + rule.short <= np.repeat(self.at[docs + 1], rounds * len(rule.cover))]
         return at, window_hashes(self.symbols, rule.short, at)
 
-    def candidates(self, bits: dict[int, bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
-        """Windows that reach a sample which repeats, here or elsewhere, and their names, in document order."""
+    def candidates(self, bits: dict[int, bytes], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Windows that reach a sample which repeats, here or elsewhere, their names and their checks, in document order."""
         at, names = self.sample()
         values, inverse, counts = np.unique(names, return_inverse=True, return_counts=True)
         again = (counts > 1) | _verdicts(values, bits, buckets, _SAMPLE_BITS)
@@ -182,16 +185,17 @@ class Block:
         low[1:] = np.maximum(low[1:], found[:-1] + 1)
         many = np.maximum(0, np.minimum(found, self.at[doc + 1] - self.rule.width) - low + 1)
         starts = spread(low, many)
-        return starts, window_hashes(self.symbols, self.rule.width, starts)
+        other = window_hashes(mix(self.symbols ^ _OTHER), self.rule.width, starts)
+        return starts, window_hashes(self.symbols, self.rule.width, starts), (other >> np.uint64(32)).astype("<u4")
 
     def doc(self, at: np.ndarray) -> np.ndarray:
         """The document of each unit."""
         return np.searchsorted(self.at, at, side="right") - 1
 
-    def removed(self, starts: np.ndarray, names: np.ndarray, bits: dict[int, bytes], buckets: int) -> np.ndarray:
+    def removed(self, starts: np.ndarray, names: np.ndarray, checks: np.ndarray, bits: dict[int, bytes], buckets: int) -> np.ndarray:
         """Which units a window covers that starts earlier too."""
-        values, first, inverse = np.unique(names, return_index=True, return_inverse=True)
-        elsewhere = _verdicts(values, bits, buckets, _NAME_BITS)[inverse]
+        first, inverse = _distinct(names, checks)
+        elsewhere = _verdicts(names[first], bits, buckets, _NAME_BITS)[inverse]
         head = starts[first][inverse]
         here = starts > head if self.rule.within else self.order[self.doc(starts)] > self.order[self.doc(head)]
         gone = covered(starts[elsewhere | here], self.rule.width, len(self.symbols))
@@ -200,6 +204,27 @@ class Block:
 
 # of a sample's name so many bits that few others agree: those only make candidates; of a window's all that the bucket leaves
 _SAMPLE_BITS, _NAME_BITS = 24, 54
+# what tells the symbol values of checks from those of names
+_OTHER = np.uint64(0xD6E8FEB86659FD93)
+
+
+def _distinct(names: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first of each different window, by name, then by check, and for each window which of these equals it."""
+    order = np.argsort(names, kind="stable")
+    fresh, apart = _changes(names[order]), _changes(checks[order])
+    if (apart & ~fresh).any():  # one name of different windows
+        order = np.lexsort((checks, names))
+        fresh = _changes(names[order]) | _changes(checks[order])
+    inverse = np.empty(len(order), np.int64)
+    inverse[order] = np.cumsum(fresh) - 1
+    return order[fresh], inverse
+
+
+def _changes(values: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before; the first does."""
+    out = np.ones(len(values), bool)
+    out[1:] = values[1:] != values[:-1]
+    return out
 
 
 def _slices(values: np.ndarray, buckets: int, keep: int) -> Iterator[tuple[int, slice, np.ndarray]]:
@@ -232,7 +257,7 @@ def _bits(row: dict, key: str) -> dict[int, bytes]:
 
 
 _NAMES_ARROW = pa.schema(
-    [("bucket", pa.int32()), ("block", pa.int64()), ("base", pa.int64()), ("names", pa.binary()), ("owners", pa.binary())]
+    [("bucket", pa.int32()), ("block", pa.int64()), ("base", pa.int64()), ("names", pa.binary()), ("checks", pa.binary()), ("owners", pa.binary())]
 )
 _BITS_ARROW = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("bits", pa.binary())])
 
@@ -242,7 +267,7 @@ def _send_samples(rule: Rule, buckets: int) -> Callable:
         for row in _rows(batches):
             values = np.unique(Block(row, rule).sample()[1])
             out = [
-                {"bucket": k, "block": row["block"], "base": 0, "names": pack_sorted(short), "owners": b""}
+                {"bucket": k, "block": row["block"], "base": 0, "names": pack_sorted(short), "checks": b"", "owners": b""}
                 for k, _, short in _slices(values, buckets, _SAMPLE_BITS)
             ]
             yield pa.RecordBatch.from_pylist(out, _NAMES_ARROW)
@@ -254,14 +279,16 @@ def _send_candidates(rule: Rule, buckets: int) -> Callable:
     def send(batches):
         for row in _rows(batches):
             block = Block(row, rule)
-            starts, names = block.candidates(_bits(row, "sampled"), buckets)
-            values, first = np.unique(names, return_index=True)
+            starts, names, checks = block.candidates(_bits(row, "sampled"), buckets)
+            first, _ = _distinct(names, checks)
+            checks = checks[first]
             owners = block.order[block.doc(starts[first])]
             base = int(block.order[0]) if len(block.order) else 0
             away = owners.astype(np.uint64) - np.int64(base).astype(np.uint64)
             out = [
-                {"bucket": k, "block": row["block"], "base": base, "names": pack_sorted(short), "owners": _pack_owners(away[part])}
-                for k, part, short in _slices(values, buckets, _NAME_BITS)
+                {"bucket": k, "block": row["block"], "base": base, "names": pack_sorted(short)}
+                | {"checks": checks[part].tobytes(), "owners": _pack_owners(away[part])}
+                for k, part, short in _slices(names[first], buckets, _NAME_BITS)
             ]
             yield pa.RecordBatch.from_pylist(out, _NAMES_ARROW)
 
@@ -300,10 +327,10 @@ def _later_windows(rule: Rule) -> Callable:
                 for r, n in zip(rows, sizes.tolist(), strict=True)
             ]
         )
+        checks = np.concatenate([np.frombuffer(r["checks"], "<u4") for r in rows])
         block = np.array([r["block"] for r in rows])[row]
-        order = np.lexsort((block, owners, names))
-        fresh = np.ones(len(order), bool)
-        fresh[1:] = names[order][1:] != names[order][:-1]
+        order = np.lexsort((block, owners, checks, names))
+        fresh = _changes(names[order]) | _changes(checks[order])
         head = order[np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))]
         later = np.empty(len(order), bool)
         later[order] = ~fresh if rule.within else owners[order] > owners[head]
@@ -334,7 +361,7 @@ def _copies(blocks: DataFrame, rule: Rule) -> DataFrame:
 def without_repeats(docs: DataFrame, id_column: str, text_column: str, rule: Rule, finish: Callable, schema: str) -> DataFrame:
     """Apply `finish(block, removed)`, which returns an Arrow batch of `schema`, to every block."""
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
-    blocks = written_by_key(texts.mapInArrow(_blocks, _BLOCK), "blocks", "block")
+    blocks = written_by_key(texts.mapInArrow(partial(_blocks, most=BLOCK_BYTES), _BLOCK), "blocks", "block")
     total = blocks.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     buckets = 1024
     while buckets * BUCKET_BYTES < 8 * total:
@@ -352,8 +379,8 @@ def without_repeats(docs: DataFrame, id_column: str, text_column: str, rule: Rul
     def last(batches):
         for row in _rows(batches):
             block = Block(row, rule)
-            starts, found = block.candidates(_bits(row, "sampled"), buckets)
-            yield finish(block, block.removed(starts, found, _bits(row, "later"), buckets))
+            found = block.candidates(_bits(row, "sampled"), buckets)
+            yield finish(block, block.removed(*found, _bits(row, "later"), buckets))
 
     return marked.join(later.hint("merge"), "block", "left").mapInArrow(last, schema)
 

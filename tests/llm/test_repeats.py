@@ -1,8 +1,10 @@
 """Both repeat removers against brute force over every window."""
 
 import random
+from functools import partial
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -115,6 +117,37 @@ def test_packing_round_trip(values):
     assert (repeats.unpack_sorted(repeats.pack_sorted(values)) == values).all()
 
 
+def one_window(block, name, check, owner):
+    return {
+        "bucket": 0,
+        "block": block,
+        "base": owner,
+        "names": repeats.pack_sorted(np.array([name], np.uint64)),
+        "checks": np.array([check], "<u4").tobytes(),
+        "owners": repeats._pack_owners(np.array([0], np.uint64)),
+    }
+
+
+@pytest.mark.parametrize("rule", [suffix_dedup.BYTE_RULE, substring_dedup.WORD_RULE])
+def test_equal_names_of_different_windows_remove_nothing(rule):
+    """Windows whose names agree are told apart by their checks, over blocks and within one."""
+    rows = [one_window(1, 77, 5, 10), one_window(2, 77, 6, 20), one_window(3, 77, 5, 30), one_window(4, 78, 5, 40)]
+    answer = repeats._later_windows(rule)(pa.Table.from_pylist(rows, repeats._NAMES_ARROW)).to_pylist()
+    assert [r["block"] for r in answer] == [3]
+
+    names, checks = np.array([9, 7, 7, 9, 7], np.uint64), np.array([1, 2, 3, 1, 2], "<u4")
+    first, same = repeats._distinct(names, checks)
+    assert first.tolist() == [1, 2, 0] and same.tolist() == [2, 0, 1, 2, 0]
+    assert [a.tolist() for a in repeats._distinct(names, np.zeros(5, "<u4"))] == [[1, 0], [1, 0, 0, 1, 0]]
+    assert [len(a) for a in repeats._distinct(names[:0], checks[:0])] == [0, 0]
+
+
+def test_block_size_reaches_the_tasks(copied, blocks, request):
+    texts = copied[1].select("doc_id", "text")
+    made = texts.mapInArrow(partial(repeats._blocks, most=repeats.BLOCK_BYTES), repeats._BLOCK).count()
+    assert made > 10 if "many" in request.node.name else made == 3
+
+
 @pytest.mark.parametrize("rule", [suffix_dedup.BYTE_RULE, substring_dedup.WORD_RULE])
 def test_covers_hold_every_difference(rule):
     found = {(a - b) % rule.period for a in rule.cover for b in rule.cover}
