@@ -28,7 +28,7 @@ import hashlib
 import pickle
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -261,11 +261,10 @@ def faults(rows: list[tuple], again: set[int] = frozenset()) -> str:
         bare = text.rstrip(SPACE)
         if not bare:
             out.append("b")
-        elif at in again or (role, text) in seen:
-            out.append("d")
-        else:
-            seen.add((role, text))
-            out.append(" " if bare.endswith(ENDS) else "t")
+            continue
+        known = at in again or (role, text) in seen
+        seen.add((role, text))
+        out.append("d" if known else " " if bare.endswith(ENDS) else "t")
     return "".join(out)
 
 
@@ -296,7 +295,7 @@ def ways(rows: list[tuple], found: str) -> list[dict[int, tuple[int, str, tuple[
 # --- blocks -----------------------------------------------------------------------------
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _packed(batches: Iterator[pa.RecordBatch], most: int = BLOCK_ROWS) -> Iterator[pa.RecordBatch]:
     part, seq, rows, held = TaskContext.get().partitionId(), 0, [], 0
     schema = pa.schema([("block", pa.int64()), ("rows", pa.binary())])
 
@@ -307,7 +306,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in zip(*(batch.column(n).to_pylist() for n in range(4)), strict=True):
             rows.append(row)
             held += len(row[3])
-            if held >= BLOCK_BYTES or len(rows) >= BLOCK_ROWS:
+            if held >= BLOCK_BYTES or len(rows) >= most:
                 yield block()
                 seq, rows, held = seq + 1, [], 0
     if rows:
@@ -455,7 +454,7 @@ def repair(rows: DataFrame, conv_column: str = "conv_id", turn_column: str = "tu
     plain = plain.withColumns({"_begin": F.substring("text", 1, 64), "_hash": F.xxhash64("text"), "_stored": F.monotonically_increasing_id()})
     order = [F.col("conv").asc_nulls_first(), F.col("turn").asc_nulls_first(), "role", "_begin", "_hash", "_stored"]
     placed = plain.repartitionByRange(*order).sortWithinPartitions(*order)
-    blocks = written(placed.select("conv", "turn", "role", "text").mapInArrow(_packed, "block long, rows binary"), "blocks")
+    blocks = written(placed.select("conv", "turn", "role", "text").mapInArrow(partial(_packed, most=BLOCK_ROWS), "block long, rows binary"), "blocks")
 
     heads = written(blocks.mapInArrow(_heads, "digest binary, block long, at int"), "heads")
     firsts = heads.groupBy("digest").agg(F.min("block").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
