@@ -16,7 +16,7 @@ Shared by the suffix-array operator (bytes) and the substring operator (words).
 
 A task holds one block, or one bucket; the number of buckets grows with the
 corpus. No group of equal windows meets anywhere but as one entry per block.
-Windows are equal if their names, 64 bits, and their checks, 32 bits of a second
+Windows are equal if their names, 64 bits, and their checks, 16 bits of a second
 hash over other symbol values, are.
 """
 
@@ -186,7 +186,7 @@ class Block:
         many = np.maximum(0, np.minimum(found, self.at[doc + 1] - self.rule.width) - low + 1)
         starts = spread(low, many)
         other = window_hashes(mix(self.symbols ^ _OTHER), self.rule.width, starts)
-        return starts, window_hashes(self.symbols, self.rule.width, starts), (other >> np.uint64(32)).astype("<u4")
+        return starts, window_hashes(self.symbols, self.rule.width, starts), (other >> np.uint64(48)).astype("<u2")
 
     def doc(self, at: np.ndarray) -> np.ndarray:
         """The document of each unit."""
@@ -327,7 +327,7 @@ def _later_windows(rule: Rule) -> Callable:
                 for r, n in zip(rows, sizes.tolist(), strict=True)
             ]
         )
-        checks = np.concatenate([np.frombuffer(r["checks"], "<u4") for r in rows])
+        checks = np.concatenate([np.frombuffer(r["checks"], "<u2") for r in rows])
         block = np.array([r["block"] for r in rows])[row]
         order = np.lexsort((block, owners, checks, names))
         fresh = _changes(names[order]) | _changes(checks[order])

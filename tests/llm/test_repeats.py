@@ -123,7 +123,7 @@ def one_window(block, name, check, owner):
         "block": block,
         "base": owner,
         "names": repeats.pack_sorted(np.array([name], np.uint64)),
-        "checks": np.array([check], "<u4").tobytes(),
+        "checks": np.array([check], "<u2").tobytes(),
         "owners": repeats._pack_owners(np.array([0], np.uint64)),
     }
 
@@ -135,10 +135,10 @@ def test_equal_names_of_different_windows_remove_nothing(rule):
     answer = repeats._later_windows(rule)(pa.Table.from_pylist(rows, repeats._NAMES_ARROW)).to_pylist()
     assert [r["block"] for r in answer] == [3]
 
-    names, checks = np.array([9, 7, 7, 9, 7], np.uint64), np.array([1, 2, 3, 1, 2], "<u4")
+    names, checks = np.array([9, 7, 7, 9, 7], np.uint64), np.array([1, 2, 3, 1, 2], "<u2")
     first, same = repeats._distinct(names, checks)
     assert first.tolist() == [1, 2, 0] and same.tolist() == [2, 0, 1, 2, 0]
-    assert [a.tolist() for a in repeats._distinct(names, np.zeros(5, "<u4"))] == [[1, 0], [1, 0, 0, 1, 0]]
+    assert [a.tolist() for a in repeats._distinct(names, np.zeros(5, "<u2"))] == [[1, 0], [1, 0, 0, 1, 0]]
     assert [len(a) for a in repeats._distinct(names[:0], checks[:0])] == [0, 0]
 
 
