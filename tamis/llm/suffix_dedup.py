@@ -1,12 +1,14 @@
 """Removal of byte strings that occur earlier, by hashed windows and a difference cover.
 
 This swaps the suffix-array method for hashes: no suffix is sorted by its bytes,
-and cover names order no ties. No figures that forced the swap are on record.
+and cover names order no ties. What the samples would shuffle is computed in the
+README; the suffix array itself was not built and measured.
 Windows of 44 bytes are named by hash at difference-cover positions
 (modulo 57). A window of 100 bytes whose covered positions all have names of their
 own repeats nowhere and is left out. The hashes of the rest are dealt to buckets by
 their leading bits and each bucket is sorted by itself; all but the first of a run
-of equal hashes are removed, without a comparison of their bytes. Memory is bounded
+of equal hashes (64 bits and 16 of a second one) are removed, without a comparison
+of their bytes. Memory is bounded
 by a block and by a bucket, whatever the corpus. See `repeats` for the passes.
 """
 
