@@ -10,8 +10,8 @@
    the others, classes are picked whose sizes and signature bits allow a link to
    another component: a semi-join, so no pairs come out. Those outside the
    bucket's largest component are looked up, on full sets, in an index of the
-   others' shingles, by tiles of at most `TILE` by `TILE` classes; only links come
-   out, one per class and component.
+   others' shingles, by tiles of about `TILE` by `TILE` classes and `TILE_SHINGLES`
+   shingles a side, or one longer set; only links come out, one per class and component.
 5. Full sets are made for classes in some candidate pair only.
 
 Two documents at similarity 0.75 share no band with probability 5e-6; the bits
@@ -37,7 +37,7 @@ from tamis.llm.scratch import written
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 75, 32, 4
 # Of 128 pairs of bits 24 differ on average at similarity 0.75, with a deviation of 4.4.
 MOST_APART = 45
-TILE = 2048
+TILE, TILE_SHINGLES = 2048, 4 << 20
 NULL_ID = -(1 << 63)
 
 _N = BANDS * ROWS
@@ -184,16 +184,25 @@ def _across(members: DataFrame, stars: DataFrame, texts: DataFrame) -> DataFrame
     same = (F.col("a.key") == F.col("b.key")) & (F.col("a.label") != F.col("b.label")) & _near("a", "b")
     asking = rest.alias("a").join(left.alias("b"), same, "left_semi").withColumn("asks", F.lit(True))
     asked = main.alias("a").join(rest.alias("b"), same, "left_semi").withColumn("asks", F.lit(False))
-    live = written(asking.union(asked).select("key", "digest", "id", "label", "asks"), "live")
+    live = written(asking.union(asked).select("key", "digest", "id", "label", "asks", "n_shingles"), "live")
+    return _tiled(live, _full_sets(live, texts)).groupBy("key", "r", "c").applyInArrow(_links, "u binary, v binary").distinct()
 
-    tiles = live.groupBy("key").agg(F.ceil(F.count_if("asks") / TILE).alias("rows"), F.ceil(F.count("*") / TILE).alias("columns"))
-    live = live.join(_full_sets(live, texts), "digest").join(tiles, "key")
+
+def _tiled(live: DataFrame, sets: DataFrame) -> DataFrame:
+    """Asking classes and targets of each key with their sets, dealt to tiles (r, c) in which every asking class meets every target once."""
+
+    def side(held: Column) -> Column:
+        sizes = F.count_if(held) / TILE, F.sum(F.when(held, F.col("n_shingles"))) / TILE_SHINGLES
+        return F.ceil(F.greatest(F.lit(1.0), *sizes))
+
+    tiles = live.groupBy("key").agg(side(F.col("asks")).alias("rows"), side(F.lit(True)).alias("columns"))
+    live = live.join(sets, "digest").join(tiles, "key")
     place = F.xxhash64("digest")
     others = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     own = ["key", "digest", "label", "shingles"]
     queries = live.where("asks").select(*own, F.pmod(place, F.col("rows")).alias("r"), others("columns").alias("c"), F.lit(True).alias("asks"))
     targets = live.select(*own, others("rows").alias("r"), F.pmod(place, F.col("columns")).alias("c"), F.lit(False).alias("asks"))
-    return queries.unionByName(targets).groupBy("key", "r", "c").applyInArrow(_links, "u binary, v binary").distinct()
+    return queries.unionByName(targets)
 
 
 def _links(table: pa.Table) -> pa.Table:

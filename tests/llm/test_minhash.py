@@ -63,13 +63,29 @@ def test_equals_all_pairs(frame, copies):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == components(copies)
 
 
-def test_the_second_round_alone_finds_every_link(frame, copies, monkeypatch):
+@pytest.mark.parametrize(("tile", "shingles"), [(7, 4 << 20), (2048, 1500)])
+def test_the_second_round_alone_finds_every_link(frame, copies, monkeypatch, tile, shingles):
     monkeypatch.setattr(minhash_dedup, "_verified", lambda pairs, texts: pairs.limit(0).select(F.col("a").alias("u"), F.col("b").alias("v")))
-    monkeypatch.setattr(minhash_dedup, "TILE", 7)
+    monkeypatch.setattr(minhash_dedup, "TILE", tile)
+    monkeypatch.setattr(minhash_dedup, "TILE_SHINGLES", shingles)
     found = {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(frame("doc_id long, text string", copies)).collect()}
     assert found == {i: c for i, (_, c, _) in components(copies).items()}
 
 
+def test_tiles_are_bounded_by_shingles_and_every_pair_meets_once(frame, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "TILE_SHINGLES", 4000)
+    sizes = {f"d{k}".encode(): 3000 if k == 0 else 20 + 13 * k % 200 for k in range(300)}
+    live = frame("key long, digest binary, label binary, asks boolean, n_shingles long", [(1, bytearray(d), bytearray(d), k % 3 == 0, n) for k, (d, n) in enumerate(sizes.items())])
+    sets = frame("digest binary, shingles array<bigint>", [(bytearray(d), list(range(n))) for d, n in sizes.items()])
+    tiles = defaultdict(lambda: ([], []))
+    for r in minhash_dedup._tiled(live, sets).drop("shingles").collect():
+        tiles[r.key, r.r, r.c][r.asks].append(bytes(r.digest))
+    met = sorted((q, t) for targets, asking in tiles.values() for q in asking for t in targets)
+    assert met == sorted((q, t) for k, q in enumerate(sizes) if k % 3 == 0 for t in sizes)
+    held = [sum(sizes[d] for d in side) for sides in tiles.values() for side in sides]
+    assert max(held) <= 3000 + 2 * 4000 and len(tiles) > 20
+
+
 def test_awkward_rows(awkward, nothing):
     found = minhash_dedup.near_duplicates(awkward)
     assert found.count() == 17 and minhash_dedup.near_duplicates(nothing).count() == 0
