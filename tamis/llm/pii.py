@@ -39,6 +39,7 @@ ADDED = ("generalised", "removed")
 PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "generalised": "[TERM]", "removed": ""}
 
 SUPPORT, GENERALISE, REMOVE = 3, 0.85, 0.95
+PAIRS = 1 << 20
 _SPAN = "struct<kind:string,start:int,end:int,value:string>"
 
 
@@ -102,38 +103,65 @@ def _terms(text: Column, spans: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(rest), r"[^\p{L}\p{N}]+"), lambda t: F.length(t) >= 3))
 
 
-def disclosures(found: DataFrame) -> DataFrame:
-    """Entities with the terms that reveal them: `kind`, `value`, `term`, `share` of the entity's information.
+def _revealing(found: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Entities by class, classes by text, and what the terms of a class reveal.
 
-    `found` has `text`, its hash `text_id` and its `spans`.
+    A class is all entities with the same texts: the addresses of a list that stands
+    in several texts are one. It is known by their number and two hashes of them.
     """
     held = found.where(F.size("spans") > 0).select("text_id", "text", "spans").dropDuplicates(["text_id"])
     values = F.array_distinct(F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), F.lower(s["value"]).alias("value"))))
     held = written(held.select("text_id", values.alias("values"), _terms(F.col("text"), F.col("spans")).alias("terms")), "held")
     entity = held.select("text_id", F.explode("values").alias("e")).select("text_id", "e.*")
-    texts = written(entity.groupBy("kind", "value").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= SUPPORT), "entities")
+    marks = [F.bit_xor(F.xxhash64(F.lit(k), "text_id")).alias(f"mark_{k}") for k in (1, 2)]
+    known = entity.groupBy("kind", "value").agg(F.count("*").alias("n_e"), *marks).where(F.col("n_e") >= SUPPORT)
+    known = written(known.select("kind", "value", F.struct("n_e", "mark_1", "mark_2").alias("class")), "entities")
+    members = written(entity.join(known, ["kind", "value"]).select("text_id", "class").distinct(), "classes")
     n = float(max(1, found.select("text_id").distinct().count()))
-    most = float(texts.agg(F.max("n_e")).first()[0] or 0)
+    most = float(known.agg(F.max("class.n_e")).first()[0] or 0)
 
     def share(n_t: str) -> Column:
         """Of the entity's bits, those that a term in n_t texts gives."""
-        bits = -F.log2(F.col("n_e") / F.lit(n))
-        return F.when(bits > 0, F.log2(F.col("n_et") * F.lit(n) / (F.col("n_e") * F.col(n_t))) / bits).otherwise(0.0)
+        n_e = F.col("class.n_e")
+        bits = -F.log2(n_e / F.lit(n))
+        return F.when(bits > 0, F.log2(F.col("n_et") * F.lit(n) / (n_e * F.col(n_t))) / bits).otherwise(0.0)
 
     # A term is in as many texts at least as in texts with entities, and n_et is n_e at most: most terms are out before pairs are formed.
     bound = 1 + most**GENERALISE * n ** (1 - GENERALISE)
     seen = held.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_held"))
     seen = written(seen.where(F.col("n_held").between(SUPPORT, bound)), "terms")
     # Pairs are counted before they move; only the terms' frequencies are joined by term, to one row per pair.
-    known = entity.join(texts.select("kind", "value"), ["kind", "value"])
-    terms = held.select("text_id", F.explode("terms").alias("term")).where(listed(F.col("term"), seen, "term"))
-    pairs = terms.join(known, "text_id").groupBy("kind", "value", "term").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= SUPPORT)
-    pairs = pairs.join(texts, ["kind", "value"]).join(seen, "term")
+    pairs = _paired(held, members, seen).groupBy("class", "term").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= SUPPORT)
+    pairs = pairs.join(seen, "term")
     pairs = written(pairs.where(share("n_held") >= GENERALISE).drop("n_held"), "pairs")
     words = found.select("text_id", F.explode(_terms(F.col("text"), F.col("spans"))).alias("term"))
     words = words.where(listed(F.col("term"), pairs, "term")).distinct()
     scored = pairs.join(words.groupBy("term").agg(F.count("*").alias("n_t")), "term")
-    return scored.select("kind", "value", "term", share("n_t").alias("share")).where(F.col("share") >= GENERALISE)
+    return known, members, scored.select("class", "term", share("n_t").alias("share")).where(F.col("share") >= GENERALISE)
+
+
+def _paired(held: DataFrame, members: DataFrame, seen: DataFrame) -> DataFrame:
+    """Each class of a text with each of its terms that may be in `seen`.
+
+    The terms of a text with more than `PAIRS` pairs are dealt to slices, so no task has to form all of them.
+    """
+    crowds = members.groupBy("text_id").agg(F.count("*").alias("n"))
+    slices = F.greatest(F.lit(1), F.least(F.size("terms"), F.ceil(F.col("n") * F.size("terms") / PAIRS)))
+    sliced = held.join(crowds, "text_id").select("text_id", "terms", slices.cast("int").alias("slices"))
+    terms = sliced.select("text_id", "slices", F.explode("terms").alias("term")).where(listed(F.col("term"), seen, "term"))
+    terms = terms.select("text_id", "term", F.pmod(F.xxhash64("term"), F.col("slices")).cast("int").alias("slice"))
+    everywhere = F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice")
+    classes = members.join(sliced.select("text_id", "slices"), "text_id").select("text_id", "class", everywhere)
+    return terms.join(classes, ["text_id", "slice"]).select("text_id", "slice", "class", "term")
+
+
+def disclosures(found: DataFrame) -> DataFrame:
+    """Entities with the terms that reveal them: `kind`, `value`, `term`, `share` of the entity's information.
+
+    `found` has `text`, its hash `text_id` and its `spans`.
+    """
+    known, _, scored = _revealing(found)
+    return known.join(scored, "class").select("kind", "value", "term", "share")
 
 
 def _ordered(spans: Column) -> Column:
@@ -180,11 +208,10 @@ def sanitise(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     ).withColumn("text_id", F.xxhash64("text"))
     found = written(raw.withColumn("spans", F.coalesce(base_spans(F.col("text")), F.expr(f"cast(array() as array<{_SPAN}>)"))), "found")
 
-    revealing = disclosures(found)
+    _, members, scored = _revealing(found)
     kind = F.when(F.col("share") >= REMOVE, "removed").otherwise("generalised")
     held = found.where(F.size("spans") > 0)
-    entities = held.select("text_id", F.explode("spans").alias("s")).select("text_id", "s.kind", F.lower("s.value").alias("value")).distinct()
-    terms = entities.join(revealing, ["kind", "value"]).groupBy("text_id", "term").agg(F.max("share").alias("share"))
+    terms = members.join(scored, "class").groupBy("text_id", "term").agg(F.max("share").alias("share"))
     terms = terms.groupBy("text_id").agg(F.map_from_entries(F.collect_list(F.struct("term", kind))).alias("terms"))
 
     joined = held.join(terms, "text_id", "left")

@@ -1,5 +1,6 @@
 """Personal data, mixing and decontamination against plain Python, and their edge cases."""
 
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -92,6 +93,50 @@ def test_copies_of_one_text_reveal_nothing(frame):
     assert {len(r._spans) for r in pii.sanitise(frame("doc_id long, text string", rows)).where("doc_id < 100").collect()} == {1}
 
 
+def revealed(texts):
+    """Each protected value and each term that gives at least `GENERALISE` of its bits, counted text by text."""
+    values, terms = defaultdict(set), defaultdict(set)
+    for k, t in enumerate(sorted(set(texts))):
+        rest = t
+        for kind, a, b in base(t):
+            values[kind, t[a:b].lower()].add(k)
+            rest = rest.replace(t[a:b], " ")
+        for w in re.findall("[a-z0-9]{3,}", rest.lower()):
+            terms[w].add(k)
+    out, n = {}, len(set(texts))
+    for e, at in values.items():
+        for w, found in terms.items():
+            if len(at) >= pii.SUPPORT and len(at & found) >= pii.SUPPORT:
+                share = math.log2(len(at & found) * n / (len(at) * len(found))) / -math.log2(len(at) / n)
+                if share >= pii.GENERALISE:
+                    out[(*e, w)] = round(share, 9)
+    return out
+
+
+@pytest.mark.parametrize("most", [1 << 20, 5])
+def test_disclosures_equal_brute_force(frame, monkeypatch, most):
+    """Lists of addresses that stand in the same texts, some in others too, and texts dealt to slices."""
+    monkeypatch.setattr(pii, "PAIRS", most)
+    rng, texts = random.Random(4), []
+    for team in range(4):
+        people = [f"p{team}x{k}@team{team}.org" for k in range(9)]
+        for k in range(5):
+            texts.append(f"list {k} of unit{team}a, name{team} " + " ".join(people[: 9 if k < 3 else 5]) + f" {prose(10 * team + k, 12)} call +1 (559) 555-389{team}")
+    texts += [f"{prose(100 + k, 15)} name{rng.randrange(4)} no{k}" for k in range(150)] + texts[:3]
+    rows = frame("doc_id long, text string", list(enumerate(texts))).select(F.xxhash64("text").alias("text_id"), "text", pii.base_spans(F.col("text")).alias("spans"))
+    found = [((r.kind, r.value, r.term), round(r.share, 9)) for r in pii.disclosures(rows).collect()]
+    assert len(found) == len(dict(found)) and dict(found) == revealed(texts) and len(found) >= 36
+
+
+def test_entities_with_the_same_texts_are_one_class(frame):
+    people = " ".join(f"p{k}@team.org" for k in range(200))
+    rows = [(k, f"list {k} of unit77a {people}") for k in range(4)] + [(10 + k, f"text {k}") for k in range(30)]
+    rows = frame("doc_id long, text string", rows).select(F.xxhash64("text").alias("text_id"), "text", pii.base_spans(F.col("text")).alias("spans"))
+    known, members, scored = pii._revealing(rows)
+    assert (known.count(), members.count()) == (200, 4)
+    assert [r.term for r in scored.collect()].count("unit77a") == 1
+
+
 def test_sanitise_awkward_rows(awkward, nothing, frame):
     found = pii.sanitise(awkward.withColumn("text", F.when(F.col("doc_id") == 7, "call +1 (559) 555-3893").otherwise(F.col("text"))))
     assert found.columns == [*awkward.columns, "_spans", "_sanitised"] and found.count() == 17
