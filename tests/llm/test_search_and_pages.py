@@ -142,6 +142,62 @@ def test_long_lists_are_aligned_in_linear_time():
     assert size == 2 + 8000 and all(a.sign == b.sign for a, b in pairs) and time.time() - start < 5
 
 
+@pytest.mark.parametrize("n", [5, 63, 64, 65, 500])
+def test_the_largest_match_is_found_in_lists_of_any_length(n):
+    """One child has gone from the front to the end; the match of the others is the largest, however many there are."""
+    moved, others = "<li class=moved><b>m</b></li>", "<li><a>x</a></li>" * n
+    one, two = dom.parse(f"<ul>{moved}{others}</ul>"), dom.parse(f"<ul>{others}{moved}</ul>")
+    size, pairs = dom.match_trees(one, two)
+    assert size == len(pairs) == 2 + 2 * n and not any(a.sign == "li.moved#" for a, _ in pairs)
+
+
+def test_matches_are_those_of_the_plain_recursion(monkeypatch):
+    def plain(a, b):
+        if a.sign != b.sign:
+            return 0, []
+        left, right = dom.elements(a), dom.elements(b)
+        found = {(i, j): plain(x, y) for i, x in enumerate(left) for j, y in enumerate(right)}
+        best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
+        for i in range(len(left)):
+            for j in range(len(right)):
+                best[i + 1][j + 1] = max(best[i][j] + found[i, j][0], best[i][j + 1], best[i + 1][j])
+        pairs, i, j = [(a, b)], len(left), len(right)
+        while i and j:
+            if best[i][j] == best[i - 1][j]:
+                i -= 1
+            elif best[i][j] == best[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                pairs += found[i, j][1]
+        return best[-1][-1] + 1, pairs
+
+    def made(r, depth, wide):
+        tag = r.choice(["div", "ul", "li", "b", "b class=x", "i"])
+        return f"<{tag}>{''.join(made(r, depth - 1, wide) for _ in range(r.randrange(wide + 1))) if depth else ''}</{tag.split()[0]}>"
+
+    for seed in range(300):
+        r = random.Random(seed)
+        monkeypatch.setattr(dom, "HELD", r.choice([1, 30, 1 << 20]))
+        depth, wide = r.choice([(1, 70), (2, 6), (3, 4)])
+        one, two = (dom.parse(f"<div>{made(r, depth, wide)}{made(r, depth, wide)}</div>") for _ in "ab")
+        size, pairs = dom.match_trees(one, two)
+        expected, those = plain(one, two)
+        assert size == expected == len(pairs) and set(pairs) == set(those)
+
+
+@pytest.mark.parametrize("n", [3, 70])
+def test_wrappers_do_not_depend_on_the_length_of_lists(n):
+    """A varying box that stands first on one page and last on another; the rows between are the same on all pages."""
+    rows, box = "".join(f"<div class=r><p>row {k}</p></div>" for k in range(n)), "<div class=box><p>{}</p></div>"
+    texts = [f"<section><p>{prose(k, 400)}</p></section>" for k in (5, 6)]
+    pages = [f"<body>{box.format('a')}{rows}{texts[0]}</body>", f"<body>{rows}{box.format('b')}{texts[1]}</body>"]
+    trees = [dom.parse(p) for p in pages]
+    paired = [(dom.whole_text(a), dom.whole_text(b)) for a, b in dom.match_trees(*trees)[1] if a.sign == "div.r#"]
+    assert sorted(paired) == sorted((f"row {k}",) * 2 for k in range(n))
+    assert html_extraction.induce(pages)["path"][-1] == ["section", 0]
+
+
 def test_copies_of_one_article_are_no_template(frame):
     text = prose(7700, 200)
     rows = [(k, f"https://one.example/{k}", f"<html><body><nav>{prose(k, 4)}</nav><div><p>{text}</p><p>{prose(k + 50, 5)}</p></div></body></html>") for k in range(3)]
