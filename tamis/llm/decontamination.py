@@ -87,11 +87,12 @@ def _starts() -> Column:
     least = F.ceil(2 * THRESHOLD / (1 + THRESHOLD) * F.col("n") - 1e-6).cast("int")
 
     def around(p: Column, i: Column) -> Column:
-        low = F.greatest(F.get("places", i + least - 1) - F.col("n") + 1, F.lit(0))
+        begin = F.get("places", i + least - 1) - F.col("n") + 1
+        low = F.greatest(begin, F.lit(0), F.get("places", i - 1) + 1)  # those up to the place before are there already
         high = F.least(p, F.col("last"))
         return F.when((i + least <= F.size("places")) & (low <= high), F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
 
-    return F.when(F.col("last") <= 0, F.array(F.lit(0))).otherwise(F.array_distinct(F.flatten(F.transform("places", around))))
+    return F.when(F.col("last") <= 0, F.array(F.lit(0))).otherwise(F.flatten(F.transform("places", around)))
 
 
 def matches(docs: DataFrame, items: DataFrame, text_column: str = "text", item_column: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -119,8 +120,9 @@ def matches(docs: DataFrame, items: DataFrame, text_column: str = "text", item_c
 
     held = texts.join(near.select("text_id").distinct(), "text_id", "left_semi").dropDuplicates(["text_id"])
     held = held.select("text_id", words_of(F.col("text")).alias("words"))
-    proposed = near.join(held, "text_id").withColumn("last", F.size("words") - F.col("n_words"))
-    proposed = proposed.select("text_id", "n_words", "k", "words", F.explode(_starts()).alias("first_word")).dropDuplicates(["text_id", "n_words", "k", "first_word"])
+    # Windows are told apart before they get words: a text's words are never held once a window.
+    proposed = near.join(held.select("text_id", F.size("words").alias("held")), "text_id").withColumn("last", F.col("held") - F.col("n_words"))
+    proposed = proposed.select("text_id", "n_words", "k", F.explode(_starts()).alias("first_word")).distinct().join(held, "text_id")
     window = F.slice("words", F.col("first_word") + 1, F.col("n_words"))
     cut = F.coalesce(*[F.when(F.col("k") == k, shingles_of(window, k)) for k in range(1, SHINGLE + 1)])
     windows = proposed.select("text_id", "n_words", "k", "first_word", cut.alias("cut")).where("size(cut) > 0")

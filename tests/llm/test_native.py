@@ -283,6 +283,34 @@ def test_leaks_between_aligned_starts(frame):
     assert {(r.doc_id, r.item_id) for r in found} == leaks(docs, items)
 
 
+def test_starts_are_all_windows_with_enough_places(frame):
+    """Each start once, without lists of all windows around each place in between."""
+    rng = random.Random(8)
+    rows = []
+    for _ in range(150):
+        n, last = rng.randint(1, 12), rng.randint(-2, 40)
+        rows.append((n, last, sorted(rng.sample(range(max(last, 0) + n), rng.randint(1, max(last, 0) + n)))))
+    for r in frame("n int, last int, places array<int>", rows).withColumn("starts", decontamination._starts()).collect():
+        least = math.ceil(1.5 / 1.75 * r.n - 1e-6)
+        enough = [s for s in range(max(r["last"], 0) + 1) if sum(s <= p < s + r.n for p in r.places) >= least]
+        assert r.starts == (enough if r["last"] > 0 else [0])
+    long = frame("id long", [(0,)]).selectExpr("40000 AS n", "100000 AS last", "sequence(0, 139999) AS places")
+    assert long.select(decontamination._starts().alias("s")).selectExpr("size(s) AS n", "array_max(s) AS most").first()[:] == (100001, 100000)
+
+
+def test_windows_are_sorted_without_the_words_of_texts(frame, monkeypatch):
+    """A text with many windows is not held once for each of them."""
+    seen = {}
+    written = decontamination.written
+    monkeypatch.setattr(decontamination, "written", lambda df, name: seen.update({name: df}) or written(df, name))
+    own = prose(77, 40)
+    docs = frame("doc_id long, text string", [(k, " ".join([prose(k, 20), own, prose(300 + k, 20)])) for k in range(3)])
+    assert decontamination.contaminations(docs, frame("item_id long, text string", [(1, own)])).count() > 3
+    plan = seen["windows"]._jdf.queryExecution().optimizedPlan().toString()
+    told_apart = [x for x in plan.splitlines() if "Aggregate [" in x and "first_word" in x]
+    assert told_apart and not any("words#" in x.replace("n_words#", "") for x in told_apart)
+
+
 def test_decontaminate_awkward_rows(awkward, nothing, frame):
     items = frame("item_id long, text string, extra int", [(1, prose(4, 30), 1), (2, None, 2), (None, prose(1, 20), 3)])
     kept = decontamination.decontaminate(awkward, items)
