@@ -22,11 +22,15 @@ def _slot(value: Column) -> Column:
 def listed(value: Column, rows: DataFrame, column: str) -> Column:
     """Whether a value may be in a column of `rows`: never false for one that is, seldom true for others.
 
-    The driver gets 128 KiB whatever the size of `rows`.
+    The driver gets 128 KiB whatever the size of `rows`. They reach the query as the one row of a
+    subquery: a literal would stand in the text of its plan, wherever the condition is pushed and
+    each time that Spark reports on the query.
     """
+    spark = rows.sparkSession
     slots = rows.select(_slot(F.col(column)).alias("s"))
     words = slots.groupBy(F.shiftright("s", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, s & 63)")).alias("b"))
     found = dict(words.collect())
-    table = F.split(F.lit(",".join(str(found.get(i, 0)) for i in range(SLOTS // 64))), ",").cast("array<bigint>")
+    bits = [found.get(i, 0) for i in range(SLOTS // 64)]
+    table = spark.createDataFrame([(bits,)], "bits array<bigint>").coalesce(1).scalar()
     slot = _slot(value)
     return F.getbit(F.get(table, F.shiftright(slot, 6)), slot.bitwiseAND(63)) == 1

@@ -29,15 +29,18 @@ def connected(edges: DataFrame) -> DataFrame:
     """For undirected edges (u, v): each node that isn't the smallest of its component, and that smallest node, as (u, v).
 
     Loops and repeated edges change nothing; rows with a NULL end are ignored.
-    Each round is written, so a lost executor costs one round at most. The edges
-    of a hub are joined to its minimum, never gathered in one row.
+    Each half of a round is written, so a lost executor costs one at most and no
+    plan holds both. The edges of a hub are joined to its minimum, never gathered
+    in one row.
     """
     now = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"), (F.col("u") != F.col("v")).alias("_links"))
     now = written(now.where("_links").select("u", "v").distinct(), "edges")
     state = None
     while True:
-        before, now = now, written(_small_star(_large_star(now)), "edges")
-        drop(before)
+        large = written(_large_star(now), "edges")
+        drop(now)
+        now = written(_small_star(large), "edges")
+        drop(large)
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == state:
             return now

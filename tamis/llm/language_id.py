@@ -97,7 +97,7 @@ class LanguageModel:
 
 
 def fit(rows: np.ndarray, labels: list[str]) -> LanguageModel:
-    """Train a classifier per bit; deterministic."""
+    """Train a classifier per bit; deterministic. Rows may be half precision; only a batch is widened at a time."""
     languages = sorted(set(labels))
     codes = codewords(len(languages))
     target = codes[np.searchsorted(languages, labels)]
@@ -106,7 +106,7 @@ def fit(rows: np.ndarray, labels: list[str]) -> LanguageModel:
     rng, step = np.random.default_rng(11), 0
     for _ in range(EPOCHS):
         for batch in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // 128)):
-            x, y = rows[batch], target[batch]
+            x, y = rows[batch].astype(np.float32), target[batch]
             slope = -y / (1 + np.exp(np.clip(y * (x @ weights[:-1] + weights[-1]), -30, 30))) / len(batch)
             grad = np.vstack([x.T @ slope, slope.sum(axis=0)]) + 1e-6 * weights
             step += 1
@@ -140,9 +140,16 @@ def train(docs: DataFrame, text_column: str = "text", lang_column: str = "lang",
     if not found.num_rows:
         return None
     lang = found.column("lang").to_pylist()
-    raw = np.concatenate([np.frombuffer(x.as_buffer(), np.float16)[None, :] for x in found.column("features")])
-    order = sorted(range(len(lang)), key=lambda i: (lang[i], raw[i].tobytes()))
-    return fit(raw[order].astype(np.float32), [lang[i] for i in order])
+    raw = np.empty((len(lang), DIMENSIONS), np.float16)
+    for i, x in enumerate(x for chunk in found.column("features").chunks for x in chunk):
+        raw[i] = np.frombuffer(x.as_buffer(), np.float16)
+    del found, x
+    pa.default_memory_pool().release_unused()
+    # by language, then by the bytes of the features: no copy of the rows but the ordered one
+    order = np.argsort(raw.view(f"S{raw.itemsize * DIMENSIONS}").ravel(), kind="stable")
+    order = np.array(sorted(order.tolist(), key=lambda i: lang[i]))
+    raw = raw[order]
+    return fit(raw, [lang[i] for i in order.tolist()])
 
 
 _PREDICTED = "doc_id long, lang_pred string, score double, ambiguous boolean"

@@ -24,6 +24,27 @@ def test_languages_are_told_apart(frame):
     assert all(0 <= r.score <= 1 for r in found.values())
 
 
+def test_language_training_holds_few_copies_of_its_sample(frame):
+    import tracemalloc
+
+    rng = random.Random(5)
+    docs = frame("text string, lang string", [(text_of(lang, rng), lang) for lang in rng.choices(list(SYLLABLES), k=1500)])
+    tracemalloc.start()
+    model = language_id.train(docs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.languages == sorted(SYLLABLES)
+    assert peak < 3 * 1500 * language_id.DIMENSIONS * 2  # bytes of the sample in half precision
+
+
+def test_language_training_goes_by_language_then_features(frame, monkeypatch):
+    rng = random.Random(6)
+    docs = frame("text string, lang string", [(text_of(lang, rng, 9), lang) for lang in rng.choices(list(SYLLABLES), k=60)])
+    monkeypatch.setattr(language_id, "fit", lambda rows, labels: [(lang, row.astype(np.float16).tobytes()) for lang, row in zip(labels, rows, strict=True)])
+    found = language_id.train(docs)
+    assert len(found) == 60 and found == sorted(found)
+
+
 def test_language_edge_cases(awkward, nothing):
     model = language_id.train(awkward)
     rows = language_id.identify(awkward, model).collect()

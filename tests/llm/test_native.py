@@ -336,3 +336,12 @@ def test_bit_table_loses_none(frame):
     assert rows.where(listed(F.col("x"), rows, "x")).count() == 3000
     others = rows.selectExpr("-x - 5 AS x")
     assert others.where(listed(F.col("x"), rows, "x")).count() < 60
+
+
+def test_bit_table_is_not_in_the_text_of_a_plan(frame):
+    from tamis.llm.bits import listed
+
+    rows = frame("x long", [(k * k,) for k in range(3000)])
+    found = rows.where(listed(F.col("x"), rows, "x"))
+    assert found.count() == 3000
+    assert len(found._jdf.queryExecution().toString()) < 10_000
