@@ -206,7 +206,8 @@ def walk(queries: DataFrame, blocks: DataFrame, meet: Callable, merge: Callable,
         group = max(1, (high - low + 1) // tasks)
         groups = F.explode(F.sequence(F.lit(0), F.lit((high - low) // group)))
         asked = now.where(F.col("need") <= longest).select(F.col("block").alias("q_block"), F.col("data").alias("state"), groups.alias("group"))
-        pairs = asked.join(wave.select("data", F.floor((F.col("block") - low) / group).cast("int").alias("group")), "group")
+        # the size of the files says little of packed blocks and nothing of their copies by group: never broadcast them
+        pairs = asked.hint("merge").join(wave.select("data", F.floor((F.col("block") - low) / group).cast("int").alias("group")), "group")
         both = now.unionByName(pairs.select("q_block", "state", "data").mapInArrow(met, state_schema))
         before, now = now, written(both.repartition("block").sortWithinPartitions("block", F.col("need").isNull()).mapInArrow(merged, state_schema), "states")
         drop(before)

@@ -46,6 +46,22 @@ def test_hard_negatives_equal_brute_force(frame, monkeypatch, block, dims, size)
     assert sorted(map(tuple, found.collect())) == mined(rows, 5, 5, 5)
 
 
+def test_walks_broadcast_no_blocks(frame, monkeypatch):
+    """Small files may hold large blocks, once more for each group: the driver must not gather them."""
+    plans, written = [], vectors.written
+
+    def noted(df, name):
+        plans.append((name, df._jdf.queryExecution().sparkPlan().toString()))
+        return written(df, name)
+
+    monkeypatch.setattr(vectors, "written", noted)
+    monkeypatch.setattr(hard_negatives, "BLOCK", 8)
+    rows = [(i, [float(i % 7), 1.0], i % 3) for i in range(60)]
+    assert hard_negatives.mine(frame("vec_id long, embedding array<double>, label int", rows), every=5).count() > 0
+    joins = [plan for name, plan in plans if name == "states" and "Join" in plan]
+    assert joins and all("SortMergeJoin" in plan and "Broadcast" not in plan for plan in joins)
+
+
 def test_hard_negatives_of_the_test_data(spark):
     rows = [(r.vec_id, r.embedding, (r.label + 1) % 10 if r.vec_id % 7 == 0 else r.label) for r in spark.read.parquet(f"{SF_DIR}/embeddings.parquet").collect()]
     assert sorted(map(tuple, QUERIES["op12_hard_negatives"](spark, SF_DIR).collect())) == mined(rows, 100, 5, 5)
