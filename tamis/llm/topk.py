@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamis.llm.scratch import written
-from tamis.llm.vectors import _each, as_long, best_of, blocks_in_order, fits, integral, kth, matrix, products, usable, walk
+from tamis.llm.vectors import _each, as_long, best_of, blocks_in_order, drawn, fits, integral, kth, matrix, products, usable, walk
 
 SAMPLE_ROWS, BLOCK, QUERIES = 4096, 4096, 1024
 _STEPS = (0.25, 0.5)
@@ -92,6 +92,14 @@ class _Search:
         return float(((state["floor"] - 1e-6) / lengths).min(initial=np.inf))
 
 
+def _rotation(sample: np.ndarray) -> np.ndarray:
+    """The right singular vectors of a sample, the greatest first, in memory of a square of its components only."""
+    if not sample.shape[1]:
+        return np.zeros((0, 0))
+    sample = sample / np.maximum(1, np.abs(sample).max(initial=0))
+    return np.ascontiguousarray(np.linalg.eigh(sample.T @ sample)[1][:, ::-1])
+
+
 def top_k(
     vectors: DataFrame, every: int, k: int = 20, scale: float = 64.0, id_column: str = "vec_id", vector_column: str = "embedding"
 ) -> DataFrame:
@@ -111,13 +119,12 @@ def top_k(
     rows = rows.withColumn("v", F.transform("v", lambda x: F.lit(float(scale)) * x)).where(F.forall("v", lambda x: F.abs(x) != float("inf")))
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + F.floor(x).cast("double") * F.floor(x).cast("double")))
     rows = written(rows.withColumn("length", length), "vectors")
-    dims = rows.agg(F.max(F.size("v"))).first()[0] or 0
-    drawn = rows.orderBy(F.xxhash64("vec_id")).limit(SAMPLE_ROWS).select("v").collect()  # bounded
-    sample = np.zeros((max(1, len(drawn)), dims))
-    for i, r in enumerate(drawn):
+    total, dims = rows.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
+    some = drawn(rows.select("v"), total, SAMPLE_ROWS).collect()  # bounded
+    sample = np.zeros((max(1, len(some)), dims))
+    for i, r in enumerate(some):
         sample[i, : len(r["v"])] = np.floor(r["v"])
-    sample /= np.maximum(1, np.abs(sample).max(initial=0))
-    search = _Search(np.linalg.svd(sample, full_matrices=True)[2].T if dims else np.zeros((0, 0)), k)
+    search = _Search(_rotation(sample), k)
 
     def candidates(table: pa.Table):
         c = np.floor(matrix(table.column("v"), dims))

@@ -37,6 +37,13 @@ def usable(vectors: DataFrame, id_column: str, vector_column: str, *more: Column
     return rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & F.forall("v", finite))
 
 
+def drawn(rows: DataFrame, total: int, n: int) -> DataFrame:
+    """Some `n` of `total` rows by hash, all if there are fewer; tasks send a quarter more than these at most, not `n` each."""
+    marked = rows.withColumn("_mark", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 52)))
+    few = marked.where(F.col("_mark") < F.lit(int((1 << 52) * min(1.0, 1.25 * n / max(1, total)))))
+    return few.orderBy("_mark").limit(n).drop("_mark")
+
+
 def matrix(column: pa.ChunkedArray, dims: int) -> np.ndarray:
     """Vectors as rows of `dims` doubles, shorter ones filled up with zeros."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column

@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from tamis.llm import dom, html_extraction, topk
+from tamis.llm import dom, html_extraction, topk, vectors
 from tests.conftest import SF_DIR
 from tests.llm.conftest import prose
 
@@ -61,6 +61,30 @@ def test_top_k_stops_at_short_vectors(frame, monkeypatch):
     assert met[0].agg({"need": "min"}).first()[0] > 64 * 6**0.5
 
 
+def test_top_k_takes_little_memory_for_its_rotation(frame):
+    """Neither a square of the sample's rows on the driver nor a whole sample from every task."""
+    tracemalloc = __import__("tracemalloc")
+    rng = np.random.default_rng(2)
+    rows = [(7 if i % 2 else i, [float(x) for x in v]) for i, v in enumerate(rng.standard_normal((8000, 4)))]
+    table = frame("vec_id long, embedding array<double>", rows, 12)
+    tracemalloc.start()
+    topk.top_k(table, every=4000, k=3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6
+
+
+def test_samples_come_from_few_rows(frame):
+    rows = [(i,) for i in range(40_000)]
+    some = vectors.drawn(frame("v long", rows, 8), len(rows), 1000)
+    assert len({r.v for r in some.collect()}) == 1000
+    plan = some._jdf.queryExecution().optimizedPlan()
+    while "Filter" not in plan.nodeName():
+        plan = plan.children().head()
+    assert 1000 < some.sparkSession._jvm.org.apache.spark.sql.classic.Dataset.ofRows(some.sparkSession._jsparkSession, plan).count() < 1600
+    assert vectors.drawn(frame("v long", rows[:7]), 7, 1000).count() == 7
+
+
 def test_top_k_awkward_rows(frame):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 2.0]), (2, [1.0]), (4, []), (6, None), (8, [1.0, None]), (10, [nan, 1.0]), (12, [inf, 1.0]), (None, [1.0, 1.0]), (1, [0.5, -0.01])]
