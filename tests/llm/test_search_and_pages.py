@@ -1,10 +1,12 @@
 """Top-k against brute force, page extraction against known articles, and the pipeline."""
 
 import html
+import json
 import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
@@ -229,6 +231,34 @@ def test_copies_of_one_article_are_no_template(frame):
     assert {r.page_id: r.text for r in found} == {k: f"{text}\n{prose(k + 50, 5)}" for k in range(3)}
 
 
+def test_wrappers_take_all_pages_of_a_host(frame):
+    """A block that differs on one of 60 pages, whichever it is, is no template."""
+    page = "<body><nav>x</nav><div><p>{}</p><div>{}</div></div></body>"
+    rows = [(60 * h + k, f"https://h{h}.example/{k}", page.format(prose(60 * h + k, 90), "one" if h != k else "two")) for h in range(4) for k in range(60)]
+    rows += [(1000 + i, u, t) for i, u, t in rows[:9]]
+    found = html_extraction.extract(frame("page_id long, url string, html string", rows, 5)).collect()
+    assert {r.page_id: r.text.split("\n")[1:] for r in found} == {i: ["two" if ">two<" in t else "one"] for i, _, t in rows}
+
+
+def test_states_of_pages_add_up_to_the_wrapper(monkeypatch):
+    """Pages in any order and packing, copies counted once, give what one alignment of the different ones gives."""
+    monkeypatch.setattr(html_extraction, "RENEWED", 2)
+    roles = ["", " role=form", " role=x"]
+    parts = [f"<div{roles[k % 3]}><p>same text</p><section><p>{prose(k % 4, 20)}</p></section></div>" for k in range(9)]
+    pages = sorted({f"<body><nav>{k}</nav>{parts[k]}{parts[(2 * k + 1) % 9]}<ul><li>row</ul></body>" for k in range(9)})
+    expected = html_extraction.induce(pages)
+    rows = [("h", p, pages[0]) for p in [*pages[3:], *pages]]
+    schema = pa.schema([("host", pa.string()), ("html", pa.string()), ("reference", pa.string())])
+    batches = lambda some: iter([pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in some[k : k + 4]], schema) for k in range(0, len(some), 4)])
+    met = pa.Table.from_batches([b for some in (rows[:7], rows[7:]) for b in html_extraction._aligned(batches(some))])
+    met = met.sort_by([("host", "ascending"), ("page", "ascending")])
+    sums = pa.Table.from_batches([*html_extraction._summed(iter(met.slice(0, 5).to_batches())), *html_extraction._summed(iter(met.slice(5).to_batches()))])
+    assert sums.num_rows == 2 and len(met) > len(pages)
+    references = pa.table({"host": ["h"], "reference": [pages[0]]})
+    whole = pa.Table.from_batches(list(html_extraction._summed(iter(met.to_batches()))))
+    assert json.loads(html_extraction._induced(whole, references).column("wrapper")[0].as_py()) == json.loads(json.dumps(expected))
+
+
 def test_pages_of_the_test_data(spark):
     found = entry.queries()["op9_html_extraction"](spark, SF_DIR).collect()
     raw = {r.page_id: r.html for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
